@@ -47,4 +47,4 @@ def test_matches_sql(spark, duck, name):
     theirs = canonical(columns, expected.fetchall())
     assert len(ours) == len(theirs)
     different = [pair for pair in zip(ours, theirs) if pair[0] != pair[1]]
-    assert not different, different[:3]
+    assert not different, (sorted(columns), different[:3])

@@ -23,6 +23,12 @@ def _in(values: tuple[str, ...]) -> str:
     return "(" + ", ".join(f"'{v}'" for v in values) + ")"
 
 
+def _share(part: str, whole: str) -> str:
+    """``part / whole`` rounded half up to 4 places, in whole numbers: rounding a binary
+    fraction would take some halves down."""
+    return f"(({part} * 20000 + {whole}) // (2 * {whole}) / 10000)"
+
+
 # Standardised inputs
 STANDARDIZED = {
     "customers": """
@@ -174,19 +180,19 @@ ORDERS = _ctes("orders")
 CUSTOMERS = _ctes("customers")
 PRODUCTS = _ctes("products")
 
-ENGAGEMENT = """
+ENGAGEMENT = f"""
     SELECT CAST(business_date AS VARCHAR) AS business_date, total_events, unique_customers,
            unique_sessions, click_count, add_to_cart_count, purchase_count,
-           ROUND(click_count / total_events, 4) AS click_percentage,
-           ROUND(add_to_cart_count / total_events, 4) AS cart_percentage,
-           ROUND(purchase_count / total_events, 4) AS purchase_percentage
+           {_share('click_count', 'total_events')} AS click_percentage,
+           {_share('add_to_cart_count', 'total_events')} AS cart_percentage,
+           {_share('purchase_count', 'total_events')} AS purchase_percentage
     FROM (SELECT business_date, COUNT(*) AS total_events,
                  COUNT(DISTINCT customer_id) AS unique_customers,
                  COUNT(DISTINCT session_id) AS unique_sessions,
                  COUNT(*) FILTER (WHERE event_type = 'click') AS click_count,
                  COUNT(*) FILTER (WHERE event_type = 'add_to_cart') AS add_to_cart_count,
                  COUNT(*) FILTER (WHERE event_type = 'purchase') AS purchase_count
-          FROM clicks_silver {where} GROUP BY business_date)"""
+          FROM clicks_silver {{where}} GROUP BY business_date)"""
 
 FACT = (
     _ctes("customers", "products", "orders")
@@ -333,7 +339,7 @@ ORACLE: dict[str, str] = {
            CAST(ROUND(CAST(o_totalprice AS DECIMAL(12,2)) * CAST(0.0725 AS DECIMAL(5,4)), 2)
                AS DOUBLE) AS tax,
            ABS(c_acctbal - 5000) AS distance, o_totalprice * 2 + o_custkey - 1 AS arithmetic,
-           ROUND(o_custkey / (o_orderkey + 1), 4) AS share,
+           {share} AS share,
            CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_date,
            CAST(YEAR(o_orderdate) AS INTEGER) AS order_year,
            CAST(MONTH(o_orderdate) AS INTEGER) AS order_month,
@@ -342,7 +348,9 @@ ORACLE: dict[str, str] = {
            CAST(SUBSTR(c_name, 10, 9) AS BIGINT) AS number_in_name,
            TRY_CAST(c_name AS BIGINT) AS not_a_number,
            CAST(TRY_CAST(c_name AS DATE) AS VARCHAR) AS not_a_date
-    FROM orders JOIN customer ON o_custkey = c_custkey""",
+    FROM orders JOIN customer ON o_custkey = c_custkey""".format(
+        share=_share("o_custkey", "(o_orderkey + 1)")
+    ),
     "order_status_rename": "SELECT o_orderkey AS order_id, UPPER(o_orderpriority) AS status"
     " FROM orders",
     "align_schema": ORDERS
