@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smelter.operators.quality import duplicate_keys
+from smelter.operators.rules import all_present
 from smelter.operators.shape import align_to_schema
 
 NULL_KEYS = ("insert", "drop")
@@ -29,12 +30,12 @@ def prepared_source(
     if absent:
         raise ValueError(f"source lacks target columns {absent}")
     aligned = align_to_schema(source, target.schema)
-    return aligned.dropna(subset=list(keys)) if null_keys == "drop" else aligned
+    return aligned.filter(all_present(keys)) if null_keys == "drop" else aligned
 
 
 def require_unique(source: DataFrame, keys: Sequence[str]) -> None:
     """Two source rows for one key leave open which one updates the target row."""
-    twice = duplicate_keys(source.dropna(subset=list(keys)), *keys).select(*keys).take(1)
+    twice = duplicate_keys(source.filter(all_present(keys)), *keys).select(*keys).take(1)
     if twice:
         raise ValueError(f"source holds key {twice[0].asDict()} more than once")
 

@@ -27,7 +27,7 @@ def check_null_policy(null_policy: str) -> None:
         raise ValueError(f"null_policy {null_policy!r} is none of {NULL_POLICIES}")
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Rule:
     """``reason`` may be a Column, to tell several causes of one rule apart."""
 
@@ -53,6 +53,11 @@ def missing(column: str) -> Column:
     return F.col(column).isNull()
 
 
+def all_present(columns: Sequence[str]) -> Column:
+    """Written as single NOT NULL tests, which reach the scan as ``dropna`` does not."""
+    return reduce(operator.and_, (F.col(c).isNotNull() for c in columns))
+
+
 def compare(column: str, op: str, value: object) -> Column:
     return COMPARISONS[op](F.col(column), F.lit(value))
 

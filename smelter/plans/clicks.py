@@ -11,6 +11,7 @@ from smelter.constants import EVENT_TYPES
 from smelter.functions.numbers import count_where, ratio
 from smelter.functions.text import standardize
 from smelter.operators.latest import latest_per_key
+from smelter.operators.rules import all_present
 from smelter.plans.flow import now
 
 REQUIRED = ("event_id", "customer_id", "session_id", "event_type")
@@ -27,8 +28,8 @@ SUMMARY = {
     "invalid_timestamps": "event_timestamp",
 }
 
-# Distinct actors and counted events of the daily metrics: column and output name,
-# event type and prefix-forming output names
+# Daily metrics: distinct actors (column: output name) and events counted by type
+# (event type: names of the count and of its share)
 ACTORS = {"customer_id": "unique_customers", "session_id": "unique_sessions"}
 EVENTS = {
     "click": ("click_count", "click_percentage"),
@@ -43,7 +44,7 @@ def silver_clicks(
     """Valid events, one row per event id. Times and dates that cannot be read are NULL,
     and an event without a time is left out. Rows are checked before copies are dropped,
     so that the checks on ids reach the scan and no faulty copy hides a sound one."""
-    present = bronze.dropna(subset=list(REQUIRED))
+    present = bronze.filter(all_present(REQUIRED))
     typed = standardize(present, TEXT).withColumns(
         {
             "event_timestamp": F.try_to_timestamp("event_time"),

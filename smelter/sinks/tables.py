@@ -165,15 +165,25 @@ def _in_partitions(column: str, values: Sequence[object]) -> Column:
     return chosen | F.col(column).isNull() if len(known) < len(values) else chosen
 
 
-def _partition_literal(value: object) -> str:
-    return "null" if value is None else "'" + str(value).replace("'", "\\'") + "'"
+def _text_literal(value: object) -> str:
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
+def _partition_folders(written: DataFrame, column: str) -> dict[object, str]:
+    """Folder of each value of the partition column, from the names of the files."""
+    folder = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]*$", 1)
+    plain = F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))
+    return dict(map(tuple, written.select(column, plain).distinct().collect()))
 
 
 def _upsert_partitions(target: DataFrame, batch: DataFrame, name: str, keys: Sequence[str]) -> None:
     """Rewrite only partitions that hold a key of the batch; append to all others.
 
     Their number is that of the table's partitions at most, which the catalog
-    lists anyway. Each rewritten partition moves to its new folder in one step.
+    lists anyway. Each rewritten partition moves to its new folder in one step. Rows
+    moving to another partition are added there before they leave the old one: after
+    a crash they may be held twice until the batch is merged again, but never lost.
     """
     spark = batch.sparkSession
     (column,) = table_partitions(spark, name)
@@ -185,6 +195,9 @@ def _upsert_partitions(target: DataFrame, batch: DataFrame, name: str, keys: Seq
         _append(batch, name)
         return
     chosen = _in_partitions(column, stale)
+    rest = batch.filter(~F.coalesce(chosen, F.lit(False)))
+    if not rest.isEmpty():
+        _append(rest, name)
     merged = untouched(target.filter(chosen), batch, keys).unionByName(
         batch.filter(chosen), allowMissingColumns=True
     )
@@ -193,19 +206,15 @@ def _upsert_partitions(target: DataFrame, batch: DataFrame, name: str, keys: Seq
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_ddl(added)})")
     path = f"{_root(spark, name)}/merge-{uuid.uuid4().hex[:8]}"
     _write(merged, path, [column])
-    written = spark.read.parquet(path).select(F.col(column).cast("string")).distinct()
-    left = {row[0] for row in written.collect()}
+    folders = _partition_folders(spark.read.schema(merged.schema).parquet(path), column)
     for value in stale:
-        spec = f"PARTITION (`{column}` = {_partition_literal(value)})"
-        if (None if value is None else str(value)) in left:
-            folder = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-            spark.sql(f"ALTER TABLE {name} {spec} SET LOCATION '{path}/{column}={folder}'")
+        spec = f"PARTITION (`{column}` = {'null' if value is None else _text_literal(value)})"
+        if value in folders:
+            location = _text_literal(folders[value])
+            spark.sql(f"ALTER TABLE {name} {spec} SET LOCATION {location}")
         else:
             spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {spec}")
     spark.catalog.refreshTable(name)
-    rest = batch.filter(~F.coalesce(chosen, F.lit(False)))
-    if not rest.isEmpty():
-        _append(rest, name)
 
 
 def merge_counts(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -1,0 +1,171 @@
+from datetime import datetime, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import TESTDATA
+from smelter import PipelineConfig
+from smelter.plans.clicks import daily_engagement, silver_clicks
+from smelter.plans.customers import dim_customer
+from smelter.plans.ingest import ingest_clicks
+from smelter.plans.orders import fact_orders, split_fact
+from smelter.plans.pipeline import run_pipeline
+from smelter.sinks.tables import save_table, table_partitions
+from smelter.sources.pages import PAGE_SCHEMA
+from workload import adapters
+
+SF_DIR = f"{TESTDATA}/sf0.001"
+STAMPS = ("_silver_processed_at", "_gold_processed_at", "_rejected_at")
+
+
+@pytest.fixture
+def layers(spark, tmp_path):
+    """Bronze filled with the adapted inputs at sf0.001; silver and gold empty."""
+    prefix = f"p{abs(hash(str(tmp_path))):x}"
+    names = {layer: f"{prefix}_{layer}" for layer in ("bronze", "silver", "gold")}
+    for name in names.values():
+        spark.sql(f"CREATE DATABASE {name} LOCATION '{tmp_path / name}'")
+    at = {"_ingested_at": F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval("_batch_id")}
+    modified = {"_source_file_modified_at": F.lit("2024-01-01").cast("timestamp")}
+    for table, source in (
+        ("customers", adapters.customers_src),
+        ("products", adapters.products_src),
+    ):
+        rows = source(spark, SF_DIR).withColumns({**at, **modified})
+        save_table(rows, f"{names['bronze']}.{table}")
+    save_table(adapters.orders_src(spark, SF_DIR), f"{names['bronze']}.orders")
+    pages = str(tmp_path / "pages")
+    adapters.click_pages(spark, SF_DIR).write.option("maxRecordsPerFile", 1).json(pages)
+    ingest_clicks(spark, pages, f"{names['bronze']}.click_events", PAGE_SCHEMA)
+    return names
+
+
+def state(spark, layers):
+    """All rows of silver and gold, without times of processing."""
+    found = {}
+    for layer in ("silver", "gold"):
+        for table in spark.catalog.listTables(layers[layer]):
+            df = spark.table(f"{layers[layer]}.{table.name}").drop(*STAMPS)
+            rows = [tuple(r) for r in df.select(sorted(df.columns)).collect()]
+            found[f"{layer}.{table.name}"] = sorted(rows, key=str)
+    return found
+
+
+@pytest.mark.parametrize("partitioned", [False, True])
+def test_run_twice(spark, layers, tmp_path, partitioned):
+    partitions = {
+        "gold.fact_orders": "order_quarter",
+        "silver.click_events": "business_date",
+        "silver.orders": "status",
+    }
+    config = PipelineConfig(
+        **layers,
+        export_root=str(tmp_path / "published"),
+        export_partitions={"fact_orders": "order_quarter"} if partitioned else {},
+        partitions=partitions if partitioned else {},
+        store_product_rejects=True,
+        audit_table=f"{layers['gold']}.load_audit",
+    )
+    when = datetime(2024, 2, 1, tzinfo=timezone.utc)
+    gold = run_pipeline(spark, config, when)
+    first = state(spark, layers)
+    audit = first.pop("gold.load_audit")
+    assert set(first) == {
+        "silver.customers", "silver.customer_rejected", "silver.products",
+        "silver.product_rejected", "silver.orders", "silver.order_rejected",
+        "silver.click_events", "gold.dim_customer", "gold.dim_product", "gold.fact_orders",
+        "gold.fact_order_rejected", "gold.daily_customer_engagement",
+    }
+    assert all(first.values()) and len(audit) == 6
+    stamps = {r[0] for r in gold["fact_orders"].select("_gold_processed_at").distinct().collect()}
+    assert len(stamps) == 1
+
+    orders = spark.table(f"{layers['silver']}.orders")
+    assert orders.count() == orders.select("order_id").distinct().count()
+    assert gold["fact_orders"].count() == orders.count()
+    assert spark.read.parquet(str(tmp_path / "published" / "fact_orders")).count() == orders.count()
+    if partitioned:
+        assert table_partitions(spark, f"{layers['gold']}.fact_orders") == ["order_quarter"]
+
+    run_pipeline(spark, config)
+    second = state(spark, layers)
+    later = second.pop("gold.load_audit")
+    assert second == first
+    # every merge of the second run updates all rows and inserts none
+    again = spark.table(f"{layers['gold']}.load_audit").filter("operation = 'merge upsert'")
+    assert len(later) == 12 and again.count() == 6
+    assert again.agg(F.sum("rows_inserted"), F.sum("rows_kept")).first() == (0, 0)
+
+
+def test_rows_gone_from_the_source_stay_in_gold(spark, layers):
+    config = PipelineConfig(**layers)
+    run_pipeline(spark, config)
+    before = state(spark, layers)
+    bronze = spark.table(f"{layers['bronze']}.customers")
+    save_table(bronze.filter("customer_id > 20"), f"{layers['bronze']}.customers")
+    run_pipeline(spark, config)
+    after = state(spark, layers)
+    assert after["gold.dim_customer"] == before["gold.dim_customer"]
+    assert len(after["silver.customers"]) < len(before["silver.customers"])
+
+
+def test_customer_name(spark):
+    rows = spark.sql(
+        "SELECT 1 AS customer_id, CAST(NULL AS STRING) AS first_name, 'B' AS last_name, 'e' AS email,"
+        " 'c' AS city, 'ON' AS province, DATE '2024-01-01' AS signup_date, 'ACTIVE' AS status"
+    )
+    row = dim_customer(rows).first()
+    assert row.customer_name == "B" and row.customer_key == row.customer_id == 1
+
+
+def test_order_of_an_unknown_customer(spark):
+    orders = spark.sql(
+        "SELECT 1 AS order_id, 5 AS customer_id, 6 AS product_id, TIMESTAMP '2024-05-03 10:00:00'"
+        " AS order_timestamp, 1 AS quantity, 10.0D AS unit_price, 0.5D AS discount_pct,"
+        " 1.0D AS tax_amount, 6.0D AS order_amount, 'PENDING' AS status"
+    )
+    customers = spark.sql("SELECT 4L AS customer_key, 4L AS customer_id")
+    products = spark.sql("SELECT 6L AS product_key, 6L AS product_id")
+    fact = fact_orders(orders, customers, products)
+    row = fact.first()
+    assert (row.customer_key, row.product_key) == (None, 6)
+    assert (row.order_year, row.order_month, row.order_month_name, row.order_quarter) == (
+        2024, 5, "May", 2,
+    )
+    assert fact.columns == [
+        "order_id", "customer_key", "product_key", "order_timestamp", "order_date", "quantity",
+        "unit_price", "discount_pct", "tax_amount", "order_amount", "order_status",
+        "_gold_processed_at", "order_year", "order_month", "order_month_name", "order_quarter",
+    ]
+    rejected = split_fact(fact).rejected.collect()
+    assert [r.reject_reason for r in rejected] == ["Missing Customer Dimension Key"]
+    assert split_fact(fact).valid.count() == 0
+
+
+def test_click_times(spark):
+    times = ["2024-01-01T10:00:00Z", "2024-01-01 10:00:00", "junk", None]
+    rows = spark.createDataFrame(
+        [(i, 1, 1, "s", t, " Click", "/A ", "Web", "ca", "2024-01-01") for i, t in enumerate(times)],
+        "event_id int, customer_id int, product_id int, session_id string, event_time string,"
+        " event_type string, page_name string, device string, country string, business_date string",
+    )
+    silver = silver_clicks(rows)
+    assert [str(r.event_timestamp) for r in silver.orderBy("event_id").collect()] == [
+        "2024-01-01 10:00:00"
+    ] * 2
+    row = silver.first()
+    assert (row.event_type, row.page_name, row.country) == ("click", "/a", "CA")
+    assert "event_time" not in silver.columns
+    day = daily_engagement(silver).first()
+    assert (day.total_events, day.unique_customers, day.click_percentage) == (2, 1, 1.0)
+    assert daily_engagement(silver, since="2024-01-02").count() == 0
+
+
+def test_sound_copy_of_a_faulty_event_survives(spark):
+    rows = spark.createDataFrame(
+        [(1, None), (1, "2024-01-01 10:00:00"), (1, "junk")], "event_id int, event_time string"
+    ).selectExpr(
+        "*", "1 AS customer_id", "1 AS product_id", "'s' AS session_id", "'click' AS event_type",
+        "'p' AS page_name", "'d' AS device", "'c' AS country", "DATE '2024-01-01' AS business_date",
+    )
+    assert silver_clicks(rows).count() == 1

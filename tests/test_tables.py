@@ -1,0 +1,202 @@
+import pytest
+from pyspark.sql import functions as F
+
+from smelter.scratch import shared_folder, stage
+from smelter.sinks.tables import (
+    create_or_merge,
+    export_parquet,
+    save_table,
+    table_location,
+    table_partitions,
+    table_version,
+)
+from smelter.sources.catalog import describe, list_tables, table_exists
+
+DDL = "k int, d string, v string"
+
+
+def frame(spark, rows, ddl=DDL):
+    return spark.createDataFrame(rows, ddl)
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def files(df):
+    return {f for f in df.inputFiles()}
+
+
+def test_shared_folder_is_the_sessions(spark):
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    staged = stage(frame(spark, [(1, "a", "x")]))
+    assert rows(staged) == [(1, "a", "x")]
+    assert all(shared_folder(spark) in f for f in files(staged))
+
+
+def test_catalog(spark, database):
+    name = f"{database}.t"
+    assert not table_exists(spark, name)
+    save_table(frame(spark, [(1, "a", "x")]), name)
+    assert table_exists(spark, name)
+    assert list_tables(spark, database) == ["t"]
+    assert [(r.col_name, r.data_type) for r in describe(spark, name).collect()] == [
+        ("k", "int"),
+        ("d", "string"),
+        ("v", "string"),
+    ]
+
+
+def test_overwrite_from_itself(spark, database):
+    name = f"{database}.t"
+    save_table(frame(spark, [(1, "a", "x")]), name)
+    old = spark.table(name)
+    save_table(spark.table(name).withColumn("k", F.col("k") + 1), name)
+    assert rows(spark.table(name)) == [(2, "a", "x")]
+    assert rows(old) == [(1, "a", "x")]
+    assert table_version(spark, name) == 2
+    save_table(spark.table(name).withColumn("w", F.lit(1)), name)
+    assert rows(spark.table(name)) == [(2, "a", "x", 1)]
+    save_table(spark.table(name).select(F.col("v").alias("z")), name)
+    assert rows(spark.table(name)) == [("x",)] and table_version(spark, name) == 4
+
+
+def test_overwrite_with_the_schema_held(spark, database):
+    name = f"{database}.t"
+    save_table(frame(spark, [(1, "a", "x")]), name, replace_schema=False)
+    with pytest.raises(ValueError, match="schema"):
+        save_table(frame(spark, [(1, "a")], "k int, d string"), name, replace_schema=False)
+    swapped = frame(spark, [(2, "b", "y")]).select("v", "k", "d")
+    save_table(swapped, name, replace_schema=False)
+    assert rows(spark.table(name)) == [(2, "b", "y")]
+
+
+def test_append(spark, database):
+    name = f"{database}.t"
+    save_table(frame(spark, [(1, "a", "x")]), name, mode="append")
+    first = files(spark.table(name))
+    save_table(frame(spark, [("y", 2.0, "2")], "v string, w double, k string"), name, mode="append")
+    assert rows(spark.table(name)) == [(1, "a", "x", None), (2, None, "y", 2.0)]
+    assert first < files(spark.table(name))
+    with pytest.raises(ValueError, match="mode"):
+        save_table(frame(spark, []), name, mode="merge")
+
+
+def test_empty_table(spark, database):
+    name = f"{database}.t"
+    save_table(frame(spark, []), name)
+    assert spark.table(name).count() == 0 and spark.table(name).columns == ["k", "d", "v"]
+    create_or_merge(frame(spark, [(1, "a", "x")]), name, ["k"])
+    assert spark.table(name).count() == 1
+
+
+@pytest.mark.parametrize("partitioned", [False, True])
+def test_upsert_table(spark, database, partitioned):
+    name = f"{database}.t"
+    by = ["d"] if partitioned else None
+    first = [(1, "a", "x"), (2, "b", "x"), (3, "b", "x"), (4, None, "x"), (None, "c", "n")]
+    create_or_merge(frame(spark, first), name, ["k"], partition_by=by)
+    assert table_partitions(spark, name) == (by or [])
+    columns = ["k", "d", "v"]
+
+    # changes, moves to another partition, news in an old and a new partition
+    second = [(2, "b", "y"), (3, "a", "y"), (4, None, "y"), (5, "b", "y"), (6, "e", "y")]
+    batch = create_or_merge(frame(spark, second), name, ["k"])
+    assert rows(batch.select(columns)) == sorted(second, key=str)
+    expected = sorted([(1, "a", "x"), (None, "c", "n"), *second], key=str)
+    assert rows(spark.table(name).select(columns)) == expected
+    # the same again changes nothing
+    create_or_merge(frame(spark, second), name, ["k"])
+    assert rows(spark.table(name).select(columns)) == expected
+    # only news: files are added and none is rewritten
+    before = files(spark.table(name))
+    create_or_merge(frame(spark, [(7, "a", "z"), (8, "f", "z")]), name, ["k"])
+    assert before < files(spark.table(name))
+    assert spark.table(name).count() == len(expected) + 2
+    # partitions read back by value
+    assert rows(spark.table(name).filter("d = 'a'").select("k")) == [(1,), (3,), (7,)]
+    with pytest.raises(ValueError, match="more than once"):
+        create_or_merge(frame(spark, [(1, "a", "q"), (1, "b", "q")]), name, ["k"])
+
+
+def test_upsert_leaves_other_partitions_alone(spark, database):
+    name = f"{database}.t"
+    first = [(1, "a", "x"), (2, "b", "x")]
+    create_or_merge(frame(spark, first), name, ["k"], partition_by=["d"])
+    kept = files(spark.table(name).filter("d = 'a'"))
+    create_or_merge(frame(spark, [(2, "b", "y")]), name, ["k"])
+    assert files(spark.table(name).filter("d = 'a'")) == kept
+    # the last row of a partition moves away
+    create_or_merge(frame(spark, [(2, "a", "z")]), name, ["k"])
+    assert rows(spark.table(name).select("k", "d", "v")) == [(1, "a", "x"), (2, "a", "z")]
+    # a later batch brings a column
+    wider = frame(spark, [(1, "a", "w", 7)], "k int, d string, v string, n int")
+    create_or_merge(wider, name, ["k"])
+    assert rows(spark.table(name).select("k", "d", "v", "n")) == [
+        (1, "a", "w", 7),
+        (2, "a", "z", None),
+    ]
+
+
+def test_partition_values_with_odd_characters(spark, database):
+    name = f"{database}.t"
+    first = [(1, "a/b=c", "x"), (2, "it's 10%", "x"), (3, "e:f g", "x"), (4, "01", "x")]
+    first += [(5, "1", "x"), (6, "a+b", "x"), (7, "back\\slash", "x"), (8, "é", "x")]
+    create_or_merge(frame(spark, first), name, ["k"], partition_by=["d"])
+    second = [(k, d, "y") for k, d, _ in first]
+    create_or_merge(frame(spark, second), name, ["k"])
+    assert rows(spark.table(name).select("k", "d", "v")) == second
+
+
+def test_date_partitions(spark, database):
+    name = f"{database}.t"
+    df = spark.sql("SELECT id AS k, date_add(DATE '2024-01-01', int(id % 3)) AS d, 'x' AS v FROM range(9)")
+    create_or_merge(df, name, ["k"], partition_by=["d"])
+    create_or_merge(df.filter("k < 4").withColumn("v", F.lit("y")), name, ["k"])
+    assert spark.table(name).filter("v = 'y'").count() == 4
+    assert spark.table(name).count() == 9
+    assert table_partitions(spark, name) == ["d"]
+    assert dict(spark.table(name).dtypes)["d"] == "date"
+
+
+def test_partitioned_overwrite(spark, database):
+    name = f"{database}.t"
+    save_table(frame(spark, [(1, "a", "x")]), name, partition_by=["d"])
+    save_table(frame(spark, [(2, "b", "y"), (3, "c", "y")]), name)
+    assert table_partitions(spark, name) == ["d"]
+    assert rows(spark.table(name).select("k", "d")) == [(2, "b"), (3, "c")]
+
+
+def test_insert_only_table(spark, database):
+    name = f"{database}.t"
+    create_or_merge(frame(spark, [(1, "a", "x")]), name, ["k"], how="insert")
+    where = table_location(spark, name)
+    create_or_merge(frame(spark, [(1, "b", "y"), (2, "b", "y")]), name, ["k"], how="insert")
+    assert rows(spark.table(name)) == [(1, "a", "x"), (2, "b", "y")]
+    assert table_location(spark, name) == where
+    with pytest.raises(ValueError, match="how"):
+        create_or_merge(frame(spark, []), name, ["k"], how="replace")
+
+
+def test_audit_table(spark, database):
+    name, audit = f"{database}.t", f"{database}.load_audit"
+    create_or_merge(frame(spark, [(1, "a", "x"), (2, "a", "x")]), name, ["k"], audit_table=audit)
+    second = [(2, "a", "y"), (3, "a", "y"), (4, "a", "y")]
+    create_or_merge(frame(spark, second), name, ["k"], audit_table=audit)
+    create_or_merge(frame(spark, second + [(5, "a", "y")]), name, ["k"], how="insert", audit_table=audit)
+    log = spark.table(audit).orderBy("loaded_at").drop("loaded_at")
+    assert [tuple(r) for r in log.collect()] == [
+        (name, 1, "create", 2, 0, 0),
+        (name, 2, "merge upsert", 2, 1, 1),
+        (name, 2, "merge insert", 1, 0, 4),
+    ]
+
+
+def test_export(spark, tmp_path):
+    folder = str(tmp_path / "gold")
+    export_parquet(frame(spark, [(1, "a", "x")]), folder)
+    export_parquet(frame(spark, [(2, "b", "y")]), folder)
+    assert rows(spark.read.parquet(folder)) == [(2, "b", "y")]
+    export_parquet(frame(spark, [(2, "b", "y"), (3, "c", "y")]), folder, ["d"])
+    read = spark.read.parquet(folder)
+    assert rows(read.filter("d = 'c'").select("k")) == [(3,)]
