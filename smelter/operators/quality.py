@@ -30,8 +30,14 @@ def with_rule_flags(
 
 def reject_reason(rules: Sequence[Rule], null_policy: str = "reject") -> Column:
     """Reasons of all failed rules in rule order; '' when none failed."""
-    parts = [F.when(~rule.flag(null_policy), rule.reason_column()) for rule in rules]
-    return F.concat_ws(REASON_SEPARATOR, *parts)
+    check_null_policy(null_policy)
+
+    def part(rule: Rule) -> Column:
+        if null_policy == "drop":
+            return F.when(~rule.holds, rule.reason_column())
+        return F.when(rule.holds, F.lit(None)).otherwise(rule.reason_column())
+
+    return F.concat_ws(REASON_SEPARATOR, *[part(rule) for rule in rules])
 
 
 def failed(rules: Sequence[Rule], null_policy: str = "reject") -> Column:
@@ -43,7 +49,7 @@ def failed(rules: Sequence[Rule], null_policy: str = "reject") -> Column:
     check_null_policy(null_policy)
     if null_policy == "drop":
         return ~all_of(rules)
-    return ~F.coalesce(all_of(rules), F.lit(False))
+    return ~all_of(rules).eqNullSafe(F.lit(True))
 
 
 def split(df: DataFrame, rules: Sequence[Rule], null_policy: str = "reject") -> Split:

@@ -41,7 +41,8 @@ def conf(spark):
         spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
-def test_click_filters_reach_the_scan(spark, tmp_path):
+def test_click_filters_reach_the_scan(spark, tmp_path, conf):
+    conf(maxMetadataStringLength="2000")
     adapters.click_src(spark, SF_DIR).write.parquet(str(tmp_path / "clicks"))
     text = plan(silver_clicks(spark.read.parquet(str(tmp_path / "clicks"))))
     pushed = re.search(r"PushedFilters: \[([^\]]*)", text).group(1)
@@ -50,7 +51,8 @@ def test_click_filters_reach_the_scan(spark, tmp_path):
     assert exchanges(text) == ["hashpartitioning"]
 
 
-def test_engagement_reads_only_its_columns(spark, tmp_path):
+def test_engagement_reads_only_its_columns(spark, tmp_path, conf):
+    conf(maxMetadataStringLength="2000")
     adapters.click_src(spark, SF_DIR).write.parquet(str(tmp_path / "clicks"))
     text = plan(daily_engagement(spark.read.parquet(str(tmp_path / "clicks"))))
     schema = re.search(r"ReadSchema: struct<([^>]*)", text).group(1)
