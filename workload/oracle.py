@@ -410,6 +410,13 @@ ORACLE: dict[str, str] = {
            CASE WHEN c_nationkey < 13 THEN NULL ELSE c_acctbal END AS c_acctbal FROM customer""",
 }
 
+# The same results by way of tables
+ORACLE["table_merge_upsert"] = ORACLE["merge_upsert"]
+ORACLE["table_merge_upsert_partitioned"] = ORACLE["merge_upsert"]
+ORACLE["table_merge_insert"] = ORACLE["merge_insert_only"]
+ORACLE["run_pipeline_fact"] = ORACLE["fact_orders"]
+ORACLE["run_pipeline_engagement"] = ORACLE["daily_engagement"]
+
 for _name, _with in (("customers", CUSTOMERS), ("products", PRODUCTS), ("orders", ORDERS)):
     _kept = SHOWN[_name]
     if _name == "orders":

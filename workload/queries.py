@@ -19,7 +19,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from smelter.config import IngestConfig
+from smelter.config import IngestConfig, PipelineConfig
 from smelter.functions.dates import calendar
 from smelter.functions.numbers import ratio
 from smelter.functions.text import clean
@@ -42,7 +42,7 @@ from smelter.operators.shape import align_to_schema, normalise_status, preview
 from smelter.plans.clicks import SUMMARY, daily_engagement, silver_clicks
 from smelter.plans.customers import CUSTOMERS, customer_rules, dim_customer, email_rule
 from smelter.plans.flow import Flow
-from smelter.plans.ingest import ingest, landed
+from smelter.plans.ingest import ingest, ingest_clicks, landed
 from smelter.plans.orders import (
     DIMENSION_KEYS,
     ORDERS,
@@ -51,9 +51,10 @@ from smelter.plans.orders import (
     order_rules,
     split_fact,
 )
+from smelter.plans.pipeline import run_pipeline
 from smelter.plans.products import PRODUCTS, dim_product, product_rules
 from smelter.scratch import new_folder
-from smelter.sinks.tables import export_parquet, save_table
+from smelter.sinks.tables import create_or_merge, export_parquet, save_table
 from smelter.sources.pages import PAGE_SCHEMA, bronze_clicks, read_json_pages
 from workload.adapters import (
     click_pages,
@@ -491,3 +492,58 @@ def product_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     export_parquet(_dimensions(spark, sf_dir)[1], folder)
     return spark.read.parquet(folder)
 
+
+
+def _merged_table(
+    spark: SparkSession, sf_dir: str, how: str, partition_by: list[str] | None = None
+) -> DataFrame:
+    """The merge fixture, merged twice into a table; the second time changes nothing."""
+    name = f"{new_database(spark)}.orders"
+    target, source = _merge_fixture(spark, sf_dir)
+    create_or_merge(target, name, ["o_orderkey"], partition_by=partition_by)
+    for _ in range(2):
+        create_or_merge(source, name, ["o_orderkey"], how)
+    return spark.table(name)
+
+
+@query("table_merge_upsert")
+def table_merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _merged_table(spark, sf_dir, "upsert")
+
+
+@query("table_merge_upsert_partitioned")
+def table_merge_upsert_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _merged_table(spark, sf_dir, "upsert", ["o_orderpriority"])
+
+
+@query("table_merge_insert")
+def table_merge_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _merged_table(spark, sf_dir, "insert")
+
+
+def _run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Bronze tables from the given ones, then silver and gold."""
+    database = new_database(spark)
+    # batches of customers and products as times of ingest
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.col("_batch_id")).cast("timestamp")
+    times = {"_ingested_at": day, "_source_file_modified_at": day}
+    for name, source in (("customers", customers_src), ("products", products_src)):
+        save_table(source(spark, sf_dir).withColumns(times), f"{database}.{name}")
+    save_table(orders_src(spark, sf_dir), f"{database}.orders")
+    folder = new_folder(spark, "pages")
+    click_pages(spark, sf_dir).write.option("maxRecordsPerFile", 1).json(folder)
+    ingest_clicks(spark, folder, f"{database}.click_events", PAGE_SCHEMA)
+    return run_pipeline(
+        spark,
+        PipelineConfig(bronze=database, silver=new_database(spark), gold=new_database(spark)),
+    )
+
+
+@query("run_pipeline_fact")
+def run_pipeline_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run(spark, sf_dir)["fact_orders"]
+
+
+@query("run_pipeline_engagement")
+def run_pipeline_engagement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run(spark, sf_dir)["daily_customer_engagement"]
