@@ -42,7 +42,8 @@ class PipelineConfig:
 
     ``partitions`` maps a table (``"gold.fact_orders"``, layer name and table) to
     the column it is partitioned by, so that a merge rewrites only the partitions
-    it changes. ``export_root`` is the folder of the published parquet copies;
+    it changes; ``buckets`` maps a table to a number of buckets by its key instead, so
+    that a merge need not shuffle it. ``export_root`` is the folder of the published parquet copies;
     None publishes nothing.
     """
 
@@ -55,4 +56,5 @@ class PipelineConfig:
     export_root: str | None = None
     export_partitions: Mapping[str, str] = field(default_factory=dict)
     partitions: Mapping[str, str] = field(default_factory=dict)
+    buckets: Mapping[str, int] = field(default_factory=dict)
     audit_table: str | None = None

@@ -42,6 +42,7 @@ def run_pipeline(
             f"{layers[layer]}.{name}",
             [key],
             partition_by=[column] if column else None,
+            buckets=config.buckets.get(f"{layer}.{name}"),
             audit_table=config.audit_table,
         )
 

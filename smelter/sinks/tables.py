@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,47 @@ from smelter.scratch import stage
 from smelter.sources.catalog import table_exists
 
 
+class Layout(NamedTuple):
+    """How the files of a table are laid out: by the values of columns, or by the hash
+    of columns into a number of buckets, which spares joins on these a shuffle."""
+
+    partition_by: tuple[str, ...] = ()
+    bucket_by: tuple[str, ...] = ()
+    buckets: int = 0
+
+    @classmethod
+    def of(
+        cls,
+        partition_by: Sequence[str] | None = None,
+        bucket_by: Sequence[str] | None = None,
+        buckets: int | None = None,
+    ) -> Layout:
+        layout = cls(tuple(partition_by or ()), tuple(bucket_by or ()), buckets or 0)
+        if bool(layout.bucket_by) != bool(layout.buckets):
+            raise ValueError("buckets need columns and a number")
+        if layout.partition_by and layout.bucket_by:
+            raise ValueError("a table is partitioned or bucketed, not both")
+        return layout
+
+    def grouped(self, df: DataFrame) -> DataFrame:
+        """Rows of one partition or bucket brought together before they are written. A
+        rebalance, unlike a hash repartition, splits partitions much larger than others."""
+        if self.partition_by:
+            return df.hint("rebalance", *self.partition_by)
+        return df.repartition(self.buckets, *self.bucket_by) if self.buckets else df
+
+    def clause(self) -> str:
+        def listed(columns: Sequence[str]) -> str:
+            return "(" + ", ".join(f"`{c}`" for c in columns) + ")"
+
+        if self.partition_by:
+            return f"PARTITIONED BY {listed(self.partition_by)}"
+        if self.buckets:
+            columns = listed(self.bucket_by)
+            return f"CLUSTERED BY {columns} SORTED BY {columns} INTO {self.buckets} BUCKETS"
+        return ""
+
+
 def _parts(name: str) -> tuple[str, str]:
     *database, table = name.replace("`", "").split(".")
     return (database[-1] if database else ""), table
@@ -49,8 +91,11 @@ def table_version(spark: SparkSession, name: str) -> int:
     return int(found.group(1)) if found else 0
 
 
-def table_partitions(spark: SparkSession, name: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+def table_layout(spark: SparkSession, name: str) -> Layout:
+    columns = spark.catalog.listColumns(name)
+    bucketed = [c.name for c in columns if c.isBucket]
+    number = int(_detail(spark, name, "Num Buckets")) if bucketed else 0
+    return Layout.of([c.name for c in columns if c.isPartition], bucketed, number)
 
 
 def _root(spark: SparkSession, name: str) -> str:
@@ -64,11 +109,18 @@ def _new_version(spark: SparkSession, name: str) -> str:
     return f"{_root(spark, name)}/v{number}-{uuid.uuid4().hex[:8]}"
 
 
-def _write(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Partitioned files are grouped by partition first; a rebalance, unlike a hash
-    repartition, lets Spark split a partition that is much larger than the others."""
-    if partition_by:
-        df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(path)
+def _write(df: DataFrame, path: str, layout: Layout, name: str) -> None:
+    """Write rows that are grouped already. Spark writes buckets to a table only, so
+    one of another name is made for it and given up, its files staying."""
+    if layout.partition_by:
+        df.write.partitionBy(*layout.partition_by).parquet(path)
+    elif layout.buckets:
+        passing = f"{name}_{uuid.uuid4().hex[:8]}"
+        first, *others = layout.bucket_by
+        writer = df.write.format("parquet").option("path", path)
+        writer = writer.bucketBy(layout.buckets, first, *others).sortBy(first, *others)
+        writer.saveAsTable(passing)
+        df.sparkSession.sql(f"DROP TABLE {passing}")
     else:
         df.write.parquet(path)
 
@@ -82,9 +134,9 @@ def _shape(schema: StructType) -> list[tuple[str, str]]:
 
 
 def _publish(
-    spark: SparkSession, name: str, path: str, schema: StructType, partition_by: Sequence[str]
+    spark: SparkSession, name: str, path: str, schema: StructType, layout: Layout
 ) -> None:
-    if table_exists(spark, name) and not partition_by and not table_partitions(spark, name):
+    if table_exists(spark, name) and not layout.partition_by and table_layout(spark, name) == layout:
         present = _shape(spark.table(name).schema)
         wanted = _shape(schema)
         if wanted[: len(present)] == present:
@@ -95,27 +147,35 @@ def _publish(
             spark.catalog.refreshTable(name)
             return
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    layout = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE {name} ({_ddl(schema.fields)}) USING parquet {layout} LOCATION '{path}'")
-    if partition_by:
+    spark.sql(
+        f"CREATE TABLE {name} ({_ddl(schema.fields)}) USING parquet {layout.clause()}"
+        f" LOCATION '{path}'"
+    )
+    if layout.partition_by:
         spark.catalog.recoverPartitions(name)
 
 
-def _overwrite(
-    df: DataFrame, name: str, replace_schema: bool, partition_by: Sequence[str] | None
-) -> None:
-    spark = df.sparkSession
-    exists = table_exists(spark, name)
-    if exists and not replace_schema:
-        present, wanted = (sorted(_shape(s)) for s in (spark.table(name).schema, df.schema))
-        if present != wanted:
-            raise ValueError(f"schema of {name} would change from {present} to {wanted}")
-        df = df.select(*spark.table(name).columns)
-    if partition_by is None:
-        partition_by = table_partitions(spark, name) if exists else []
+def _replace(grouped: DataFrame, name: str, layout: Layout) -> None:
+    """Point the table to a new folder with these rows."""
+    spark = grouped.sparkSession
     path = _new_version(spark, name)
-    _write(df, path, partition_by)
-    _publish(spark, name, path, df.schema, partition_by)
+    _write(grouped, path, layout, name)
+    _publish(spark, name, path, grouped.schema, layout)
+
+
+def _overwrite(df: DataFrame, name: str, replace_schema: bool, layout: Layout) -> None:
+    spark = df.sparkSession
+    if table_exists(spark, name):
+        if not replace_schema:
+            present, wanted = (sorted(_shape(s)) for s in (spark.table(name).schema, df.schema))
+            if present != wanted:
+                raise ValueError(f"schema of {name} would change from {present} to {wanted}")
+            df = df.select(*spark.table(name).columns)
+        if layout == Layout():
+            layout = table_layout(spark, name)
+            if not {*layout.partition_by, *layout.bucket_by} <= {*df.columns}:
+                layout = Layout()
+    _replace(layout.grouped(df), name, layout)
 
 
 def _append(df: DataFrame, name: str) -> None:
@@ -134,8 +194,7 @@ def _append(df: DataFrame, name: str) -> None:
         for f in target.schema.fields
     ]
     rows = aligned.select(*values)
-    partitioned = table_partitions(spark, name)
-    (rows.hint("rebalance", *partitioned) if partitioned else rows).write.insertInto(name)
+    table_layout(spark, name).grouped(rows).write.insertInto(name)
 
 
 def save_table(
@@ -144,18 +203,20 @@ def save_table(
     mode: str = "overwrite",
     replace_schema: bool = True,
     partition_by: Sequence[str] | None = None,
+    bucket_by: Sequence[str] | None = None,
+    buckets: int | None = None,
 ) -> None:
     """Write ``df`` as catalog table ``name``.
 
     "overwrite" replaces rows and, unless forbidden, the schema; "append" adds rows
-    and new columns. ``partition_by`` is for new tables, existing ones keep theirs.
+    and new columns. A table keeps its layout unless an overwrite names another one.
     """
     if mode not in LOAD_MODES:
         raise ValueError(f"mode {mode!r} is none of {LOAD_MODES}")
     if mode == "append" and table_exists(df.sparkSession, name):
         _append(df, name)
     else:
-        _overwrite(df, name, replace_schema, partition_by)
+        _overwrite(df, name, replace_schema, Layout.of(partition_by, bucket_by, buckets))
 
 
 def _in_partitions(column: str, values: Sequence[object]) -> Column:
@@ -186,7 +247,8 @@ def _upsert_partitions(target: DataFrame, batch: DataFrame, name: str, keys: Seq
     a crash they may be held twice until the batch is merged again, but never lost.
     """
     spark = batch.sparkSession
-    (column,) = table_partitions(spark, name)
+    layout = table_layout(spark, name)
+    (column,) = layout.partition_by
     hit = target.select(column, *[k for k in keys if k != column]).join(
         batch.select(*keys), list(keys), "left_semi"
     )
@@ -205,7 +267,7 @@ def _upsert_partitions(target: DataFrame, batch: DataFrame, name: str, keys: Seq
     if added:
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_ddl(added)})")
     path = f"{_root(spark, name)}/merge-{uuid.uuid4().hex[:8]}"
-    _write(merged, path, [column])
+    _write(layout.grouped(merged), path, layout, name)
     folders = _partition_folders(spark.read.schema(merged.schema).parquet(path), column)
     for value in stale:
         spec = f"PARTITION (`{column}` = {'null' if value is None else _text_literal(value)})"
@@ -255,6 +317,7 @@ def create_or_merge(
     how: str = "upsert",
     null_keys: str = "insert",
     partition_by: Sequence[str] | None = None,
+    buckets: int | None = None,
     audit_table: str | None = None,
 ) -> DataFrame:
     """Create table ``name`` from ``df``, or merge ``df`` into it; returns this batch's rows.
@@ -262,13 +325,16 @@ def create_or_merge(
     The batch is written once and read from there by the check, the join and the
     caller. What has to be written of the table depends on what the batch changes:
     with only unseen keys files are added, a partitioned table gets the partitions
-    with changed rows written anew, and only an unpartitioned one is rewritten whole.
+    with changed rows written anew, and any other is rewritten whole. ``buckets`` lays a
+    new table out by its keys, so that no merge has to shuffle it, however large the
+    batch; it suits tables whose changes fall into all partitions.
     """
     if how not in ("upsert", "insert"):
         raise ValueError(f"how {how!r} is neither 'upsert' nor 'insert'")
     spark = df.sparkSession
     if not table_exists(spark, name):
-        save_table(df, name, partition_by=partition_by)
+        by_key = keys if buckets else None
+        save_table(df, name, partition_by=partition_by, bucket_by=by_key, buckets=buckets)
         created = spark.table(name)
         if audit_table:
             counts = created.agg(F.count("*").alias("rows_inserted")).select(
@@ -289,13 +355,19 @@ def create_or_merge(
         require_unique(batch, keys)
         if audit_table:
             counts = stage(merge_counts(target, batch, keys), "audit")
-        if len(table_partitions(spark, name)) == 1:
+        layout = table_layout(spark, name)
+        if len(layout.partition_by) == 1:
             _upsert_partitions(target, batch, name, keys)
         elif target.select(*keys).join(batch.select(*keys), list(keys), "left_semi").isEmpty():
             _append(batch, name)
         else:
-            merged = untouched(target, batch, keys).unionByName(batch, allowMissingColumns=True)
-            _overwrite(merged, name, True, None)
+            kept = untouched(target, batch, keys)
+            if layout.buckets:
+                # rows kept from buckets are in buckets still
+                merged = kept.unionByName(layout.grouped(batch), allowMissingColumns=True)
+            else:
+                merged = layout.grouped(kept.unionByName(batch, allowMissingColumns=True))
+            _replace(merged, name, layout)
     if counts is not None:
         record_load(counts, audit_table, name, f"merge {how}", table_version(spark, name))
     return batch
@@ -303,5 +375,5 @@ def create_or_merge(
 
 def export_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Publish ``df`` as a parquet folder in place of what was there."""
-    writer = df.hint("rebalance", *partition_by).write.partitionBy(*partition_by) if partition_by else df.write
-    writer.mode("overwrite").parquet(path)
+    writer = Layout.of(partition_by).grouped(df).write.mode("overwrite")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)

@@ -10,7 +10,7 @@ from smelter.plans.customers import dim_customer
 from smelter.plans.ingest import ingest_clicks
 from smelter.plans.orders import fact_orders, split_fact
 from smelter.plans.pipeline import run_pipeline
-from smelter.sinks.tables import save_table, table_partitions
+from smelter.sinks.tables import save_table, table_layout
 from smelter.sources.pages import PAGE_SCHEMA
 from workload import adapters
 
@@ -51,18 +51,20 @@ def state(spark, layers):
     return found
 
 
-@pytest.mark.parametrize("partitioned", [False, True])
-def test_run_twice(spark, layers, tmp_path, partitioned):
+@pytest.mark.parametrize("layout", [None, "partitions", "buckets"])
+def test_run_twice(spark, layers, tmp_path, layout):
     partitions = {
         "gold.fact_orders": "order_quarter",
         "silver.click_events": "business_date",
         "silver.orders": "status",
     }
+    buckets = {"silver.orders": 4, "gold.fact_orders": 4}
     config = PipelineConfig(
         **layers,
         export_root=str(tmp_path / "published"),
-        export_partitions={"fact_orders": "order_quarter"} if partitioned else {},
-        partitions=partitions if partitioned else {},
+        export_partitions={"fact_orders": "order_quarter"} if layout == "partitions" else {},
+        partitions=partitions if layout == "partitions" else {},
+        buckets=buckets if layout == "buckets" else {},
         store_product_rejects=True,
         audit_table=f"{layers['gold']}.load_audit",
     )
@@ -84,8 +86,11 @@ def test_run_twice(spark, layers, tmp_path, partitioned):
     assert orders.count() == orders.select("order_id").distinct().count()
     assert gold["fact_orders"].count() == orders.count()
     assert spark.read.parquet(str(tmp_path / "published" / "fact_orders")).count() == orders.count()
-    if partitioned:
-        assert table_partitions(spark, f"{layers['gold']}.fact_orders") == ["order_quarter"]
+    if layout == "partitions":
+        assert table_layout(spark, f"{layers['gold']}.fact_orders").partition_by == ("order_quarter",)
+
+    if layout == "buckets":
+        assert table_layout(spark, f"{layers['silver']}.orders").buckets == 4
 
     run_pipeline(spark, config)
     second = state(spark, layers)

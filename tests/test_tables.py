@@ -1,13 +1,14 @@
 import pytest
 from pyspark.sql import functions as F
 
+from smelter.operators.merge import untouched
 from smelter.scratch import shared_folder, stage
 from smelter.sinks.tables import (
     create_or_merge,
     export_parquet,
     save_table,
+    table_layout,
     table_location,
-    table_partitions,
     table_version,
 )
 from smelter.sources.catalog import describe, list_tables, table_exists
@@ -90,13 +91,17 @@ def test_empty_table(spark, database):
     assert spark.table(name).count() == 1
 
 
-@pytest.mark.parametrize("partitioned", [False, True])
-def test_upsert_table(spark, database, partitioned):
+LAYOUTS = [{}, {"partition_by": ["d"]}, {"buckets": 3}]
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_upsert_table(spark, database, layout):
     name = f"{database}.t"
-    by = ["d"] if partitioned else None
     first = [(1, "a", "x"), (2, "b", "x"), (3, "b", "x"), (4, None, "x"), (None, "c", "n")]
-    create_or_merge(frame(spark, first), name, ["k"], partition_by=by)
-    assert table_partitions(spark, name) == (by or [])
+    create_or_merge(frame(spark, first), name, ["k"], **layout)
+    found = table_layout(spark, name)
+    assert found.partition_by == tuple(layout.get("partition_by", ()))
+    assert found.buckets == layout.get("buckets", 0)
     columns = ["k", "d", "v"]
 
     # changes, moves to another partition, news in an old and a new partition
@@ -113,6 +118,7 @@ def test_upsert_table(spark, database, partitioned):
     create_or_merge(frame(spark, [(7, "a", "z"), (8, "f", "z")]), name, ["k"])
     assert before < files(spark.table(name))
     assert spark.table(name).count() == len(expected) + 2
+    assert table_layout(spark, name) == found
     # partitions read back by value
     assert rows(spark.table(name).filter("d = 'a'").select("k")) == [(1,), (3,), (7,)]
     with pytest.raises(ValueError, match="more than once"):
@@ -155,7 +161,7 @@ def test_date_partitions(spark, database):
     create_or_merge(df.filter("k < 4").withColumn("v", F.lit("y")), name, ["k"])
     assert spark.table(name).filter("v = 'y'").count() == 4
     assert spark.table(name).count() == 9
-    assert table_partitions(spark, name) == ["d"]
+    assert table_layout(spark, name).partition_by == ("d",)
     assert dict(spark.table(name).dtypes)["d"] == "date"
 
 
@@ -163,10 +169,41 @@ def test_partitioned_overwrite(spark, database):
     name = f"{database}.t"
     save_table(frame(spark, [(1, "a", "x")]), name, partition_by=["d"])
     save_table(frame(spark, [(2, "b", "y"), (3, "c", "y")]), name)
-    assert table_partitions(spark, name) == ["d"]
+    assert table_layout(spark, name).partition_by == ("d",)
     assert rows(spark.table(name).select("k", "d")) == [(2, "b"), (3, "c")]
 
 
+def test_partitions_and_buckets_exclude_each_other(spark, database):
+    with pytest.raises(ValueError, match="not both"):
+        save_table(frame(spark, []), f"{database}.t", partition_by=["d"], bucket_by=["k"], buckets=2)
+    with pytest.raises(ValueError, match="columns and a number"):
+        save_table(frame(spark, []), f"{database}.t", bucket_by=["k"])
+
+
+def test_a_bucketed_target_is_not_shuffled(spark, database):
+    """Not even by a batch too large to broadcast."""
+    name = f"{database}.t"
+    wide = spark.range(20_000).selectExpr("id AS k", "string(id) AS v")
+    create_or_merge(wide, name, ["k"], buckets=16)
+    assert len(files(spark.table(name))) == 16
+    batch = wide.filter("k % 2 = 0").withColumn("v", F.lit("new"))
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        kept = untouched(spark.table(name), batch, ["k"])
+        text = kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(threshold, before)
+    left, right = text.split("SortMergeJoin")[1].split("\n   +- ", 1)
+    assert "Exchange" not in left and "Exchange" in right
+    create_or_merge(batch, name, ["k"])
+    merged = spark.table(name)
+    assert merged.count() == 20_000 and merged.filter("v = 'new'").count() == 10_000
+    assert len(files(merged)) <= 2 * 16
+    assert list_tables(spark, database) == ["t"]
+
+
 def test_insert_only_table(spark, database):
     name = f"{database}.t"
     create_or_merge(frame(spark, [(1, "a", "x")]), name, ["k"], how="insert")
