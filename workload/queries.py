@@ -20,6 +20,7 @@ from pyspark.sql.types import (
 )
 
 from smelter.config import IngestConfig, PipelineConfig
+from smelter.constants import NEWEST_FIRST
 from smelter.functions.dates import calendar
 from smelter.functions.numbers import ratio
 from smelter.functions.text import clean
@@ -158,7 +159,7 @@ def daily_engagement_since(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _register_flow(
     name: str, flow: Flow, source: Query, newest: tuple[str, ...] | None = None
 ) -> None:
-    """Queries shared by customers, products and orders."""
+    """Queries that customers, products and orders have in common."""
     order = {} if newest is None else {"newest": newest}
 
     def refined(spark: SparkSession, sf_dir: str, null_policy: str):
@@ -179,7 +180,7 @@ def _register_flow(
     QUERIES[f"reconcile_{name}_decided"] = reconciled("drop")
     QUERIES[f"latest_{name}"] = lambda spark, sf_dir: plain(
         latest_per_key(
-            source(spark, sf_dir), [flow.key], newest or ("_ingested_at", "_source_file_modified_at")
+            source(spark, sf_dir), [flow.key], newest or NEWEST_FIRST
         )
     )
 
@@ -195,7 +196,7 @@ def _clean_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("rule_flags")
 def rule_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All three sets of flags, undecided ones left NULL, each counted by combination."""
+    """Undecided flags stay NULL; combinations of flags are counted."""
     customers = with_rule_flags(
         CUSTOMERS.standardized(customers_src(spark, sf_dir)), customer_rules(), "drop"
     )
