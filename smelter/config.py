@@ -44,7 +44,8 @@ class PipelineConfig:
     the column it is partitioned by, so that a merge rewrites only the partitions
     it changes; ``buckets`` maps a table to a number of buckets by its key instead, so
     that a merge need not shuffle it. ``export_root`` is the folder of the published parquet copies;
-    None publishes nothing.
+    None publishes nothing. ``engagement_since`` leaves the metrics of earlier days as
+    they are instead of computing all days again.
     """
 
     bronze: str = "bronze"
@@ -58,3 +59,4 @@ class PipelineConfig:
     partitions: Mapping[str, str] = field(default_factory=dict)
     buckets: Mapping[str, int] = field(default_factory=dict)
     audit_table: str | None = None
+    engagement_since: str | None = None

@@ -73,7 +73,7 @@ def run_pipeline(
     replace(split_fact(batch, at).rejected, "gold", "fact_order_rejected")
 
     merge(
-        daily_engagement(table("silver", "click_events"), at=at),
+        daily_engagement(table("silver", "click_events"), since=config.engagement_since, at=at),
         "gold",
         "daily_customer_engagement",
         "business_date",

@@ -20,6 +20,7 @@ from pyspark.sql.types import StructField, StructType
 
 from smelter.constants import LOAD_MODES
 from smelter.operators.merge import prepared_source, require_unique, unseen, untouched
+from smelter.operators.rules import all_present
 from smelter.operators.shape import align_to_schema
 from smelter.scratch import stage
 from smelter.sources.catalog import table_exists
@@ -72,13 +73,10 @@ def _parts(name: str) -> tuple[str, str]:
 
 
 def _detail(spark: SparkSession, name: str, item: str) -> str | None:
-    found = (
-        spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
-        .filter(F.col("col_name") == item)
-        .select("data_type")
-        .take(1)
-    )
-    return found[0][0] if found else None
+    """A line of the table's description; the last one, as a column may have that name."""
+    lines = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter(F.col("col_name") == item)
+    found = lines.select("data_type").collect()
+    return found[-1][0] if found else None
 
 
 def table_location(spark: SparkSession, name: str) -> str:
@@ -125,6 +123,11 @@ def _write(df: DataFrame, path: str, layout: Layout, name: str) -> None:
         df.write.parquet(path)
 
 
+def _text_literal(value: object) -> str:
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
 def _ddl(fields: Sequence[StructField]) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 
@@ -143,13 +146,13 @@ def _publish(
             added = schema.fields[len(present) :]
             if added:
                 spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_ddl(added)})")
-            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+            spark.sql(f"ALTER TABLE {name} SET LOCATION {_text_literal(path)}")
             spark.catalog.refreshTable(name)
             return
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(
         f"CREATE TABLE {name} ({_ddl(schema.fields)}) USING parquet {layout.clause()}"
-        f" LOCATION '{path}'"
+        f" LOCATION {_text_literal(path)}"
     )
     if layout.partition_by:
         spark.catalog.recoverPartitions(name)
@@ -226,11 +229,6 @@ def _in_partitions(column: str, values: Sequence[object]) -> Column:
     return chosen | F.col(column).isNull() if len(known) < len(values) else chosen
 
 
-def _text_literal(value: object) -> str:
-    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
-    return f"'{text}'"
-
-
 def _partition_folders(written: DataFrame, column: str) -> dict[object, str]:
     """Folder of each value of the partition column, from the names of the files."""
     folder = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]*$", 1)
@@ -334,7 +332,8 @@ def create_or_merge(
     spark = df.sparkSession
     if not table_exists(spark, name):
         by_key = keys if buckets else None
-        save_table(df, name, partition_by=partition_by, bucket_by=by_key, buckets=buckets)
+        first = df.filter(all_present(keys)) if null_keys == "drop" else df
+        save_table(first, name, partition_by=partition_by, bucket_by=by_key, buckets=buckets)
         created = spark.table(name)
         if audit_table:
             counts = created.agg(F.count("*").alias("rows_inserted")).select(

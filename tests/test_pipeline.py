@@ -114,6 +114,18 @@ def test_rows_gone_from_the_source_stay_in_gold(spark, layers):
     assert len(after["silver.customers"]) < len(before["silver.customers"])
 
 
+def test_days_before_since_stay(spark, layers):
+    run_pipeline(spark, PipelineConfig(**layers), datetime(2024, 2, 1, tzinfo=timezone.utc))
+    since = PipelineConfig(**layers, engagement_since="2024-01-20")
+    run_pipeline(spark, since, datetime(2024, 2, 2, tzinfo=timezone.utc))
+    days = spark.table(f"{layers['gold']}.daily_customer_engagement")
+    renewed = F.to_date("_gold_processed_at") == "2024-02-02"
+    counts = days.agg(
+        F.count("*"), F.count_if(renewed), F.count_if(renewed & (F.col("business_date") < "2024-01-20"))
+    ).first()
+    assert tuple(counts) == (30, 11, 0)
+
+
 def test_customer_name(spark):
     rows = spark.sql(
         "SELECT 1 AS customer_id, CAST(NULL AS STRING) AS first_name, 'B' AS last_name, 'e' AS email,"

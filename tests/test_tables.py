@@ -215,6 +215,31 @@ def test_insert_only_table(spark, database):
         create_or_merge(frame(spark, []), name, ["k"], how="replace")
 
 
+def test_a_bucketed_table_gains_a_column(spark, database):
+    name = f"{database}.t"
+    create_or_merge(frame(spark, [(1, "a", "x"), (2, "b", "x")]), name, ["k"], buckets=2)
+    ddl = "k int, d string, v string, Location string"
+    for k in (2, 3):
+        create_or_merge(frame(spark, [(k, "c", "y", "here")], ddl), name, ["k"])
+    assert rows(spark.table(name)) == [
+        (1, "a", "x", None),
+        (2, "c", "y", "here"),
+        (3, "c", "y", "here"),
+    ]
+    assert table_layout(spark, name).buckets == 2 and table_version(spark, name) == 2
+    assert spark.table(name).filter("k = 3").count() == 1
+
+
+def test_null_keys_of_a_table(spark, database):
+    first, second = [(None, "a", "x"), (1, "a", "x")], [(None, "a", "y"), (1, "a", "y")]
+    for null_keys, nulls in (("insert", 2), ("drop", 0)):
+        name = f"{database}.{null_keys}_nulls"
+        for batch in (first, second):
+            create_or_merge(frame(spark, batch), name, ["k"], null_keys=null_keys)
+        assert spark.table(name).filter("k IS NULL").count() == nulls
+        assert rows(spark.table(name).filter("k = 1")) == [(1, "a", "y")]
+
+
 def test_audit_table(spark, database):
     name, audit = f"{database}.t", f"{database}.load_audit"
     create_or_merge(frame(spark, [(1, "a", "x"), (2, "a", "x")]), name, ["k"], audit_table=audit)
