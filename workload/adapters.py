@@ -122,7 +122,7 @@ def click_src(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Events of one page: ids are unique, so a page stays this small at any scale.
-PAGE_IDS = 1000
+PAGE_IDS = 5000
 PAGE_EXPRESSION = f"event_id - event_id % {PAGE_IDS}"
 
 

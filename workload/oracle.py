@@ -346,8 +346,9 @@ ORACLE: dict[str, str] = {
            STRFTIME(o_orderdate, '%B') AS order_month_name,
            CAST(QUARTER(o_orderdate) AS INTEGER) AS order_quarter,
            CAST(SUBSTR(c_name, 10, 9) AS BIGINT) AS number_in_name,
-           TRY_CAST(c_name AS BIGINT) AS not_a_number,
-           CAST(TRY_CAST(c_name AS DATE) AS VARCHAR) AS not_a_date
+           CASE WHEN o_orderkey % 2 <> 0 THEN CAST(SUBSTR(c_name, 10, 9) AS BIGINT) END
+               AS number_if_one,
+           CASE WHEN o_orderkey % 2 <> 0 THEN '1998-01-02' END AS date_if_one
     FROM orders JOIN customer ON o_custkey = c_custkey""".format(
         share=_share("o_custkey", "(o_orderkey + 1)")
     ),

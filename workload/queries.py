@@ -309,6 +309,8 @@ def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     band = F.when(F.col("o_totalprice") > 300000, "high").otherwise(
         F.when(F.col("o_totalprice") > 100000, "middle").otherwise("low")
     )
+    # every other value is no number and no date
+    mixed = F.when(F.col("o_orderkey") % 2 == 0, F.col("c_name"))
     return joined.select(
         "o_orderkey",
         clean(F.concat(F.lit("  "), "c_mktsegment", F.lit(" ")), "trim").alias("trimmed"),
@@ -329,8 +331,8 @@ def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
         day.alias("order_date"),
         *[column.alias(name) for name, column in calendar(day, "order").items()],
         F.substring("c_name", 10, 9).cast("long").alias("number_in_name"),
-        F.col("c_name").try_cast("long").alias("not_a_number"),
-        F.try_to_date(F.col("c_name")).alias("not_a_date"),
+        mixed.otherwise(F.substring("c_name", 10, 9)).try_cast("long").alias("number_if_one"),
+        F.try_to_date(mixed.otherwise("1998-01-02")).alias("date_if_one"),
     )
 
 
