@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import TESTDATA
 from smelter import PipelineConfig
+from smelter.plans.checks import run_checks
 from smelter.plans.clicks import daily_engagement, silver_clicks
 from smelter.plans.customers import dim_customer
 from smelter.plans.ingest import ingest_clicks
@@ -114,6 +115,22 @@ def test_rows_gone_from_the_source_stay_in_gold(spark, layers):
     assert len(after["silver.customers"]) < len(before["silver.customers"])
 
 
+def test_checks_find_what_is_wrong(spark, layers):
+    config = PipelineConfig(**layers, null_policy="drop")
+    run_pipeline(spark, config)
+    silver = f"{layers['silver']}.customers"
+    first = spark.table(silver).orderBy("customer_id").limit(1)
+    save_table(first.withColumn("email", F.lit("nowhere")), silver, mode="append")
+    faults = {(r.check_name, r.table_name): r.faults for r in run_checks(spark, config).collect()}
+    assert faults["duplicate_keys", "silver.customers"] == 1
+    assert faults["invalid_emails", "silver.customers"] == 1
+    assert faults["duplicate_keys", "silver.orders"] == 0
+    # undecided rows end up on neither side
+    assert faults["lost_rows", "bronze.orders"] > 0
+    sound = run_checks(spark, PipelineConfig(**layers)).filter("check_name = 'lost_rows'")
+    assert sound.count() == 3 and sound.filter("NOT passed").count() == 0
+
+
 def test_days_before_since_stay(spark, layers):
     run_pipeline(spark, PipelineConfig(**layers), datetime(2024, 2, 1, tzinfo=timezone.utc))
     since = PipelineConfig(**layers, engagement_since="2024-01-20")

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -125,6 +127,28 @@ def test_upsert_table(spark, database, layout):
         create_or_merge(frame(spark, [(1, "a", "q"), (1, "b", "q")]), name, ["k"])
 
 
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_batches_against_a_dictionary(spark, database, layout):
+    """Keys change, arrive and move between partitions, NULL ones included; keys without
+    a value are added by each batch."""
+    chance = random.Random(11)
+    name = f"{database}.t"
+    known, keyless = {}, []
+    for number in range(4):
+        keys = chance.sample(range(30), chance.randrange(1, 20))
+        batch = [(k, chance.choice(["a", "b", "c", None]), f"{number}") for k in keys]
+        batch += [(None, chance.choice("ab"), f"{number}")] * chance.randrange(2)
+        how = "insert" if number == 2 else "upsert"
+        create_or_merge(frame(spark, batch), name, ["k"], how, **layout)
+        for row in batch:
+            if row[0] is None:
+                keyless.append(row)
+            elif how == "upsert" or row[0] not in known:
+                known[row[0]] = row
+        expected = sorted([*known.values(), *keyless], key=str)
+        assert rows(spark.table(name).select("k", "d", "v")) == expected
+
+
 def test_upsert_leaves_other_partitions_alone(spark, database):
     name = f"{database}.t"
     first = [(1, "a", "x"), (2, "b", "x")]

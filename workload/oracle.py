@@ -417,6 +417,18 @@ ORACLE["table_merge_upsert_partitioned"] = ORACLE["merge_upsert"]
 ORACLE["table_merge_insert"] = ORACLE["merge_insert_only"]
 ORACLE["run_pipeline_fact"] = ORACLE["fact_orders"]
 ORACLE["run_pipeline_engagement"] = ORACLE["daily_engagement"]
+ORACLE["run_pipeline_checks"] = FACT + """SELECT *, faults = 0 AS passed FROM (
+    SELECT check_name, table_name, CAST(0 AS BIGINT) AS faults FROM (VALUES
+        ('lost_rows', 'bronze.customers'), ('lost_rows', 'bronze.products'),
+        ('lost_rows', 'bronze.orders'), ('duplicate_keys', 'silver.customers'),
+        ('duplicate_keys', 'silver.products'), ('duplicate_keys', 'silver.orders'),
+        ('duplicate_keys', 'silver.click_events'), ('duplicate_keys', 'gold.dim_customer'),
+        ('duplicate_keys', 'gold.dim_product'), ('duplicate_keys', 'gold.fact_orders'),
+        ('invalid_emails', 'silver.customers')) AS clean(check_name, table_name)
+    UNION ALL SELECT 'missing_customer_keys', 'gold.fact_orders', COUNT(*) FROM fact
+        WHERE customer_key IS NULL
+    UNION ALL SELECT 'missing_product_keys', 'gold.fact_orders', COUNT(*) FROM fact
+        WHERE product_key IS NULL)"""
 
 for _name, _with in (("customers", CUSTOMERS), ("products", PRODUCTS), ("orders", ORDERS)):
     _kept = SHOWN[_name]

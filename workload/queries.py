@@ -40,6 +40,7 @@ from smelter.operators.quality import (
     with_rule_flags,
 )
 from smelter.operators.shape import align_to_schema, normalise_status, preview
+from smelter.plans.checks import run_checks
 from smelter.plans.clicks import SUMMARY, daily_engagement, silver_clicks
 from smelter.plans.customers import CUSTOMERS, customer_rules, dim_customer, email_rule
 from smelter.plans.flow import Flow
@@ -524,7 +525,7 @@ def table_merge_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merged_table(spark, sf_dir, "insert")
 
 
-def _run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def _run(spark: SparkSession, sf_dir: str) -> tuple[PipelineConfig, dict[str, DataFrame]]:
     """Bronze tables from the given ones, then silver and gold."""
     database = new_database(spark)
     # batches of customers and products as times of ingest
@@ -536,17 +537,23 @@ def _run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     folder = new_folder(spark, "pages")
     click_pages(spark, sf_dir).write.option("maxRecordsPerFile", 1).json(folder)
     ingest_clicks(spark, folder, f"{database}.click_events", PAGE_SCHEMA)
-    return run_pipeline(
-        spark,
-        PipelineConfig(bronze=database, silver=new_database(spark), gold=new_database(spark)),
+    config = PipelineConfig(
+        bronze=database, silver=new_database(spark), gold=new_database(spark)
     )
+    return config, run_pipeline(spark, config)
 
 
 @query("run_pipeline_fact")
 def run_pipeline_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run(spark, sf_dir)["fact_orders"]
+    return _run(spark, sf_dir)[1]["fact_orders"]
 
 
 @query("run_pipeline_engagement")
 def run_pipeline_engagement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run(spark, sf_dir)["daily_customer_engagement"]
+    return _run(spark, sf_dir)[1]["daily_customer_engagement"]
+
+
+@query("run_pipeline_checks")
+def run_pipeline_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    config, _ = _run(spark, sf_dir)
+    return run_checks(spark, config)
