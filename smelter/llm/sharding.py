@@ -15,6 +15,7 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -88,78 +89,103 @@ def shard_rows(
 def splitters(rows: DataFrame, targets: list[int], tolerance: float, probes: int) -> list[tuple[int, int, int]]:
     """For each target the key of the first row behind the boundary, over all levels."""
     found: dict[int, tuple] = {}
+    # Where to look: keys of the levels above, and the bytes in front of them
     inside: dict[int, tuple[tuple, int]] = {i: ((), 0) for i in range(len(targets))}
     for level, column in enumerate(LEVELS):
+        prefixes = sorted({prefix for prefix, _ in inside.values()})
+        aims = {i: (prefixes.index(prefix), targets[i] - base) for i, (prefix, base) in inside.items()}
+        gaps = refine(_numbered(rows, prefixes), column, aims, tolerance, probes)
         deeper: dict[int, tuple[tuple, int]] = {}
-        for prefix in sorted({p for p, _ in inside.values()}):
-            here = [i for i in inside if inside[i][0] == prefix]
-            same = rows
-            for name, value in zip(LEVELS, prefix):
-                same = same.where(F.col(name) == F.lit(value))
-            base = inside[here[0]][1]
-            gaps = refine(same, column, [targets[i] - base for i in here], tolerance, probes)
-            for i, gap in zip(here, gaps):
-                last = level == len(LEVELS) - 1
-                if last or gap.settled(targets[i] - base, tolerance):
-                    found[i] = (*prefix, gap.nearest(targets[i] - base)[0], *[LEAST] * (len(LEVELS) - level - 1))
-                else:
-                    deeper[i] = ((*prefix, gap.low), base + gap.below_low)
+        for i, gap in gaps.items():
+            prefix, base = inside[i]
+            aim = targets[i] - base
+            if level == len(LEVELS) - 1 or gap.settled(aim, tolerance):
+                found[i] = (*prefix, gap.nearest(aim)[0], *[LEAST] * (len(LEVELS) - level - 1))
+            else:
+                deeper[i] = ((*prefix, gap.low), base + gap.below_low)
         inside = deeper
         if not inside:
             break
-    return sorted(found[i] for i in found)
+    return sorted(found.values())
 
 
-def refine(rows: DataFrame, column: str, targets: list[int], tolerance: float, probes: int) -> list[Gap]:
-    """The gap of each target: an end within the tolerance, or no more than one key in it.
+def _numbered(rows: DataFrame, prefixes: list[tuple]) -> DataFrame:
+    """Rows below one of the prefixes, which ``_at`` numbers; there are no more than boundaries."""
+    if prefixes == [()]:
+        return rows.withColumn("_at", F.lit(0))
+    number = F.lit(None).cast("int")
+    for i, prefix in enumerate(prefixes):
+        same = F.lit(True)
+        for name, value in zip(LEVELS, prefix):
+            same = same & (F.col(name) == F.lit(value))
+        number = F.when(same, i).otherwise(number)
+    # A simple filter first: it is all that most rows meet
+    return rows.where(F.col(LEVELS[0]).isin(sorted({p[0] for p in prefixes}))).withColumn("_at", number).where("_at is not null")
+
+
+def refine(rows: DataFrame, column: str, aims: dict[int, tuple[int, int]], tolerance: float, probes: int) -> dict[int, Gap]:
+    """The gap of each aim (number of the prefix, bytes): an end within the tolerance, or one key in it.
 
     Each pass is one scan of ``rows``; what comes back is a count for each candidate.
     """
-    gaps: list[Gap] = []
+    gaps: dict[int, Gap] = {}
     while True:
-        if gaps:
-            # Of the gaps that are still too wide
-            wide = {(g.low, g.high) for g, t in zip(gaps, targets) if g.high - g.low > 1 and not g.settled(t, tolerance)}
-        else:
-            wide = {(LEAST, MOST + 1)}
+        wide: dict[int, set[tuple[int, int]]] = {}
+        for i, (at, aim) in aims.items():
+            if not gaps:
+                wide[at] = {(LEAST, MOST + 1)}
+            elif gaps[i].high - gaps[i].low > 1 and not gaps[i].settled(aim, tolerance):
+                wide.setdefault(at, set()).add((gaps[i].low, gaps[i].high))
         if not wide:
             return gaps
-        count = probes if gaps else probes * max(1, len(targets))
-        edges = np.array(sorted({low + (high - low) * i // count for low, high in wide for i in range(count + 1)} - {MOST + 1}), dtype=np.int64)
+        count = probes if gaps else max(probes, probes * len(aims) // len(wide))
+        edges = {
+            at: np.array(sorted({low + (high - low) * i // count for low, high in spans for i in range(count + 1)} - {MOST + 1}), dtype=np.int64)
+            for at, spans in wide.items()
+        }
         passed = _histogram(rows, column, edges)
-        if not gaps:
-            gaps = [Gap(LEAST, MOST + 1, 0, passed[-1].below_high, 2)] * len(targets)
-        starts = [g.below_low for g in passed]
-        gaps = [
-            passed[int(np.searchsorted(starts, t, side="right")) - 1] if (g.low, g.high) in wide else g
-            for g, t in zip(gaps, targets)
-        ]
+        starts = {at: [g.below_low for g in found] for at, found in passed.items()}
+        for i, (at, aim) in aims.items():
+            if at in wide and (not gaps.get(i) or (gaps[i].low, gaps[i].high) in wide[at]):
+                gaps[i] = passed[at][max(0, int(np.searchsorted(starts[at], aim, side="right")) - 1)]
 
 
-def _histogram(rows: DataFrame, column: str, edges: np.ndarray) -> list[Gap]:
-    """From each edge to the next, closed in to the keys that there are: exact bytes and rows."""
+def _histogram(rows: DataFrame, column: str, edges: dict[int, np.ndarray]) -> dict[int, list[Gap]]:
+    """For each prefix, from each edge to the next, closed in to the keys that there are: exact bytes and rows."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        buckets = len(edges) + 1
-        sums, numbers = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
-        first, last = np.full(buckets, MOST), np.full(buckets, LEAST)
+        counts = {}
+        for prefix, own in edges.items():
+            n = len(own) + 1
+            counts[prefix] = np.zeros(n, np.int64), np.zeros(n, np.int64), np.full(n, MOST), np.full(n, LEAST)
         for batch in batches:
-            keys, sizes = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            at = np.searchsorted(edges, keys, side="right")
-            np.add.at(sums, at, sizes)
-            np.add.at(numbers, at, 1)
-            np.minimum.at(first, at, keys)
-            np.maximum.at(last, at, keys)
-        used = np.flatnonzero(numbers)
-        columns = [used.astype(np.int32), sums[used], numbers[used], first[used], last[used]]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["at", "n", "rows", "first", "last"])
-
-    counts = rows.select(column, "_size").mapInArrow(count, "at int, n bigint, rows bigint, first bigint, last bigint")
-    counts = counts.groupBy("at").agg(F.sum("n").alias("n"), F.sum("rows").alias("rows"), F.min("first").alias("first"), F.max("last").alias("last"))
-    found = {row["at"]: row for row in counts.collect()}
-    below, out = found[0].n if 0 in found else 0, []
-    for i, edge in enumerate(edges.tolist(), start=1):
-        row, end = found.get(i), int(edges[i]) if i < len(edges) else MOST + 1
+            all_keys, all_sizes, prefixes = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            for prefix in np.unique(prefixes).tolist():
+                if prefix not in edges:
+                    continue
+                keys, sizes = all_keys[prefixes == prefix], all_sizes[prefixes == prefix]
+                at = np.searchsorted(edges[prefix], keys, side="right")
+                sums, numbers, first, last = counts[prefix]
+                np.add.at(sums, at, sizes)
+                np.add.at(numbers, at, 1)
+                np.minimum.at(first, at, keys)
+                np.maximum.at(last, at, keys)
+        for prefix, found in counts.items():
+            used = np.flatnonzero(found[1])
+            columns = [np.full(len(used), prefix, np.int32), used.astype(np.int32), *(x[used] for x in found)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["prefix", "at", "n", "rows", "first", "last"])
+
+    schema = "prefix int, at int, n bigint, rows bigint, first bigint, last bigint"
+    counts = rows.select(column, "_size", "_at").mapInArrow(count, schema).groupBy("prefix", "at")
+    counts = counts.agg(F.sum("n").alias("n"), F.sum("rows").alias("rows"), F.min("first").alias("first"), F.max("last").alias("last"))
+    found = {(row["prefix"], row["at"]): row for row in counts.collect()}
+    return {prefix: _gaps(own.tolist(), lambda i, p=prefix: found.get((p, i))) for prefix, own in edges.items()}
+
+
+def _gaps(edges: list[int], row_at) -> list[Gap]:
+    out, below = [], row_at(0).n if row_at(0) else 0
+    for i, edge in enumerate(edges, start=1):
+        row, end = row_at(i), edges[i] if i < len(edges) else MOST + 1
         if row:
             out.append(Gap(row.first, row.last + 1, below, below + row.n, row.rows))
             below += row.n
@@ -169,20 +195,22 @@ def _histogram(rows: DataFrame, column: str, edges: np.ndarray) -> list[Gap]:
 
 
 def _part_of(cuts: list[tuple[int, int, int]]) -> Column:
-    """How many cuts a row lies at or behind, by a search that halves the cuts."""
-
-    def behind(cut: tuple[int, int, int]) -> Column:
-        condition = F.lit(True)
-        for name, value in reversed(list(zip(LEVELS, cut))):
-            condition = (F.col(name) > F.lit(value)) | ((F.col(name) == F.lit(value)) & condition)
-            if value == LEAST and name != LEVELS[0]:
-                condition = F.lit(True)
-        return condition
-
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(behind(cuts[middle]), search(middle + 1, high)).otherwise(search(low, middle))
-
-    return search(0, len(cuts))
+    """How many cuts a row lies at or behind."""
+    edges = np.array(cuts, dtype=np.int64).reshape(-1, len(LEVELS))
+
+    def behind(edges: np.ndarray, keys: list[np.ndarray]) -> np.ndarray:
+        if not keys:
+            return np.full(1, len(edges))
+        first = edges[:, 0]
+        count = np.searchsorted(first, keys[0], side="left")
+        for value in np.unique(first):
+            rows = keys[0] == value
+            if rows.any():
+                count[rows] += behind(edges[first == value][:, 1:], [k[rows] for k in keys[1:]])
+        return count
+
+    @F.pandas_udf("int")
+    def part(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
+        return pd.Series(behind(edges, [a.to_numpy(), b.to_numpy(), c.to_numpy()]).astype(np.int32))
+
+    return part(*LEVELS)
