@@ -6,7 +6,8 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from workload.oracle import ORACLE
+from workload.queries import QUERIES
 from conftest import TESTDATA
 
 SF_DIR = f"{TESTDATA}/sf0.01"
@@ -34,13 +35,13 @@ def canonical(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, duck, name):
-    actual = queries()[name](spark, SF_DIR)
-    expected = duck.execute(oracle_sql()[name])
+    actual = QUERIES[name](spark, SF_DIR)
+    expected = duck.execute(ORACLE[name])
     columns = [d[0] for d in expected.description]
     assert sorted(actual.columns) == sorted(columns)
     ours = canonical(actual.columns, [tuple(r) for r in actual.collect()])
