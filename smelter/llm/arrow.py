@@ -41,16 +41,18 @@ def text_bytes(column: pa.Array) -> Iterator[bytes]:
 class Memo(dict):
     """A dictionary that computes what it lacks and starts afresh when it is full.
 
-    It is a cache only: results don't depend on ``limit``.
+    It is a cache only: results depend neither on ``limit`` nor on ``longest``, the length
+    of the longest key that is kept.
     """
 
-    def __init__(self, compute: Callable, limit: int):
+    def __init__(self, compute: Callable, limit: int, longest: int | None = None):
         super().__init__()
-        self.compute, self.limit = compute, limit
+        self.compute, self.limit, self.longest = compute, limit, longest
 
     def __missing__(self, key):
-        if len(self) >= self.limit:
-            self.clear()
         value = self.compute(key)
-        self[key] = value
+        if self.longest is None or len(key) <= self.longest:
+            if len(self) >= self.limit:
+                self.clear()
+            self[key] = value
         return value

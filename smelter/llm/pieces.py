@@ -10,6 +10,7 @@ window meet in one boundary, the ids before it are committed and dropped from me
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -22,7 +23,7 @@ from smelter.llm.arrow import Memo, map_batches, texts_of
 
 SPACE = "▁"
 # Known words and pairs of a worker, the longest word that is kept, characters taken at once
-KNOWN, LONGEST, BLOCK = 300_000, 64, 1 << 20
+KNOWN, LONGEST, BLOCK = 1_000_000, 64, 1 << 20
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
 
@@ -44,15 +45,25 @@ class Pieces:
         self.id = {p.piece: i for i, p in enumerate(model.pieces) if p.type == NORMAL}
         self.bytes = {int(p.piece[3:-1], 16): i for i, p in enumerate(model.pieces) if p.type == BYTE}
         self.longest = max(map(len, self.score))
-        self.crosses = any(SPACE in p.lstrip(SPACE) for p in self.score)
+        # Characters that follow each other within some piece, and how long a piece that ends in them can be
+        self.reach: dict[str, int] = {}
+        self.inside = {p[i : i + 2] for p in self.score for i in range(len(p) - 1)}
+        for piece in self.score:
+            if len(piece) > 1:
+                self.reach[piece[-2:]] = max(len(piece), self.reach.get(piece[-2:], 0))
+        self.crosses = any(pair[1] == SPACE and pair[0] != SPACE for pair in self.inside)
+        counts = Counter(self.score.values())
+        self.tied = {p for p, score in self.score.items() if counts[score] > 1}
         spelled = {NORMAL: lambda p: p.replace(SPACE, " ").encode(), BYTE: lambda p: bytes([int(p[3:-1], 16)])}
         self.spelled = [spelled[p.type](p.piece) if p.type in spelled else b"" for p in model.pieces]
         self.spelled[model.trainer_spec.unk_id] = (model.trainer_spec.unk_surface or " ⁇ ").encode()
-        self.follows = Memo(lambda pair: self.merged(pair[0] + pair[1]) == list(pair), KNOWN)
-        self.made = Memo(lambda piece: self.merged(piece) == [piece], KNOWN)
-        self.words = Memo(lambda word: np.fromiter(self.ids(word), np.int32).tobytes(), KNOWN)
+        self.follows = Memo(lambda pair: self._keeps(*pair), KNOWN)
+        self.spines = Memo(self._spines, KNOWN)
+        # By what is escaped, and by plain words that follow one blank
+        self.units = Memo(self._unit, KNOWN // 4, LONGEST)
+        self.words = Memo(lambda word: self._unit(SPACE + word), KNOWN, LONGEST)
 
-    def merged(self, text: str) -> list[str]:
+    def merged(self, text: str, joins: list | None = None) -> list[str]:
         """What the model's merges make of a short text: best score first, then leftmost."""
         parts = list(text)
         while True:
@@ -60,15 +71,66 @@ class Pieces:
             if not pairs:
                 return parts
             at = min(pairs)[1]
+            if joins is not None:
+                joins.append((parts[at], parts[at + 1]))
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
+    def _spines(self, piece: str) -> tuple[list, list] | None:
+        """The pieces that were at the left and at the right end of a piece, last first.
+
+        Each with when it was made and when it was taken up (negative scores; made -1: from the
+        start). None for a piece that the merges don't make.
+        """
+        joins: list[tuple[str, str]] = []
+        if self.merged(piece, joins) != [piece]:
+            return None
+        halves = {a + b: (a, b) for a, b in joins}
+        ends = []
+        for side in (0, 1):
+            spine, part, taken = [], piece, np.inf
+            while True:
+                made = -self.score[part] if part in halves else -1.0
+                spine.append((part, made, taken))
+                if part not in halves:
+                    break
+                part, taken = halves[part][side], made
+            ends.append(spine)
+        return ends[0], ends[1]
+
+    def _keeps(self, left: str, right: str) -> bool:
+        """Whether the merges leave two neighbours as they are.
+
+        They do unless pieces that were their facing ends at the same time merge before
+        either was taken up. At one score the merge further left comes first.
+        """
+        if left in self.tied or right in self.tied:
+            return self.merged(left + right) == [left, right]
+        for a, made_a, taken_a in self.spines[left][1]:
+            for b, made_b, taken_b in self.spines[right][0]:
+                if made_a >= taken_b or made_b >= taken_a:
+                    continue
+                score = self.score.get(a + b)
+                if score is not None and -score < taken_a and -score <= taken_b:
+                    return False
+        return True
+
+    def _unit(self, unit: str) -> bytes:
+        """Ids of a word as bytes; what no piece reaches over is cut off its end first."""
+        end = len(unit) - 1
+        while end > 0 and unit[end - 1 : end + 1] in self.inside:
+            end -= 1
+        if end <= 0 or len(unit) > LONGEST:
+            return np.fromiter(self.ids(unit), np.int32).tobytes()
+        front = self.words[unit[1:end]] if unit[0] == SPACE and unit[1:2] not in ("", SPACE) and end > 1 else self.units[unit[:end]]
+        return front + self.units[unit[end:]]
+
     def ids(self, text: str) -> Iterator[int]:
         """Ids of a text in which blanks are escaped and that begins where a path may begin."""
         for piece in self.viterbi(text):
             if piece in self.id:
                 yield self.id[piece]
             else:
-                yield from (self.bytes[b] for b in piece.encode())
+                yield from map(self.bytes.__getitem__, piece.encode())
 
     def viterbi(self, text: str) -> Iterator[str]:
         back = [0]  # for each place behind ``done``: how long the last piece up to it is
@@ -80,22 +142,18 @@ class Pieces:
                 if meet:
                     yield from self._path(text, back, done, meet)
                     del back[:meet]
-                    back[0] = 0 if meet == 0 else back[0]
                     done += meet
         yield from self._path(text, back, done, len(back) - 1)
 
     def _last(self, text: str, end: int, back: list[int], done: int) -> int:
-        for size in range(min(self.longest, end), 1, -1):
+        score, follows = self.score, self.follows
+        for size in range(2, min(self.reach.get(text[end - 2 : end], 1), end) + 1):
             begin = end - size
             piece = text[begin:end]
-            if piece not in self.score or not self.made[piece]:
-                continue
-            # The path before; nothing precedes the start of the text
-            if begin == 0:
-                return size
-            if begin < done:
+            if piece not in score or self.spines[piece] is None or begin < done:
                 continue
-            if self.follows[text[begin - back[begin - done] : begin], piece]:
+            # Nothing precedes the start of the text
+            if begin == 0 or follows[text[begin - back[begin - done] : begin], piece]:
                 return size
         return 1
 
@@ -123,25 +181,22 @@ class Pieces:
         if self.crosses:
             escaped = self.prefix + text.replace(" ", SPACE)
             return np.fromiter(self.ids(escaped), np.int32)
-        out = []
-        for part in self._parts(text):
-            if part[0] is None:
-                out.extend(self.words[w] if len(w) <= LONGEST else self.words.compute(w) for w in part[1])
-            else:
-                out.append(self.words.compute(part[0]))
-        return np.frombuffer(b"".join(out), np.int32)
-
-    def _parts(self, text: str) -> Iterator[tuple[str | None, list[str]]]:
-        """Words with the blanks before them; no piece reaches from a word into the next blank."""
+        out: list[bytes] = []
         begin = 0
-        lead = self.prefix
         while begin < len(text):
             end = begin + BLOCK
+            # No piece reaches from a word into the blank behind it
             while end < len(text) and not (text[end] in (" ", SPACE) and text[end - 1] not in (" ", SPACE)):
                 end += 1
-            escaped = lead + text[begin:end].replace(" ", SPACE)
-            lead, begin = "", end
-            yield None, _WORDS.findall(escaped)
+            part = text[begin:end]
+            first = 0 if begin == 0 and self.prefix else 1
+            if (first == 0 or part[0] == " ") and not (part[first : first + 1] in (" ", "") or part[-1] == " " or "  " in part or SPACE in part):
+                out.extend(map(self.words.__getitem__, part[first:].split(" ")))
+            else:
+                escaped = ("" if begin else self.prefix) + part.replace(" ", SPACE)
+                out.extend(map(self.units.__getitem__, _UNITS.findall(escaped)))
+            begin = end
+        return np.frombuffer(b"".join(out), np.int32)
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; bytes that are no UTF-8 become replacement characters."""
@@ -150,7 +205,8 @@ class Pieces:
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
-_WORDS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+# Words with the blanks before them
+_UNITS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
 
 @lru_cache(maxsize=2)
