@@ -1,7 +1,7 @@
 """Fixed values.
 
-Lists, patterns and reason texts that results are compared by; change them only
-together with the tables they describe.
+Lists and patterns that results are compared by; change them only together with the
+tables they describe. Reason texts stand with their rules, in ``plans``.
 """
 
 # customers
@@ -20,10 +20,15 @@ AMOUNT_TOLERANCE = "0.01"
 # Click events
 EVENT_TYPES = ("page_view", "product_view", "add_to_cart", "checkout", "purchase", "click")
 
-# Column types of money and discount
+# Column types of money and discount in gold
 MONEY = "decimal(12,2)"
 FRACTION = "decimal(5,4)"
 
+# Types in which amounts are checked: a whole quantity times a price, less a discount, plus
+# tax has 38 digits in them, so that no step before the last rounds
+WIDE_MONEY = "decimal(15,6)"
+WIDE_FRACTION = "decimal(9,6)"
+
 # What separates the reasons of one rejected row
 REASON_SEPARATOR = "; "
 

@@ -8,13 +8,19 @@ from pyspark.sql import functions as F
 from smelter.constants import FRACTION, MONEY
 
 
-def money(column: str) -> Column:
+def money(column: str, kind: str = MONEY) -> Column:
     """Exact amount; a value that is no amount becomes NULL and so fails its rule."""
-    return F.col(column).try_cast(MONEY)
+    return F.col(column).try_cast(kind)
 
 
-def fraction(column: str) -> Column:
-    return F.col(column).try_cast(FRACTION)
+def fraction(column: str, kind: str = FRACTION) -> Column:
+    return F.col(column).try_cast(kind)
+
+
+def whole(column: str, kind: str = "int") -> Column:
+    """Whole number; text that is none, and a number with a fraction, become NULL."""
+    exact = F.col(column).try_cast("decimal(38,9)")
+    return F.when(exact == F.floor(exact), exact.try_cast(kind))
 
 
 def expected_amount(

@@ -29,7 +29,12 @@ def now() -> Column:
 class Flow:
     """What one source needs: cleaning steps per text column, columns to derive,
     rules (functions, since a Column needs a session), key, and helper columns that
-    only rejected rows keep."""
+    only rejected rows keep.
+
+    A derived column may take the place of one of the source. Rejected rows show the
+    source's value again, as it came: a value that could not be read is what has to be
+    repaired.
+    """
 
     key: str
     text: Mapping[str, Sequence[Step]]
@@ -39,10 +44,21 @@ class Flow:
 
     def standardized(self, bronze: DataFrame) -> DataFrame:
         """Two steps, because derived columns may build on cleaned ones."""
-        return standardize(bronze, self.text).withColumns(self.derive())
+        return self._with_sources(bronze).drop(*self._sources(bronze).values())
 
     def split(self, bronze: DataFrame, null_policy: str = "reject") -> Split:
-        return split(self.standardized(bronze), self.rules(), null_policy)
+        sources = self._sources(bronze)
+        valid, rejected = split(self._with_sources(bronze), self.rules(), null_policy)
+        as_it_came = rejected.withColumns({name: F.col(kept) for name, kept in sources.items()})
+        return Split(valid.drop(*sources.values()), as_it_came.drop(*sources.values()))
+
+    def _sources(self, bronze: DataFrame) -> dict[str, str]:
+        """Columns that a derived one replaces, and where they are kept meanwhile."""
+        return {name: f"_source_of_{name}" for name in self.derive() if name in bronze.columns}
+
+    def _with_sources(self, bronze: DataFrame) -> DataFrame:
+        kept = {kept: F.col(name) for name, kept in self._sources(bronze).items()}
+        return standardize(bronze, self.text).withColumns(kept).withColumns(self.derive())
 
     def refine(
         self,

@@ -7,9 +7,16 @@ from functools import partial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smelter.constants import AMOUNT_TOLERANCE, FRACTION, MONEY, ORDER_STATUSES
+from smelter.constants import (
+    AMOUNT_TOLERANCE,
+    FRACTION,
+    MONEY,
+    ORDER_STATUSES,
+    WIDE_FRACTION,
+    WIDE_MONEY,
+)
 from smelter.functions.dates import calendar
-from smelter.functions.numbers import expected_amount, fraction, money
+from smelter.functions.numbers import expected_amount, fraction, money, whole
 from smelter.operators.lookup import lookup_key
 from smelter.operators.quality import Split, split
 from smelter.operators.rules import Rule, above, between, one_of, required, within
@@ -38,21 +45,31 @@ def order_rules(require_order_id: bool = False) -> list[Rule]:
     return [identified, *rules] if require_order_id else rules
 
 
-def order_amounts() -> dict[str, Column]:
-    """Exact decimals, and from them the amount an order should have."""
-    exact = {name: money(name) for name in ("unit_price", "tax_amount", "order_amount")}
-    exact["discount_pct"] = fraction("discount_pct")
+def order_values() -> dict[str, Column]:
+    """Ids, times and exact decimals, and from these the amount an order should have.
+
+    What cannot be read is NULL and fails its rule. Amounts keep six decimals until gold.
+    """
+    amounts = ("unit_price", "tax_amount", "order_amount")
+    read = {name: money(name, WIDE_MONEY) for name in amounts}
+    read["discount_pct"] = fraction("discount_pct", WIDE_FRACTION)
+    read["quantity"] = whole("quantity")
     expected = expected_amount(
-        F.col("quantity"), exact["unit_price"], exact["discount_pct"], exact["tax_amount"]
+        read["quantity"], read["unit_price"], read["discount_pct"], read["tax_amount"]
     )
-    return {**exact, "expected_order_amount": expected}
+    return {
+        **{name: whole(name, "long") for name in ("customer_id", "product_id")},
+        "order_timestamp": F.col("order_timestamp").try_cast("timestamp"),
+        **read,
+        "expected_order_amount": expected,
+    }
 
 
 def order_flow(require_order_id: bool = False) -> Flow:
     return Flow(
         key="order_id",
         text={"status": ("trim", "upper")},
-        derive=order_amounts,
+        derive=order_values,
         rules=partial(order_rules, require_order_id),
         helpers=("expected_order_amount",),
     )
@@ -73,12 +90,12 @@ def fact_orders(
     keyed = lookup_key(orders, customers, "customer_id", "customer_key")
     keyed = lookup_key(keyed, products, "product_id", "product_key")
     typed = keyed.select(
-        F.col("order_id").cast("long").alias("order_id"),
+        F.col("order_id").try_cast("long").alias("order_id"),
         *("customer_key", "product_key", "order_timestamp"),
-        F.to_date("order_timestamp").alias("order_date"),
+        F.col("order_timestamp").try_cast("date").alias("order_date"),
         "quantity",
         *[
-            F.col(name).cast(kind).alias(name)
+            F.col(name).try_cast(kind).alias(name)
             for name, kind in (
                 ("unit_price", MONEY),
                 ("discount_pct", FRACTION),
