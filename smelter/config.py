@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql.types import StructType
@@ -19,10 +19,10 @@ class IngestConfig:
     """
 
     landing_path: str
-    target_table: str = "bronze.customers"
-    source_name: str = "customer"
-    source_system: str = "CRM"
-    batch_id: str = "20260729"
+    target_table: str
+    source_name: str
+    source_system: str
+    batch_id: str
     load_mode: str = "overwrite"
     source_format: str = "csv"
     schema: StructType | str | None = None
@@ -45,18 +45,21 @@ class PipelineConfig:
     it changes; ``buckets`` maps a table to a number of buckets by its key instead, so
     that a merge need not shuffle it. ``export_root`` is the folder of the published parquet copies;
     None publishes nothing. ``engagement_since`` leaves the metrics of earlier days as
-    they are instead of computing all days again.
+    they are instead of computing all days again. Orders without an id are rejected unless
+    ``require_order_id`` is turned off; ``null_keys`` then says what merges do with them.
+    ``partitions`` takes one column or several.
     """
 
     bronze: str = "bronze"
     silver: str = "silver"
     gold: str = "gold"
     null_policy: str = "reject"
-    require_order_id: bool = False
+    require_order_id: bool = True
+    null_keys: str = "insert"
     store_product_rejects: bool = False
     export_root: str | None = None
     export_partitions: Mapping[str, str] = field(default_factory=dict)
-    partitions: Mapping[str, str] = field(default_factory=dict)
+    partitions: Mapping[str, str | Sequence[str]] = field(default_factory=dict)
     buckets: Mapping[str, int] = field(default_factory=dict)
     audit_table: str | None = None
     engagement_since: str | None = None

@@ -3,12 +3,14 @@
 Columns of the target that the source lacks are an error, columns only the source
 has are added and NULL on rows kept from the target. A NULL key equals no other
 key: under ``null_keys="insert"`` such source rows are added on every merge, under
-``"drop"`` they are left out.
+``"drop"`` they are left out. Under ``"match"`` NULL is a key like any other.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +19,7 @@ from smelter.operators.quality import duplicate_keys
 from smelter.operators.rules import all_present
 from smelter.operators.shape import align_to_schema
 
-NULL_KEYS = ("insert", "drop")
+NULL_KEYS = ("insert", "drop", "match")
 
 
 def prepared_source(
@@ -26,33 +28,62 @@ def prepared_source(
     """``source`` with the target's types, checked for missing columns."""
     if null_keys not in NULL_KEYS:
         raise ValueError(f"null_keys {null_keys!r} is none of {NULL_KEYS}")
-    absent = [c for c in target.columns if c not in source.columns]
+    aligned = align_to_schema(source, target.schema)
+    absent = [c for c in target.columns if c not in aligned.columns]
     if absent:
         raise ValueError(f"source lacks target columns {absent}")
-    aligned = align_to_schema(source, target.schema)
     return aligned.filter(all_present(keys)) if null_keys == "drop" else aligned
 
 
-def require_unique(source: DataFrame, keys: Sequence[str]) -> None:
+def require_unique(source: DataFrame, keys: Sequence[str], null_keys: str = "insert") -> None:
     """Two source rows for one key leave open which one updates the target row."""
-    twice = duplicate_keys(source.filter(all_present(keys)), *keys).select(*keys).take(1)
+    keyed = source if null_keys == "match" else source.filter(all_present(keys))
+    twice = duplicate_keys(keyed, *keys).select(*keys).take(1)
     if twice:
         raise ValueError(f"source holds key {twice[0].asDict()} more than once")
 
 
-def unseen(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def join_keys(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, null_keys: str = "insert"
+) -> DataFrame:
+    """Semi or anti join on ``keys``. Rows of ``right`` that can match nothing stay out of it."""
+    if null_keys != "match":
+        return left.join(right.filter(all_present(keys)).select(*keys), list(keys), how)
+    named = right.select(*[F.col(k).alias(f"_other_{k}") for k in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_other_{k}")) for k in keys])
+    return left.join(named, same, how)
+
+
+def unseen(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], null_keys: str = "insert"
+) -> DataFrame:
     """Source rows whose key the target lacks.
 
     The target is first cut down to the keys the batch asks for: with a small batch
     that is a broadcast filter on its key column, and the target is not shuffled.
     """
-    asked = target.select(*keys).join(source.select(*keys), list(keys), "left_semi")
-    return source.join(asked, list(keys), "left_anti")
+    return unmatched(source, join_keys(target, source, keys, "left_semi", null_keys), keys, null_keys)
 
 
-def untouched(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows whose key the source lacks; only the source's keys meet the target."""
-    return target.join(source.select(*keys), list(keys), "left_anti")
+def unmatched(
+    rows: DataFrame, others: DataFrame, keys: Sequence[str], null_keys: str = "insert"
+) -> DataFrame:
+    """Rows whose key ``others`` lack. Rows without a key pass by the join, which would
+    send them all to one task."""
+    if null_keys == "match":
+        return join_keys(rows, others, keys, "left_anti", null_keys)
+    without = rows.filter(~all_present(keys))
+    return join_keys(rows.filter(all_present(keys)), others, keys, "left_anti").unionByName(without)
+
+
+def untouched(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], null_keys: str = "insert"
+) -> DataFrame:
+    """Target rows whose key the source lacks; only the source's keys meet the target.
+
+    One scan of the target; its hot keys are split at run time.
+    """
+    return join_keys(target, source, keys, "left_anti", null_keys)
 
 
 def merge_insert(
@@ -60,7 +91,7 @@ def merge_insert(
 ) -> DataFrame:
     """Target rows as they are, plus source rows with a key the target lacks."""
     batch = prepared_source(target, source, keys, null_keys)
-    return target.unionByName(unseen(target, batch, keys), allowMissingColumns=True)
+    return target.unionByName(unseen(target, batch, keys, null_keys), allowMissingColumns=True)
 
 
 def merge_upsert(
@@ -77,8 +108,8 @@ def merge_upsert(
     """
     batch = prepared_source(target, source, keys, null_keys)
     if check_unique:
-        require_unique(batch, keys)
-    return untouched(target, batch, keys).unionByName(batch, allowMissingColumns=True)
+        require_unique(batch, keys, null_keys)
+    return untouched(target, batch, keys, null_keys).unionByName(batch, allowMissingColumns=True)
 
 
 def _digest(columns: Sequence[str]) -> Column:

@@ -2,26 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType
 
 from smelter.functions.text import clean
 
 
+def name_key(df: DataFrame) -> Callable[[str], str]:
+    """What two names have in common where the session takes them for the same column."""
+    exact = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    return str if exact else str.lower
+
+
 def align_to_schema(df: DataFrame, schema: StructType) -> DataFrame:
-    """Cast the columns that ``schema`` knows to its types; other columns stay, none is added."""
-    known = {field.name: field.dataType for field in schema.fields}
-    return df.select(
-        *[
-            F.col(f"`{f.name}`").cast(known[f.name]).alias(f.name)
-            if f.name in known and known[f.name] != f.dataType
-            else F.col(f"`{f.name}`")
-            for f in df.schema.fields
-        ]
-    )
+    """Give the columns that ``schema`` knows its names and types; other columns stay, none
+    is added. Names are told apart as the session does."""
+    key = name_key(df)
+    known = {key(field.name): field for field in schema.fields}
+
+    def aligned(name: str, kind: DataType) -> Column:
+        column, field = F.col(f"`{name}`"), known.get(key(name))
+        if field is None or (field.name, field.dataType) == (name, kind):
+            return column
+        return column.cast(field.dataType).alias(field.name)
+
+    return df.select(*[aligned(f.name, f.dataType) for f in df.schema.fields])
 
 
 def normalise_status(df: DataFrame, src: str = "order_status", dst: str = "status") -> DataFrame:

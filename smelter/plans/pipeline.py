@@ -35,15 +35,20 @@ def run_pipeline(
     def replace(df: DataFrame, layer: str, name: str) -> None:
         save_table(df, f"{layers[layer]}.{name}")
 
-    def merge(df: DataFrame, layer: str, name: str, key: str) -> DataFrame:
-        column = config.partitions.get(f"{layer}.{name}")
+    def merge(
+        df: DataFrame, layer: str, name: str, key: str, null_keys: str = config.null_keys
+    ) -> DataFrame:
+        """All batches hold each key once: they are the latest rows or groups of it."""
+        columns = config.partitions.get(f"{layer}.{name}") or ()
         return create_or_merge(
             df,
             f"{layers[layer]}.{name}",
             [key],
-            partition_by=[column] if column else None,
+            null_keys=null_keys,
+            partition_by=[columns] if isinstance(columns, str) else list(columns) or None,
             buckets=config.buckets.get(f"{layer}.{name}"),
             audit_table=config.audit_table,
+            check_unique=False,
         )
 
     customers = CUSTOMERS.refine(table("bronze", "customers"), config.null_policy, at=at)
@@ -77,6 +82,8 @@ def run_pipeline(
         "gold",
         "daily_customer_engagement",
         "business_date",
+        # Events without a date are one group, which a later run replaces
+        null_keys="match",
     )
 
     if config.export_root:

@@ -36,4 +36,30 @@ def stage(df: DataFrame, purpose: str = "stage") -> DataFrame:
     """
     path = new_folder(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    staged._staged_at = path
+    return staged
+
+
+def discard(*staged: DataFrame) -> None:
+    """Remove the files of frames from ``stage`` that nothing will read any more."""
+    for df in staged:
+        remove_folder(df.sparkSession, df._staged_at)
+
+
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """By the file system the path belongs to, which need not be this machine's."""
+    found, system = _file_system(spark, path)
+    system.delete(found, True)
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    found, system = _file_system(spark, path)
+    if not system.exists(found):
+        return []
+    return sorted(s.getPath().toString() for s in system.listStatus(found) if s.isDirectory())

@@ -12,6 +12,8 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,10 +21,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from smelter.constants import LOAD_MODES
-from smelter.operators.merge import prepared_source, require_unique, unseen, untouched
+from smelter.operators.merge import (
+    NULL_KEYS,
+    join_keys,
+    prepared_source,
+    require_unique,
+    unmatched,
+    untouched,
+)
 from smelter.operators.rules import all_present
 from smelter.operators.shape import align_to_schema
-from smelter.scratch import stage
+from smelter.scratch import discard, list_folders, remove_folder, stage
 from smelter.sources.catalog import table_exists
 
 
@@ -181,18 +190,24 @@ def _overwrite(df: DataFrame, name: str, replace_schema: bool, layout: Layout) -
     _replace(layout.grouped(df), name, layout)
 
 
-def _append(df: DataFrame, name: str) -> None:
-    """Add files to the folder; columns new to the table read as NULL in its older files."""
-    spark = df.sparkSession
+def _widened(aligned: DataFrame, name: str) -> DataFrame:
+    """The table, after adding the columns that only ``aligned`` has."""
+    spark = aligned.sparkSession
     target = spark.table(name)
-    added = [f for f in df.schema.fields if f.name not in target.columns]
+    added = [f for f in aligned.schema.fields if f.name not in target.columns]
     if added:
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_ddl(added)})")
-        target = spark.table(name)
-    aligned = align_to_schema(df, target.schema)
+    return spark.table(name)
+
+
+def _append(df: DataFrame, name: str) -> None:
+    """Add files to the folder; columns new to the table read as NULL in its older files."""
+    spark = df.sparkSession
+    aligned = align_to_schema(df, spark.table(name).schema)
+    target = _widened(aligned, name)
     values = [
         F.col(f"`{f.name}`")
-        if f.name in df.columns
+        if f.name in aligned.columns
         else F.lit(None).cast(f.dataType).alias(f.name)
         for f in target.schema.fields
     ]
@@ -222,75 +237,86 @@ def save_table(
         _overwrite(df, name, replace_schema, Layout.of(partition_by, bucket_by, buckets))
 
 
-def _in_partitions(column: str, values: Sequence[object]) -> Column:
-    """Filter that prunes partitions; NULL is a partition as well."""
-    known = [v for v in values if v is not None]
-    chosen = F.col(column).isin(*known) if known else F.lit(False)
-    return chosen | F.col(column).isNull() if len(known) < len(values) else chosen
+def _in_partitions(columns: Sequence[str], values: Sequence[tuple]) -> Column:
+    """Filter that prunes partitions; NULL is a value as well."""
+
+    def one(column: str, among: Sequence[object]) -> Column:
+        known = [v for v in among if v is not None]
+        chosen = F.col(column).isin(*known) if known else F.lit(False)
+        return chosen | F.col(column).isNull() if len(known) < len(among) else chosen
+
+    first, *others = columns
+    if not others:
+        return one(first, [v for (v,) in values])
+    under: dict[object, list[tuple]] = {}
+    for value, *rest in values:
+        under.setdefault(value, []).append(tuple(rest))
+    return reduce(or_, [one(first, [v]) & _in_partitions(others, rest) for v, rest in under.items()])
 
 
-def _partition_folders(written: DataFrame, column: str) -> dict[object, str]:
-    """Folder of each value of the partition column, from the names of the files."""
+def _partition_folders(written: DataFrame, columns: Sequence[str]) -> dict[tuple, str]:
+    """Folder of each partition, from the names of the files."""
     folder = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]*$", 1)
     plain = F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))
-    return dict(map(tuple, written.select(column, plain).distinct().collect()))
+    rows = written.select(*columns, plain).distinct().collect()
+    return {tuple(row)[:-1]: row[-1] for row in rows}
 
 
-def _upsert_partitions(target: DataFrame, batch: DataFrame, name: str, keys: Sequence[str]) -> None:
+def _upsert_partitions(
+    batch: DataFrame, matched: DataFrame, name: str, keys: Sequence[str], null_keys: str
+) -> None:
     """Rewrite only partitions that hold a key of the batch; append to all others.
 
     Their number is that of the table's partitions at most, which the catalog
-    lists anyway. Each rewritten partition moves to its new folder in one step. Rows
-    moving to another partition are added there before they leave the old one: after
-    a crash they may be held twice until the batch is merged again, but never lost.
+    lists anyway. Columns that the batch brings are added before anything is written.
+    Each rewritten partition moves to its new folder in one step. Rows moving to another
+    partition are added there before they leave the old one: after a crash they may
+    be held twice until the batch is merged again, but never lost.
     """
     spark = batch.sparkSession
     layout = table_layout(spark, name)
-    (column,) = layout.partition_by
-    hit = target.select(column, *[k for k in keys if k != column]).join(
-        batch.select(*keys), list(keys), "left_semi"
-    )
-    stale = [row[0] for row in hit.select(column).distinct().collect()]
-    if not stale:
-        _append(batch, name)
-        return
-    chosen = _in_partitions(column, stale)
-    rest = batch.filter(~F.coalesce(chosen, F.lit(False)))
+    columns = layout.partition_by
+    stale = [tuple(row) for row in matched.select(*columns).distinct().collect()]
+    target = _widened(batch, name)
+    chosen = F.coalesce(_in_partitions(columns, stale), F.lit(False)) if stale else F.lit(False)
+    rest = batch.filter(~chosen)
     if not rest.isEmpty():
         _append(rest, name)
-    merged = untouched(target.filter(chosen), batch, keys).unionByName(
+    if not stale:
+        return
+    merged = untouched(target.filter(chosen), batch, keys, null_keys).unionByName(
         batch.filter(chosen), allowMissingColumns=True
     )
-    added = [f for f in merged.schema.fields if f.name not in target.columns]
-    if added:
-        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_ddl(added)})")
     path = f"{_root(spark, name)}/merge-{uuid.uuid4().hex[:8]}"
     _write(layout.grouped(merged), path, layout, name)
-    folders = _partition_folders(spark.read.schema(merged.schema).parquet(path), column)
-    for value in stale:
-        spec = f"PARTITION (`{column}` = {'null' if value is None else _text_literal(value)})"
-        if value in folders:
-            location = _text_literal(folders[value])
+    folders = _partition_folders(spark.read.schema(merged.schema).parquet(path), columns)
+    for values in stale:
+        parts = [
+            f"`{c}` = {'null' if v is None else _text_literal(v)}" for c, v in zip(columns, values)
+        ]
+        spec = f"PARTITION ({', '.join(parts)})"
+        if values in folders:
+            location = _text_literal(folders[values])
             spark.sql(f"ALTER TABLE {name} {spec} SET LOCATION {location}")
         else:
             spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {spec}")
     spark.catalog.refreshTable(name)
 
 
-def merge_counts(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows an upsert of ``batch`` (unique by key) inserts, updates and keeps, from keys alone."""
-    matched = target.select(*keys).join(batch.select(*keys), list(keys), "left_semi")
+def merge_counts(target: DataFrame, batch: DataFrame, matched: DataFrame) -> DataFrame:
+    """Rows a merge of ``batch`` inserts, updates and keeps; ``matched``: target rows with its keys."""
     one = [
-        df.agg(F.count("*").alias(label))
+        df.agg(F.count("*").alias("n")).select(F.lit(label).alias("label"), "n")
         for label, df in (("matched", matched), ("present", target), ("arrived", batch))
     ]
-    counts = one[0].select("matched", F.lit(0).alias("present"), F.lit(0).alias("arrived"))
-    counts = counts.unionAll(one[1].select(F.lit(0), "present", F.lit(0)))
-    counts = counts.unionAll(one[2].select(F.lit(0), F.lit(0), "arrived"))
-    return counts.agg(
-        (F.sum("arrived") - F.sum("matched")).alias("rows_inserted"),
-        F.sum("matched").alias("rows_updated"),
-        (F.sum("present") - F.sum("matched")).alias("rows_kept"),
+    n = {
+        label: F.sum(F.when(F.col("label") == label, F.col("n")))
+        for label in ("matched", "present", "arrived")
+    }
+    return reduce(DataFrame.unionAll, one).agg(
+        (n["arrived"] - n["matched"]).alias("rows_inserted"),
+        n["matched"].alias("rows_updated"),
+        (n["present"] - n["matched"]).alias("rows_kept"),
     )
 
 
@@ -308,6 +334,11 @@ def record_load(
     save_table(row.coalesce(1), audit_table, mode="append")
 
 
+def _require_keys(rows: DataFrame, keys: Sequence[str]) -> None:
+    if not rows.filter(~all_present(keys)).isEmpty():
+        raise ValueError("rows without a key would all lie in one bucket: drop or key them")
+
+
 def create_or_merge(
     df: DataFrame,
     name: str,
@@ -317,23 +348,36 @@ def create_or_merge(
     partition_by: Sequence[str] | None = None,
     buckets: int | None = None,
     audit_table: str | None = None,
+    check_unique: bool = True,
 ) -> DataFrame:
     """Create table ``name`` from ``df``, or merge ``df`` into it; returns this batch's rows.
 
     The batch is written once and read from there by the check, the join and the
-    caller. What has to be written of the table depends on what the batch changes:
-    with only unseen keys files are added, a partitioned table gets the partitions
-    with changed rows written anew, and any other is rewritten whole. ``buckets`` lays a
-    new table out by its keys, so that no merge has to shuffle it, however large the
-    batch; it suits tables whose changes fall into all partitions.
+    caller; so are the keys of the table that the batch asks for, in one look at the table.
+    What has to be written of the table depends on them: with only unseen keys files
+    are added, a partitioned table gets the partitions with changed rows written anew, and
+    any other is rewritten whole. ``buckets`` lays a new table out by its keys, so that no
+    merge has to shuffle it, however large the batch; it suits tables whose changes
+    fall into all partitions, and takes no rows without a key. ``check_unique`` may be
+    turned off for a batch known to hold each key once.
     """
     if how not in ("upsert", "insert"):
         raise ValueError(f"how {how!r} is neither 'upsert' nor 'insert'")
+    if null_keys not in NULL_KEYS:
+        raise ValueError(f"null_keys {null_keys!r} is none of {NULL_KEYS}")
     spark = df.sparkSession
     if not table_exists(spark, name):
         by_key = keys if buckets else None
         first = df.filter(all_present(keys)) if null_keys == "drop" else df
+        if check_unique or buckets:
+            first = stage(first, "batch")
+        if buckets:
+            _require_keys(first, keys)
+        if check_unique:
+            require_unique(first, keys, null_keys)
         save_table(first, name, partition_by=partition_by, bucket_by=by_key, buckets=buckets)
+        if check_unique or buckets:
+            discard(first)
         created = spark.table(name)
         if audit_table:
             counts = created.agg(F.count("*").alias("rows_inserted")).select(
@@ -343,35 +387,66 @@ def create_or_merge(
         return created
 
     target = spark.table(name)
+    layout = table_layout(spark, name)
     batch = stage(prepared_source(target, df, keys, null_keys), "batch")
+    if layout.buckets:
+        _require_keys(batch, keys)
+    if how == "upsert" and check_unique:
+        require_unique(batch, keys, null_keys)
+    placed = target.select(*dict.fromkeys([*layout.partition_by, *keys]))
+    matched = stage(join_keys(placed, batch, keys, "left_semi", null_keys), "matched")
     counts = None
     if how == "insert":
-        fresh = unseen(target, batch, keys)
+        fresh = unmatched(batch, matched, keys, null_keys)
         if audit_table:
-            counts = stage(merge_counts(target, fresh, keys), "audit")
+            counts = stage(merge_counts(target, fresh, matched.limit(0)), "audit")
         _append(fresh, name)
     else:
-        require_unique(batch, keys)
         if audit_table:
-            counts = stage(merge_counts(target, batch, keys), "audit")
-        layout = table_layout(spark, name)
-        if len(layout.partition_by) == 1:
-            _upsert_partitions(target, batch, name, keys)
-        elif target.select(*keys).join(batch.select(*keys), list(keys), "left_semi").isEmpty():
+            counts = stage(merge_counts(target, batch, matched), "audit")
+        if layout.partition_by:
+            _upsert_partitions(batch, matched, name, keys, null_keys)
+        elif matched.isEmpty():
             _append(batch, name)
         else:
-            kept = untouched(target, batch, keys)
+            kept = untouched(target, batch, keys, null_keys)
             if layout.buckets:
                 # rows kept from buckets are in buckets still
                 merged = kept.unionByName(layout.grouped(batch), allowMissingColumns=True)
             else:
                 merged = layout.grouped(kept.unionByName(batch, allowMissingColumns=True))
             _replace(merged, name, layout)
+    discard(matched)
     if counts is not None:
         record_load(counts, audit_table, name, f"merge {how}", table_version(spark, name))
+        discard(counts)
     return batch
 
 
+def expire_versions(spark: SparkSession, name: str, keep: int = 1) -> list[str]:
+    """Remove folders of earlier versions of a table but the last ``keep``; returns what went.
+
+    The folder the table points to and folders that hold one of its partitions stay. Only
+    for times when no one reads an earlier version.
+    """
+    if keep < 0:
+        raise ValueError("keep must not be negative")
+    plain = lambda path: re.sub(r"^file:/*", "/", path).rstrip("/")
+    used = [plain(table_location(spark, name))]
+    if table_layout(spark, name).partition_by:
+        files = spark.table(name).select(F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1).alias("f"))
+        # One row for each folder of the table, which the catalog lists as well
+        used += [plain(r.f) for r in files.distinct().collect()]
+    number = re.compile(r"/(?:v(\d+)|merge)-[0-9a-f]+$")
+    folders = [f for f in list_folders(spark, _root(spark, name)) if number.search(f)]
+    idle = [f for f in folders if not any(f"{u}/".startswith(f"{plain(f)}/") for u in used)]
+    idle.sort(key=lambda f: int(number.search(f).group(1) or 0))
+    gone = idle[: max(0, len(idle) - keep)]
+    for folder in gone:
+        remove_folder(spark, folder)
+    return gone
+
+
 def export_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Publish ``df`` as a parquet folder in place of what was there."""
     writer = Layout.of(partition_by).grouped(df).write.mode("overwrite")

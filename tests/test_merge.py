@@ -2,7 +2,9 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from smelter import scratch
 from smelter.operators.merge import load_audit, merge_insert, merge_upsert
+from smelter.sinks.tables import create_or_merge, expire_versions
 
 DDL = "k int, v string"
 TARGET = [(1, "a"), (2, "b"), (None, "n")]
@@ -115,3 +117,79 @@ def test_a_small_batch_does_not_shuffle_the_target(spark, tmp_path):
     assert "Exchange hashpartitioning" not in plan(merged)
     fresh = merge_insert(target, batch, ["k"])
     assert "Exchange hashpartitioning" not in plan(fresh)
+
+
+# Null keys, names, and what a merge leaves behind
+
+
+@pytest.mark.parametrize("policy, rows", [("insert", 3), ("drop", 1), ("match", 2)])
+def test_rows_without_a_key_merged_twice(spark, database, policy, rows):
+    batch = spark.createDataFrame([(1, "a"), (None, "b")], "id int, v string")
+    for _ in range(2):
+        create_or_merge(batch, f"{database}.t", ["id"], null_keys=policy)
+    assert spark.table(f"{database}.t").count() == rows
+
+
+def test_first_batch_is_checked_too(spark, database):
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], "id int, v string")
+    with pytest.raises(ValueError, match="more than once"):
+        create_or_merge(twice, f"{database}.t", ["id"])
+    create_or_merge(twice, f"{database}.t", ["id"], check_unique=False)
+
+
+def test_buckets_take_no_rows_without_a_key(spark, database):
+    batch = spark.createDataFrame([(1, "a"), (None, "b")], "id int, v string")
+    with pytest.raises(ValueError, match="one bucket"):
+        create_or_merge(batch, f"{database}.t", ["id"], buckets=4)
+    create_or_merge(batch, f"{database}.t", ["id"], buckets=4, null_keys="drop")
+    with pytest.raises(ValueError, match="one bucket"):
+        create_or_merge(batch, f"{database}.t", ["id"])
+
+
+def test_names_in_another_case_are_the_same_column(spark, database):
+    create_or_merge(spark.createDataFrame([(1, "a")], "id int, v string"), f"{database}.t", ["id"])
+    create_or_merge(spark.createDataFrame([("b", 1)], "V string, ID int"), f"{database}.t", ["id"])
+    assert [tuple(r) for r in spark.table(f"{database}.t").collect()] == [(1, "b")]
+
+
+def files_of(spark, name):
+    return set(spark.table(name).inputFiles())
+
+
+def test_partitioned_merge_with_a_new_column(spark, database):
+    name = f"{database}.t"
+    rows = [(i, i % 2, "ab"[i % 3 == 0]) for i in range(12)]
+    first = spark.createDataFrame(rows, "id int, p int, q string")
+    create_or_merge(first, name, ["id"], partition_by=["p", "q"])
+    before = files_of(spark, name)
+    batch = spark.createDataFrame([(0, 0, "b", "x"), (50, 7, "z", "x"), (2, None, "a", "x")], "id int, p int, q string, note string")
+    create_or_merge(batch, name, ["id"])
+    got = {r.id: (r.p, r.q, r.note) for r in spark.table(name).collect()}
+    changed = {0: (0, "b", "x"), 50: (7, "z", "x"), 2: (None, "a", "x")}
+    assert got == {i: (p, q, None) for i, p, q in rows} | changed
+    kept = {f for f in before if "p=1" in f}
+    assert kept and kept <= files_of(spark, name)
+
+
+def test_merge_leaves_little_behind(spark, database):
+    name, staged = f"{database}.t", f"{scratch.shared_folder(spark)}/smelter"
+    batch = spark.range(10).selectExpr("id", "id * 2 AS v")
+    create_or_merge(batch, name, ["id"], audit_table=f"{database}.audit")
+    held = len(scratch.list_folders(spark, staged))
+    for _ in range(3):
+        create_or_merge(batch, name, ["id"], audit_table=f"{database}.audit")
+    # What is handed back stays
+    assert len(scratch.list_folders(spark, staged)) == held + 3
+    assert len(expire_versions(spark, name, keep=1)) == 2
+    assert expire_versions(spark, name, keep=1) == []
+    assert spark.table(name).count() == 10
+
+
+def test_expired_versions_of_a_partitioned_table(spark, database):
+    name = f"{database}.t"
+    batch = spark.range(10).selectExpr("id", "id % 2 AS p")
+    create_or_merge(batch, name, ["id"], partition_by=["p"])
+    for _ in range(3):
+        create_or_merge(batch.where("p = 0"), name, ["id"])
+    expire_versions(spark, name, keep=0)
+    assert spark.table(name).count() == 10

@@ -103,12 +103,12 @@ def test_ingest(spark, csv, database):
 
 def test_ingest_casts_to_the_tables_types(spark, csv, tmp_path, database):
     name = f"{database}.orders"
-    ingest(spark, IngestConfig(csv, name))
+    ingest(spark, IngestConfig(csv, name, "orders", "ERP", "b1"))
     other = tmp_path / "other"
     other.mkdir()
     (other / "o.json").write_text('{"order_id": "7", "order_status": "new", "extra": true}')
     loaded = ingest(
-        spark, IngestConfig(str(other), name, load_mode="append", source_format="json")
+        spark, IngestConfig(str(other), name, "orders", "ERP", "b2", "append", "json")
     )
     assert dict(loaded.dtypes)["order_id"] == "int"
     row = loaded.filter("order_id = 7").first()
@@ -118,14 +118,17 @@ def test_ingest_casts_to_the_tables_types(spark, csv, tmp_path, database):
 def test_empty_landing(spark, tmp_path, database):
     spark.range(0).write.parquet(str(tmp_path / "none"))
     with pytest.raises(ValueError, match="no rows"):
-        ingest(spark, IngestConfig(str(tmp_path / "none"), f"{database}.t", source_format="parquet"))
+        ingest(spark, IngestConfig(str(tmp_path / "none"), f"{database}.t", "s", "ERP", "b", source_format="parquet"))
 
 
 def test_config():
-    assert IngestConfig("p").load_mode == "overwrite" and PipelineConfig().gold == "gold"
+    assert IngestConfig("p", "t", "s", "ERP", "b").load_mode == "overwrite"
+    assert PipelineConfig().gold == "gold"
+    with pytest.raises(TypeError):
+        IngestConfig("p")
     for bad in ({"load_mode": "upsert"}, {"source_format": "orc"}, {"landing_path": ""}):
         with pytest.raises(ValueError):
-            IngestConfig(**{"landing_path": "p", **bad})
+            IngestConfig(**{"landing_path": "p", **dict.fromkeys(("target_table", "source_name", "source_system", "batch_id"), "x"), **bad})
 
 
 def test_align_to_schema(spark):

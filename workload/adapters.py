@@ -40,13 +40,21 @@ PRODUCT_EXPRESSIONS = {
 
 ORDER_LINE_EXPRESSIONS = {
     "order_id": "l_orderkey * 10 + l_linenumber",
-    "customer_id": "CASE WHEN l_orderkey % 101 = 0 THEN NULL ELSE o_custkey END",
-    "product_id": "CASE WHEN l_orderkey % 107 = 0 THEN NULL ELSE l_partkey END",
-    "order_timestamp": "CASE WHEN l_orderkey % 103 = 0 THEN NULL ELSE o_orderdate END",
-    "quantity": "CAST(CASE WHEN l_orderkey % 53 = 0 THEN 0 ELSE l_quantity END AS INT)",
-    "unit_price": "CAST(p_retailprice AS DECIMAL(12,2))",
+    "customer_id": "CASE WHEN l_orderkey % 101 = 0 THEN NULL"
+    " WHEN l_orderkey % 109 = 0 THEN CONCAT('C', CAST(o_custkey AS STRING))"
+    " ELSE CAST(o_custkey AS STRING) END",
+    "product_id": "CASE WHEN l_orderkey % 107 = 0 THEN NULL WHEN l_orderkey % 113 = 0 THEN 'none'"
+    " ELSE CAST(l_partkey AS STRING) END",
+    "order_timestamp": "CASE WHEN l_orderkey % 103 = 0 THEN NULL"
+    " WHEN l_orderkey % 127 = 0 THEN 'not-a-time' ELSE CAST(o_orderdate AS STRING) END",
+    "pieces": "CAST(CASE WHEN l_orderkey % 53 = 0 THEN 0 ELSE l_quantity END AS INT)",
+    "quantity": "CASE WHEN l_orderkey % 131 = 0 THEN 'abc' WHEN l_orderkey % 53 = 0 THEN '0'"
+    " ELSE CAST(CAST(l_quantity AS INT) AS STRING) END",
+    "unit_price": "CAST(CAST(p_retailprice AS DECIMAL(12,3))"
+    " + CAST((l_orderkey % 10) * 0.001 AS DECIMAL(12,3)) AS DECIMAL(13,3))",
     "discount_pct": "CAST(CASE WHEN l_orderkey % 59 = 0 THEN 1.5 WHEN l_orderkey % 61 = 0 THEN NULL"
-    " ELSE l_discount END AS DECIMAL(5,4))",
+    " WHEN l_orderkey % 67 = 0 THEN 15 ELSE l_discount + (l_orderkey % 7) * 0.00001 END"
+    " AS DECIMAL(8,5))",
     "tax_amount": "CAST(l_tax * 100 AS DECIMAL(12,2))",
     "status": "CASE o_orderstatus WHEN 'F' THEN ' completed' WHEN 'O' THEN 'Pending '"
     " WHEN 'P' THEN CASE WHEN l_linenumber = 1 THEN 'shipped' WHEN l_linenumber = 2 THEN NULL"
@@ -63,7 +71,7 @@ ORDER_EXPRESSIONS = {
             "unit_price", "discount_pct", "tax_amount",
         )
     },
-    "order_amount": "CAST(ROUND(quantity * unit_price * (1 - discount_pct) + tax_amount, 2)"
+    "order_amount": "CAST(ROUND(pieces * unit_price * (1 - discount_pct) + tax_amount, 2)"
     " + CASE WHEN order_id % 17 = 0 THEN 1.00 ELSE 0.00 END AS DECIMAL(12,2))",
     **{name: name for name in ("status", "_ingested_at", "_source_file_modified_at")},
 }

@@ -43,12 +43,17 @@ STANDARDIZED = {
                CAST(price AS DECIMAL(12,2)) AS price, UPPER(TRIM(status)) AS status, _batch_id
         FROM products_src""",
     "orders": """
-        SELECT order_id, customer_id, product_id, order_timestamp, quantity, unit_price,
-               discount_pct, tax_amount, order_amount, UPPER(TRIM(status)) AS status,
-               _ingested_at, _source_file_modified_at,
-               ROUND(quantity * unit_price * (1 - discount_pct) + tax_amount, 2)
+        SELECT *, ROUND(quantity * unit_price * (1 - discount_pct) + tax_amount, 2)
                    AS expected_order_amount
-        FROM orders_src""",
+        FROM (SELECT order_id, customer_id AS raw_customer_id, product_id AS raw_product_id,
+                     order_timestamp AS raw_timestamp, quantity AS raw_quantity,
+                     TRY_CAST(customer_id AS BIGINT) AS customer_id,
+                     TRY_CAST(product_id AS BIGINT) AS product_id,
+                     TRY_CAST(order_timestamp AS TIMESTAMP) AS order_timestamp,
+                     TRY_CAST(quantity AS INTEGER) AS quantity, unit_price,
+                     discount_pct, tax_amount, order_amount, UPPER(TRIM(status)) AS status,
+                     _ingested_at, _source_file_modified_at
+              FROM orders_src)""",
 }
 
 # Rules: flag, predicate, reason when it does not hold
@@ -200,7 +205,8 @@ FACT = (
     SELECT o.order_id, c.customer_id AS customer_key, p.product_id AS product_key,
            CAST(order_timestamp AS VARCHAR) AS order_timestamp,
            CAST(CAST(order_timestamp AS DATE) AS VARCHAR) AS order_date, quantity,
-           CAST(unit_price AS DOUBLE) AS unit_price, CAST(discount_pct AS DOUBLE) AS discount_pct,
+           CAST(CAST(unit_price AS DECIMAL(12,2)) AS DOUBLE) AS unit_price,
+           CAST(CAST(discount_pct AS DECIMAL(5,4)) AS DOUBLE) AS discount_pct,
            CAST(tax_amount AS DOUBLE) AS tax_amount, CAST(order_amount AS DOUBLE) AS order_amount,
            o.status AS order_status, CAST(YEAR(order_timestamp) AS INTEGER) AS order_year,
            CAST(MONTH(order_timestamp) AS INTEGER) AS order_month,
@@ -217,7 +223,7 @@ DIM_PRODUCT = (
     " CAST(price AS DOUBLE) AS current_price, status FROM products_silver"
 )
 
-MERGE = """WITH target AS (SELECT * FROM orders WHERE o_orderkey % 3 <> 0),
+MERGE = """WITH target AS (SELECT * FROM orders WHERE o_orderkey % 6 <> 0),
 source AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1 AS o_totalprice,
                   o_orderdate, o_orderpriority FROM orders WHERE o_orderkey % 2 = 0)
 """
@@ -316,7 +322,7 @@ ORACLE: dict[str, str] = {
     ),
     "orders_per_day": ORDERS
     + """SELECT CAST(CAST(order_timestamp AS DATE) AS VARCHAR) AS order_date, COUNT(*) AS orders
-    FROM orders_src GROUP BY CAST(order_timestamp AS DATE)""",
+    FROM orders_std GROUP BY CAST(order_timestamp AS DATE)""",
     "table_counts": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, COUNT(*) AS record_count FROM {t}"
         for t in ("customer", "part", "orders", "lineitem", "events")
@@ -357,7 +363,7 @@ ORACLE: dict[str, str] = {
     "align_schema": ORDERS
     + """SELECT CAST(order_id AS VARCHAR) AS order_id, product_id,
            CAST(quantity AS BIGINT) AS quantity, CAST(unit_price AS DOUBLE) AS unit_price
-    FROM orders_src""",
+    FROM orders_std""",
     "dim_customer": CUSTOMERS
     + """SELECT customer_id AS customer_key, customer_id, first_name, last_name,
            CONCAT_WS(' ', first_name, last_name) AS customer_name, email, city, province,
@@ -395,22 +401,36 @@ ORACLE: dict[str, str] = {
     FROM target t FULL OUTER JOIN source s ON t.o_orderkey = s.o_orderkey""",
     "ingest_parquet": """SELECT *, 'customer.parquet' AS _source_file_name,
            'customer' AS _source_name, 'CRM' AS _source_system, 'parquet' AS _source_format,
-           '20260729' AS _batch_id FROM customer""",
+           'batch-7' AS _batch_id FROM customer""",
     "ingest_csv": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
            CAST(o_orderdate AS VARCHAR) AS o_orderdate, UPPER(o_orderpriority) AS status,
            'orders' AS _source_name, 'ERP' AS _source_system, 'csv' AS _source_format,
-           '20260729' AS _batch_id FROM orders""",
+           'batch-7' AS _batch_id FROM orders""",
     "ingest_json": """SELECT *, 'products' AS _source_name, 'PIM' AS _source_system,
-           'json' AS _source_format, '20260729' AS _batch_id FROM part""",
+           'json' AS _source_format, 'batch-7' AS _batch_id FROM part""",
     "lineage_counts": """SELECT 'customer' AS _source_name, 'CRM' AS _source_system,
-           '20260729' AS _batch_id, COUNT(*) AS record_count FROM customer
-    UNION ALL SELECT 'part', 'PIM', '20260729', COUNT(*) FROM part""",
+           'batch-7' AS _batch_id, COUNT(*) AS record_count FROM customer
+    UNION ALL SELECT 'part', 'PIM', 'batch-7', COUNT(*) FROM part""",
     "table_overwrite": """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey,
            CAST(LENGTH(c_name) AS INTEGER) AS name_length FROM customer""",
     "table_append_evolve": """SELECT c_custkey, c_name,
            CASE WHEN c_nationkey < 13 THEN NULL ELSE c_acctbal END AS c_acctbal FROM customer""",
 }
 
+ORACLE["table_merge_two_partition_columns"] = (
+    MERGE
+    + f"""SELECT {MERGE_SHOWN}, note FROM (
+        SELECT *, 'late' AS note FROM source
+        UNION ALL SELECT *, NULL FROM target
+        WHERE o_orderstatus <> 'P' AND o_orderkey NOT IN (SELECT o_orderkey FROM source))"""
+)
+ORACLE["run_pipeline_twice_fact"] = FACT + "SELECT * FROM fact WHERE order_id % 1000 <> 1"
+ORACLE["run_pipeline_twice_engagement"] = CLICKS + ENGAGEMENT.format(where="").replace(
+    "FROM clicks_silver",
+    "FROM (SELECT * REPLACE (CASE WHEN event_id % 37 <> 0 THEN business_date END AS business_date)"
+    " FROM clicks_silver)",
+)
+
 # The same results by way of tables
 ORACLE["table_merge_upsert"] = ORACLE["merge_upsert"]
 ORACLE["table_merge_upsert_partitioned"] = ORACLE["merge_upsert"]
@@ -433,6 +453,11 @@ ORACLE["run_pipeline_checks"] = FACT + """SELECT *, faults = 0 AS passed FROM (
 for _name, _with in (("customers", CUSTOMERS), ("products", PRODUCTS), ("orders", ORDERS)):
     _kept = SHOWN[_name]
     if _name == "orders":
+        _kept = _kept.replace(
+            "customer_id, product_id, CAST(order_timestamp AS VARCHAR) AS order_timestamp, quantity",
+            "raw_customer_id AS customer_id, raw_product_id AS product_id,"
+            " raw_timestamp AS order_timestamp, raw_quantity AS quantity",
+        )
         _kept += ", CAST(expected_order_amount AS DOUBLE) AS expected_order_amount"
     ORACLE[f"silver_{_name}"] = _with + f"SELECT {SHOWN[_name]} FROM {_name}_silver"
     ORACLE[f"latest_{_name}"] = (

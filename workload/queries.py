@@ -73,6 +73,8 @@ QUERIES: dict[str, Query] = {}
 # Times of processing, which no other engine can repeat
 STAMPS = ("_silver_processed_at", "_gold_processed_at", "_rejected_at", "_bronze_ingested_at")
 BY_BATCH = ("_batch_id",)
+# Label of the batches that queries ingest
+BATCH = "batch-7"
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -280,7 +282,7 @@ def remaining_invalid_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("orders_per_day")
 def orders_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    day = F.to_date("order_timestamp").alias("order_date")
+    day = F.col("order_timestamp").try_cast("date").alias("order_date")
     counts = value_counts(orders_src(spark, sf_dir), day, name="orders")
     return counts.orderBy(F.desc("order_date"))
 
@@ -356,7 +358,8 @@ def align_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = StructType.fromDDL(
         "order_id STRING, quantity BIGINT, unit_price DECIMAL(14,4), not_there STRING"
     )
-    rows = orders_src(spark, sf_dir).select("order_id", "product_id", "quantity", "unit_price")
+    orders = ORDERS.standardized(orders_src(spark, sf_dir))
+    rows = orders.select("order_id", "product_id", "quantity", "unit_price")
     return align_to_schema(rows, target)
 
 
@@ -391,7 +394,7 @@ def _merge_fixture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     orders = table(spark, sf_dir, "orders")
     source = orders.filter(F.col("o_orderkey") % 2 == 0)
     return (
-        orders.filter(F.col("o_orderkey") % 3 != 0),
+        orders.filter(F.col("o_orderkey") % 6 != 0),
         source.withColumn("o_totalprice", F.col("o_totalprice") + 1),
     )
 
@@ -419,7 +422,9 @@ def orders_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("ingest_parquet")
 def ingest_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    config = IngestConfig(f"{sf_dir}/customer.parquet", source_format="parquet")
+    config = IngestConfig(
+        f"{sf_dir}/customer.parquet", "customers", "customer", "CRM", BATCH, source_format="parquet"
+    )
     return landed(spark, config).drop("_source_file", "_source_file_modified_at", "_ingested_at")
 
 
@@ -432,7 +437,7 @@ def ingest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = table(spark, sf_dir, "orders").withColumnRenamed("o_orderpriority", "order_status")
     landing.write.option("header", True).csv(folder)
     target = f"{new_database(spark)}.orders"
-    return ingest(spark, IngestConfig(folder, target, "orders", "ERP")).drop(*LINEAGE_DROPPED)
+    return ingest(spark, IngestConfig(folder, target, "orders", "ERP", BATCH)).drop(*LINEAGE_DROPPED)
 
 
 @query("ingest_json")
@@ -442,7 +447,7 @@ def ingest_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     part.write.json(folder)
     target = f"{new_database(spark)}.products"
     config = IngestConfig(
-        folder, target, "products", "PIM", source_format="json", schema=part.schema
+        folder, target, "products", "PIM", BATCH, source_format="json", schema=part.schema
     )
     return ingest(spark, config).drop(*LINEAGE_DROPPED)
 
@@ -455,10 +460,7 @@ def lineage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         landed(
             spark,
             IngestConfig(
-                f"{sf_dir}/{name}.parquet",
-                source_name=name,
-                source_system=system,
-                source_format="parquet",
+                f"{sf_dir}/{name}.parquet", name, name, system, BATCH, source_format="parquet"
             ),
         ).select(*lineage)
         for name, system in sources
@@ -485,7 +487,9 @@ def table_append_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer")
     first = F.col("c_nationkey") < 13
     save_table(customers.filter(first).select("c_custkey", "c_name"), name)
-    later = customers.filter(~first).select("c_acctbal", "c_custkey", "c_name")
+    later = customers.filter(~first)
+    # names are the same column in any case
+    later = later.select("c_acctbal", F.col("c_custkey").alias("C_CustKey"), "c_name")
     save_table(later, name, mode="append")
     return spark.table(name)
 
@@ -525,8 +529,41 @@ def table_merge_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merged_table(spark, sf_dir, "insert")
 
 
-def _run(spark: SparkSession, sf_dir: str) -> tuple[PipelineConfig, dict[str, DataFrame]]:
-    """Bronze tables from the given ones, then silver and gold."""
+@query("table_merge_two_partition_columns")
+def table_merge_two_partition_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch with a new column, into partitions that the table has and others."""
+    name = f"{new_database(spark)}.orders"
+    target, source = _merge_fixture(spark, sf_dir)
+    known = target.filter(F.col("o_orderstatus") != "P")
+    create_or_merge(known, name, ["o_orderkey"], partition_by=["o_orderstatus", "o_orderpriority"])
+    create_or_merge(source.withColumn("note", F.lit("late")), name, ["o_orderkey"])
+    return spark.table(name)
+
+
+def _run_twice(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Two runs over the same bronze, some of whose orders lack an id and events a date."""
+    config, _ = _bronze(spark, sf_dir)
+    orders, clicks = (spark.table(f"{config.bronze}.{name}") for name in ("orders", "click_events"))
+    id_or_none = F.when(F.col("order_id") % 1000 != 1, F.col("order_id"))
+    save_table(orders.withColumn("order_id", id_or_none), f"{config.bronze}.orders")
+    day_or_none = F.when(F.col("event_id") % 37 != 0, F.col("business_date"))
+    save_table(clicks.withColumn("business_date", day_or_none), f"{config.bronze}.click_events")
+    run_pipeline(spark, config)
+    return run_pipeline(spark, config)
+
+
+@query("run_pipeline_twice_fact")
+def run_pipeline_twice_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run_twice(spark, sf_dir)["fact_orders"]
+
+
+@query("run_pipeline_twice_engagement")
+def run_pipeline_twice_engagement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run_twice(spark, sf_dir)["daily_customer_engagement"]
+
+
+def _bronze(spark: SparkSession, sf_dir: str) -> tuple[PipelineConfig, str]:
+    """Bronze tables from the given ones, and the folder that the events came from."""
     database = new_database(spark)
     # batches of customers and products as times of ingest
     day = F.date_add(F.lit("2024-01-01").cast("date"), F.col("_batch_id")).cast("timestamp")
@@ -537,9 +574,13 @@ def _run(spark: SparkSession, sf_dir: str) -> tuple[PipelineConfig, dict[str, Da
     folder = new_folder(spark, "pages")
     click_pages(spark, sf_dir).write.option("maxRecordsPerFile", 1).json(folder)
     ingest_clicks(spark, folder, f"{database}.click_events", PAGE_SCHEMA)
-    config = PipelineConfig(
-        bronze=database, silver=new_database(spark), gold=new_database(spark)
-    )
+    silver, gold = new_database(spark), new_database(spark)
+    return PipelineConfig(bronze=database, silver=silver, gold=gold), folder
+
+
+def _run(spark: SparkSession, sf_dir: str) -> tuple[PipelineConfig, dict[str, DataFrame]]:
+    """Bronze tables from the given ones, then silver and gold."""
+    config, _ = _bronze(spark, sf_dir)
     return config, run_pipeline(spark, config)
 
 
