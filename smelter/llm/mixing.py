@@ -74,8 +74,9 @@ def rates(goals: DataFrame, tolerance: float = 1e-12, steps: int = 60) -> DataFr
 def mix(docs: DataFrame, size: Column, source: str = "source", key: str = "doc_id", weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: int = 2) -> DataFrame:
     """``docs`` with ``size``, ``source_size``, ``target`` and ``copies`` (0 to ``most``).
 
-    The words of a source's copies miss its target by less than its smallest documents allow:
-    rounding runs from long to short, then single short documents close the gap. The same
+    The words of a source's copies miss its target by half its longest document at most, and by
+    far less where it has short ones: rounding runs from long to short, then short documents
+    close the gap. The same
     rows give the same copies on every run; of rows equal in key, source and size, any may be
     the one with more. NULL is a source, NULL texts have no words, documents without words are
     taken once for every whole copy of their source's rate. Columns of the new names are

@@ -84,7 +84,7 @@ def with_next(docs: DataFrame, columns: list[str], key: str = "doc_id", parts: i
     cuts = [i / parts for i in range(1, parts)]
     bounds = docs.agg(F.percentile_approx(key, cuts, 10000)).first()[0] if cuts else []
     bounds = F.array(*[F.lit(b) for b in sorted(set(bounds or []))]).cast("array<bigint>")
-    count = F.coalesce(F.size(F.filter(bounds, lambda b: b <= F.col(key))), F.lit(parts))
+    count = F.when(F.col(key).isNull(), parts).otherwise(F.size(F.filter(bounds, lambda b: b <= F.col(key))))
     placed = docs.withColumn("_range", count).withColumn("_order", F.struct(F.col(key).isNull().alias("last"), F.col(key).alias("key"), F.xxhash64(*columns).alias("h")))
     heads = placed.groupBy("_range").agg(F.min("_order").alias("head"))
     # One row for each range
