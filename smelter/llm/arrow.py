@@ -39,20 +39,24 @@ def text_bytes(column: pa.Array) -> Iterator[bytes]:
 
 
 class Memo(dict):
-    """A dictionary that computes what it lacks and starts afresh when it is full.
+    """A dictionary that computes what it lacks, of two generations of bounded size.
 
-    It is a cache only: results depend neither on ``limit`` nor on ``longest``, the length
-    of the longest key that is kept.
+    When it is full it is laid aside whole; what is asked for again comes back from there, and
+    the rest is gone when the next one is laid aside. It is a cache only: results depend neither
+    on ``limit`` nor on ``longest``, the length of the longest key that is kept.
     """
 
     def __init__(self, compute: Callable, limit: int, longest: int | None = None):
         super().__init__()
-        self.compute, self.limit, self.longest = compute, limit, longest
+        self.compute, self.limit, self.longest, self.aside = compute, limit, longest, {}
 
     def __missing__(self, key):
-        value = self.compute(key)
+        value = self.aside.pop(key, None)
+        if value is None:
+            value = self.compute(key)
         if self.longest is None or len(key) <= self.longest:
             if len(self) >= self.limit:
+                self.aside = dict(self)
                 self.clear()
             self[key] = value
         return value
