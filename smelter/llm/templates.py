@@ -4,8 +4,8 @@ Tokens of a page are its elements, told apart by their path, and its blocks of t
 with the same occurrence vector over the pages of a host (as often as each other on every
 page) form a class. Classes that most pages of the host have are taken for its template if they
 are valid, that is, if the element each token lies in belongs to the template too, so that classes nest.
-What the template says on page after page is not content; the slots it leaves, less those that
-its elements mark as something other than the article, are the text.
+What the template says (a text in one class with the element that holds it) is not content; the slots
+it leaves, less those that its elements mark as something other than the article, are the text.
 """
 
 from __future__ import annotations
@@ -215,8 +215,8 @@ def _token_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=names)
 
 
-def templates(pages: DataFrame, share: float = 0.5, least: int = 3) -> DataFrame:
-    """(host, texts array<bigint>, pages): texts of each host's template.
+def templates(pages: DataFrame, share: float = 0.5, least: int = 5) -> DataFrame:
+    """(host, texts array<bigint>): texts of each host's template.
 
     An occurrence vector is held as its length and a sum of hashes of its entries, so that it
     needs no list of pages, however many a host has. ``share``: of the host's different pages
@@ -227,14 +227,16 @@ def templates(pages: DataFrame, share: float = 0.5, least: int = 3) -> DataFrame
     entry = F.xxhash64("page", "n").cast("decimal(38,0)")
     vectors = rows.groupBy("host", "token", "inside", "is_text").agg(F.count("*").alias("support"), F.sum(entry).alias("vector"))
     # A host has at most as many frequent tokens as its pages have tokens, over the share
-    root = vectors.where(F.col("token") == F.lit(digest(">html")))
     sizes = vectors.groupBy("host").agg(F.max("support").alias("pages"))
     frequent = stage(vectors.join(sizes, "host").where((F.col("support") >= least) & (F.col("support") >= F.col("pages") * share)), "tokens")
     classes = frequent.groupBy("host", "support", "vector").agg(F.min("token").alias("class"))
     placed = frequent.join(classes, ["host", "support", "vector"]).select("host", "class", "token", "inside", "is_text", "pages")
     valid = _nested(placed)
-    texts = valid.where("is_text").groupBy("host").agg(F.collect_set("token").alias("texts"))
-    return texts
+    # A text belongs to the template if its element comes with it, neither ever alone; a
+    # paragraph that many articles quote lies among others of its kind
+    elements = valid.where("not is_text").select("host", "class", F.col("token").alias("inside"))
+    texts = valid.where("is_text").join(elements, ["host", "class", "inside"], "left_semi")
+    return texts.groupBy("host").agg(F.collect_set("token").alias("texts"))
 
 
 def _nested(placed: DataFrame) -> DataFrame:
@@ -257,7 +259,7 @@ def main_text(page: str, fixed: frozenset[int] | set[int] = frozenset()) -> str:
     return "\n\n".join(b.text for b in slots or rest)
 
 
-def extracted(pages: DataFrame, share: float = 0.5, least: int = 3) -> DataFrame:
+def extracted(pages: DataFrame, share: float = 0.5, least: int = 5) -> DataFrame:
     """``pages`` (url, html and others) without html, with ``text`` and ``n_chars`` (bigint).
 
     The article as blocks joined by an empty line; white space inside a block is one space.
