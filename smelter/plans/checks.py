@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from smelter.config import PipelineConfig
 from smelter.operators.quality import (
+    dq_summary,
     duplicate_keys,
     reconcile,
     referential_integrity,
+    rejects_by_reason,
     violations,
 )
+from smelter.plans.clicks import SUMMARY
 from smelter.plans.customers import CUSTOMERS, email_rule
 from smelter.plans.orders import DIMENSION_KEYS, order_flow
 from smelter.plans.products import PRODUCTS
@@ -30,12 +33,35 @@ UNIQUE = (
 )
 
 
+# Tables of what was rejected
+REJECTS = {
+    "customers": "customer_rejected",
+    "products": "product_rejected",
+    "orders": "order_rejected",
+}
+
+
+def run_summary(spark: SparkSession, config: PipelineConfig | None = None) -> dict[str, DataFrame]:
+    """What a run stored, for reading: silver events in figures, and rejects by table and reason."""
+    config = config or PipelineConfig()
+    events = dq_summary(spark.table(f"{config.silver}.click_events"), "event_id", SUMMARY)
+    stored = [n for n in REJECTS if n != "products" or config.store_product_rejects]
+    reasons = [
+        rejects_by_reason(spark.table(f"{config.silver}.{REJECTS[n]}")).select(
+            F.lit(n).alias("source"), "reject_reason", "count"
+        )
+        for n in stored
+    ]
+    return {"events": events, "rejects": reduce(DataFrame.unionAll, reasons)}
+
+
 def run_checks(spark: SparkSession, config: PipelineConfig | None = None) -> DataFrame:
     """One row per check: its name, the table, the rows or keys at fault, and if it passed.
 
-    Covers bronze rows that are neither valid nor rejected, keys held twice, emails
-    that are still invalid, and facts without a dimension row. Each check reads only the
-    columns it is about, in one aggregation.
+    Covers bronze rows that are neither valid nor among the stored rejects, keys held
+    twice, emails that are still invalid, and facts without a dimension row. Each check reads
+    only the columns it is about, in one aggregation. Rejects are those of the last run, so
+    bronze must be as that run found it.
     """
     config = config or PipelineConfig()
     layers = {"bronze": config.bronze, "silver": config.silver, "gold": config.gold}
@@ -60,7 +86,11 @@ def run_checks(spark: SparkSession, config: PipelineConfig | None = None) -> Dat
         sides = reconcile(
             flow.standardized(table("bronze", name)), flow.rules(), config.null_policy
         )
-        lost = F.col("source_rows") - F.col("valid_rows") - F.col("rejected_rows")
+        rejected = F.col("rejected_rows")
+        if name in REJECTS and (name != "products" or config.store_product_rejects):
+            # What was stored, counted from the footers of its files
+            rejected = F.lit(table("silver", REJECTS[name]).count())
+        lost = F.col("source_rows") - F.col("valid_rows") - rejected
         found.append(labelled(sides.withColumn("lost", lost), "lost_rows", f"bronze.{name}", "lost"))
     for layer, name, key in UNIQUE:
         twice = duplicate_keys(table(layer, name), key).agg(F.count("*").alias("keys"))
@@ -68,5 +98,11 @@ def run_checks(spark: SparkSession, config: PipelineConfig | None = None) -> Dat
     emails = violations(table("silver", "customers"), email_rule())
     found.append(labelled(emails, "invalid_emails", "silver.customers", "violations"))
     orphans = referential_integrity(table("gold", "fact_orders"), DIMENSION_KEYS)
-    found += [labelled(orphans, name, "gold.fact_orders", name) for name in DIMENSION_KEYS]
+    # One row becomes one for each key, so that the fact is read once
+    each = orphans.unpivot([], list(DIMENSION_KEYS), "check_name", "faults")
+    found.append(
+        each.select(
+            "check_name", F.lit("gold.fact_orders").alias("table_name"), F.col("faults").cast("long")
+        )
+    )
     return reduce(DataFrame.unionAll, found).withColumn("passed", F.col("faults") == 0)

@@ -33,7 +33,7 @@ def run_pipeline(
         return spark.table(f"{layers[layer]}.{name}")
 
     def replace(df: DataFrame, layer: str, name: str) -> None:
-        save_table(df, f"{layers[layer]}.{name}")
+        save_table(df, f"{layers[layer]}.{name}", audit_table=config.audit_table)
 
     def merge(
         df: DataFrame, layer: str, name: str, key: str, null_keys: str = config.null_keys

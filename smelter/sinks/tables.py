@@ -223,6 +223,7 @@ def save_table(
     partition_by: Sequence[str] | None = None,
     bucket_by: Sequence[str] | None = None,
     buckets: int | None = None,
+    audit_table: str | None = None,
 ) -> None:
     """Write ``df`` as catalog table ``name``.
 
@@ -231,10 +232,18 @@ def save_table(
     """
     if mode not in LOAD_MODES:
         raise ValueError(f"mode {mode!r} is none of {LOAD_MODES}")
-    if mode == "append" and table_exists(df.sparkSession, name):
+    spark = df.sparkSession
+    adds = mode == "append" and table_exists(spark, name)
+    # Counts of stored rows come from the footers of their files
+    kept = spark.table(name).count() if adds and audit_table else 0
+    if adds:
         _append(df, name)
     else:
         _overwrite(df, name, replace_schema, Layout.of(partition_by, bucket_by, buckets))
+    if audit_table:
+        written = spark.table(name).agg((F.count("*") - kept).alias("rows_inserted"))
+        counts = written.withColumns({"rows_updated": F.lit(0), "rows_kept": F.lit(kept)})
+        record_load(counts, audit_table, name, mode)
 
 
 def _in_partitions(columns: Sequence[str], values: Sequence[tuple]) -> Column:
@@ -320,13 +329,16 @@ def merge_counts(target: DataFrame, batch: DataFrame, matched: DataFrame) -> Dat
     )
 
 
-def record_load(
-    counts: DataFrame, audit_table: str, name: str, operation: str, version: int
-) -> None:
-    """Append one row about a write to ``audit_table``."""
+def record_load(counts: DataFrame, audit_table: str, name: str, operation: str) -> None:
+    """Append one row about a write to ``audit_table``; ``version`` numbers a table's writes."""
+    spark = counts.sparkSession
+    before = 0
+    if table_exists(spark, audit_table):
+        written = spark.table(audit_table).filter(F.col("table_name") == name)
+        before = written.agg(F.max("version")).first()[0] or 0
     row = counts.select(
         F.lit(name).alias("table_name"),
-        F.lit(version).cast("long").alias("version"),
+        F.lit(before + 1).cast("long").alias("version"),
         F.lit(operation).alias("operation"),
         *[F.col(c).cast("long").alias(c) for c in ("rows_inserted", "rows_updated", "rows_kept")],
         F.current_timestamp().alias("loaded_at"),
@@ -383,7 +395,7 @@ def create_or_merge(
             counts = created.agg(F.count("*").alias("rows_inserted")).select(
                 "rows_inserted", F.lit(0).alias("rows_updated"), F.lit(0).alias("rows_kept")
             )
-            record_load(counts, audit_table, name, "create", table_version(spark, name))
+            record_load(counts, audit_table, name, "create")
         return created
 
     target = spark.table(name)
@@ -418,7 +430,7 @@ def create_or_merge(
             _replace(merged, name, layout)
     discard(matched)
     if counts is not None:
-        record_load(counts, audit_table, name, f"merge {how}", table_version(spark, name))
+        record_load(counts, audit_table, name, f"merge {how}")
         discard(counts)
     return batch
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import TESTDATA
 from smelter import PipelineConfig
-from smelter.plans.checks import run_checks
+from smelter.plans.checks import REJECTS, run_checks, run_summary
 from smelter.plans.clicks import daily_engagement, silver_clicks
 from smelter.plans.customers import dim_customer
 from smelter.plans.ingest import ingest_clicks
@@ -79,7 +79,7 @@ def test_run_twice(spark, layers, tmp_path, layout):
         "silver.click_events", "gold.dim_customer", "gold.dim_product", "gold.fact_orders",
         "gold.fact_order_rejected", "gold.daily_customer_engagement",
     }
-    assert all(first.values()) and len(audit) == 6
+    assert all(first.values()) and len(audit) == 12
     stamps = {r[0] for r in gold["fact_orders"].select("_gold_processed_at").distinct().collect()}
     assert len(stamps) == 1
 
@@ -99,7 +99,7 @@ def test_run_twice(spark, layers, tmp_path, layout):
     assert second == first
     # every merge of the second run updates all rows and inserts none
     again = spark.table(f"{layers['gold']}.load_audit").filter("operation = 'merge upsert'")
-    assert len(later) == 12 and again.count() == 6
+    assert len(later) == 24 and again.count() == 6
     assert again.agg(F.sum("rows_inserted"), F.sum("rows_kept")).first() == (0, 0)
 
 
@@ -127,8 +127,26 @@ def test_checks_find_what_is_wrong(spark, layers):
     assert faults["duplicate_keys", "silver.orders"] == 0
     # undecided rows end up on neither side
     assert faults["lost_rows", "bronze.orders"] > 0
-    sound = run_checks(spark, PipelineConfig(**layers)).filter("check_name = 'lost_rows'")
+    config = PipelineConfig(**layers)
+    run_pipeline(spark, config)
+    sound = run_checks(spark, config).filter("check_name = 'lost_rows'")
     assert sound.count() == 3 and sound.filter("NOT passed").count() == 0
+    rejects = f"{layers['silver']}.order_rejected"
+    stored = spark.table(rejects)
+    save_table(stored.filter("order_id != (SELECT MIN(order_id) FROM %s)" % rejects), rejects)
+    lost = run_checks(spark, config).filter("NOT passed AND check_name = 'lost_rows'").collect()
+    assert [(r.table_name, r.faults > 0) for r in lost] == [("bronze.orders", True)]
+
+
+def test_summary(spark, layers):
+    config = PipelineConfig(**layers, store_product_rejects=True)
+    run_pipeline(spark, config)
+    summary = run_summary(spark, config)
+    assert summary["events"].first().total_rows == spark.table(f"{layers['silver']}.click_events").count()
+    by_source = summary["rejects"].groupBy("source").agg(F.sum("count")).collect()
+    assert {tuple(r) for r in by_source} == {
+        (name, spark.table(f"{layers['silver']}.{table}").count()) for name, table in REJECTS.items()
+    }
 
 
 def test_days_before_since_stay(spark, layers):

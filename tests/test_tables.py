@@ -274,7 +274,14 @@ def test_audit_table(spark, database):
     assert [tuple(r) for r in log.collect()] == [
         (name, 1, "create", 2, 0, 0),
         (name, 2, "merge upsert", 2, 1, 1),
-        (name, 2, "merge insert", 1, 0, 4),
+        (name, 3, "merge insert", 1, 0, 4),
+    ]
+    save_table(frame(spark, [(9, "a", "z")]), name, mode="append", audit_table=audit)
+    save_table(frame(spark, [(9, "a", "z")]), name, audit_table=audit)
+    log = spark.table(audit).filter("version > 3").orderBy("version").drop("loaded_at")
+    assert [tuple(r) for r in log.collect()] == [
+        (name, 4, "append", 1, 0, 5),
+        (name, 5, "overwrite", 1, 0, 0),
     ]
 
 

@@ -431,6 +431,30 @@ ORACLE["run_pipeline_twice_engagement"] = CLICKS + ENGAGEMENT.format(where="").r
     " FROM clicks_silver)",
 )
 
+ORACLE["table_overwrite_same_schema"] = "SELECT c_custkey, c_name FROM customer WHERE c_custkey % 2 = 0"
+ORACLE["catalog_columns"] = """SELECT table_name, column_name AS col_name,
+    CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE LOWER(data_type) END AS data_type
+    FROM information_schema.columns WHERE table_name IN ('customer', 'part')"""
+ORACLE["processing_stamps"] = (
+    CUSTOMERS + "SELECT COUNT(*) AS total_rows, COUNT(*) AS stamped_rows, 1 AS times FROM customers_silver"
+)
+ORACLE["ingest_append"] = """SELECT p_partkey, p_name,
+    CASE WHEN p_partkey % 2 = 0 THEN p_retailprice END AS p_retailprice,
+    CASE WHEN p_partkey % 2 = 1 THEN 'new' END AS origin,
+    CASE WHEN p_partkey % 2 = 0 THEN 'parquet' ELSE 'json' END AS _source_format,
+    CASE WHEN p_partkey % 2 = 0 THEN 'batch-7' ELSE 'batch-8' END AS _batch_id FROM part"""
+ORACLE["export_partitioned"] = DIM_PRODUCT
+ORACLE["load_history"] = MERGE + """, n AS (
+    SELECT COUNT(*) AS orders, COUNT(*) FILTER (WHERE o_orderkey % 6 <> 0) AS target,
+        COUNT(*) FILTER (WHERE o_orderkey % 2 = 0) AS source,
+        COUNT(*) FILTER (WHERE o_orderkey % 6 = 0) AS fresh,
+        COUNT(*) FILTER (WHERE o_orderkey % 10 = 0) AS tens FROM orders)
+SELECT 1 AS version, 'create' AS operation, target AS rows_inserted, 0 AS rows_updated, 0 AS rows_kept FROM n
+UNION ALL SELECT 2, 'merge insert', fresh, 0, target FROM n
+UNION ALL SELECT 3, 'merge upsert', 0, source, orders - source FROM n
+UNION ALL SELECT 4, 'append', tens, 0, orders FROM n
+UNION ALL SELECT 5, 'overwrite', source, 0, 0 FROM n"""
+
 # The same results by way of tables
 ORACLE["table_merge_upsert"] = ORACLE["merge_upsert"]
 ORACLE["table_merge_upsert_partitioned"] = ORACLE["merge_upsert"]

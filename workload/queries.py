@@ -57,6 +57,7 @@ from smelter.plans.pipeline import run_pipeline
 from smelter.plans.products import PRODUCTS, dim_product, product_rules
 from smelter.scratch import new_folder
 from smelter.sinks.tables import create_or_merge, export_parquet, save_table
+from smelter.sources.catalog import describe, list_tables
 from smelter.sources.pages import PAGE_SCHEMA, bronze_clicks, read_json_pages
 from workload.adapters import (
     click_pages,
@@ -480,6 +481,73 @@ def table_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+@query("table_overwrite_same_schema")
+def table_overwrite_same_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows replaced under a schema that is held, given in another order of columns."""
+    name = f"{new_database(spark)}.customers"
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    save_table(customers, name)
+    save_table(customers.filter("c_custkey % 2 = 0").select("c_name", "c_custkey"), name, replace_schema=False)
+    return spark.table(name)
+
+
+@query("catalog_columns")
+def catalog_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables made from two of the given ones, listed, with their columns and types."""
+    database = new_database(spark)
+    for name in ("customer", "part"):
+        save_table(table(spark, sf_dir, name), f"{database}.{name}")
+    described = [
+        describe(spark, f"{database}.{name}").select(F.lit(name).alias("table_name"), "col_name", "data_type")
+        for name in list_tables(spark, database)
+    ]
+    return described[0].unionAll(described[1])
+
+
+@query("processing_stamps")
+def processing_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of a result carry one time, and none is without."""
+    rows = CUSTOMERS.refine(customers_src(spark, sf_dir), newest=BY_BATCH).clean
+    stamp = F.col("_silver_processed_at")
+    return rows.agg(
+        F.count("*").alias("total_rows"), F.count(stamp).alias("stamped_rows"), F.count_distinct(stamp).alias("times")
+    )
+
+
+@query("ingest_append")
+def ingest_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second batch, of another format and with ids as text, onto a table that exists."""
+    first, second = new_folder(spark, "landing"), new_folder(spark, "landing")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
+    part.filter("p_partkey % 2 = 0").write.parquet(first)
+    as_text = F.col("p_partkey").cast("string").alias("p_partkey")
+    part.filter("p_partkey % 2 = 1").select(as_text, "p_name", F.lit("new").alias("origin")).write.json(second)
+    target = f"{new_database(spark)}.products"
+    ingest(spark, IngestConfig(first, target, "products", "PIM", BATCH, source_format="parquet"))
+    later = IngestConfig(second, target, "products", "PIM", "batch-8", "append", "json")
+    return ingest(spark, later).drop(*LINEAGE_DROPPED, "_source_name", "_source_system")
+
+
+@query("export_partitioned")
+def export_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "export")
+    export_parquet(_dimensions(spark, sf_dir)[1], folder, ["category"])
+    return spark.read.parquet(folder)
+
+
+@query("load_history")
+def load_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored audit of a table's creation, merges, append and overwrite."""
+    database = new_database(spark)
+    name, audit = f"{database}.orders", f"{database}.load_audit"
+    target, source = _merge_fixture(spark, sf_dir)
+    for batch, how in ((target, "upsert"), (source, "insert"), (source, "upsert")):
+        create_or_merge(batch, name, ["o_orderkey"], how, audit_table=audit)
+    save_table(source.filter("o_orderkey % 10 = 0"), name, mode="append", audit_table=audit)
+    save_table(source, name, audit_table=audit)
+    return spark.table(audit).drop("table_name", "loaded_at")
+
+
 @query("table_append_evolve")
 def table_append_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batches, of which the second brings a new column."""
