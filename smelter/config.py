@@ -48,6 +48,11 @@ class PipelineConfig:
     they are instead of computing all days again. Orders without an id are rejected unless
     ``require_order_id`` is turned off; ``null_keys`` then says what merges do with them.
     ``partitions`` takes one column or several.
+
+    ``bronze_since`` bounds a run to orders and events ingested at that time or later, and
+    ``only_changes`` leaves out of merges what the tables hold already and of the fact what
+    neither a changed order nor a changed dimension row touches. Rejects are then those of the
+    rows looked at; by default a run takes all.
     """
 
     bronze: str = "bronze"
@@ -63,3 +68,5 @@ class PipelineConfig:
     buckets: Mapping[str, int] = field(default_factory=dict)
     audit_table: str | None = None
     engagement_since: str | None = None
+    bronze_since: str | None = None
+    only_changes: bool = False

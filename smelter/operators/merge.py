@@ -112,7 +112,18 @@ def merge_upsert(
     return untouched(target, batch, keys, null_keys).unionByName(batch, allowMissingColumns=True)
 
 
-def _digest(columns: Sequence[str]) -> Column:
+def changed(
+    batch: DataFrame, matched: DataFrame, keys: Sequence[str], same: str, null_keys: str = "insert"
+) -> DataFrame:
+    """Rows of ``batch`` whose key ``matched`` lacks or has with another digest.
+
+    ``matched`` has the keys and, as ``same``, the digest of the target's row, which
+    ``batch`` carries as well; the column is dropped.
+    """
+    return unmatched(batch, matched, [*keys, same], null_keys).drop(same)
+
+
+def digest(columns: Sequence[str]) -> Column:
     """128 bits that stand for the values of ``columns``.
 
     The hash passes over NULLs, hence the markers that keep (NULL, 1) from (1, NULL).
@@ -138,7 +149,7 @@ def load_audit(
     known = before.withColumns({c: F.lit(None).cast(t) for c, t in lacking.items()})
 
     def digested(df: DataFrame, was: int) -> DataFrame:
-        return df.select(*keys, _digest(compared).alias("digest"), F.lit(was).alias("was"))
+        return df.select(*keys, digest(compared).alias("digest"), F.lit(was).alias("was"))
 
     same_type = align_to_schema(known, after.schema)
     per_row = (

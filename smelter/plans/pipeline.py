@@ -8,12 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smelter.config import PipelineConfig
+from smelter.operators.merge import join_keys
 from smelter.plans.clicks import daily_engagement, silver_clicks
 from smelter.plans.customers import CUSTOMERS, dim_customer
 from smelter.plans.orders import fact_orders, order_flow, split_fact
 from smelter.plans.products import PRODUCTS, dim_product
 from smelter.sinks.tables import create_or_merge, export_parquet, save_table
+from smelter.sources.catalog import table_exists
 
+# Columns that differ between runs over the same rows
+STAMPS = ("_silver_processed_at", "_gold_processed_at")
 GOLD_TABLES = ("dim_customer", "dim_product", "fact_orders", "daily_customer_engagement")
 
 
@@ -49,8 +53,15 @@ def run_pipeline(
             buckets=config.buckets.get(f"{layer}.{name}"),
             audit_table=config.audit_table,
             check_unique=False,
+            skip_same=STAMPS if config.only_changes else None,
         )
 
+    def recent(name: str, time: str) -> DataFrame:
+        rows = table("bronze", name)
+        if config.bronze_since is None:
+            return rows
+        return rows.filter(F.col(time) >= F.lit(config.bronze_since).cast("timestamp"))
+
     customers = CUSTOMERS.refine(table("bronze", "customers"), config.null_policy, at=at)
     replace(customers.clean, "silver", "customers")
     replace(customers.rejected, "silver", "customer_rejected")
@@ -61,21 +72,36 @@ def run_pipeline(
         replace(products.rejected, "silver", "product_rejected")
 
     orders = order_flow(config.require_order_id).refine(
-        table("bronze", "orders"), config.null_policy, at=at
+        recent("orders", "_ingested_at"), config.null_policy, at=at
     )
-    merge(orders.clean, "silver", "orders", "order_id")
+    first_run = not table_exists(spark, f"{layers['gold']}.fact_orders")
+    changed_orders = merge(orders.clean, "silver", "orders", "order_id")
     replace(orders.rejected, "silver", "order_rejected")
 
-    merge(silver_clicks(table("bronze", "click_events"), at=at), "silver", "click_events", "event_id")
-
-    merge(dim_customer(table("silver", "customers"), at), "gold", "dim_customer", "customer_id")
-    merge(dim_product(table("silver", "products"), at), "gold", "dim_product", "product_id")
+    clicks = silver_clicks(recent("click_events", "_bronze_ingested_at"), at=at)
+    merge(clicks, "silver", "click_events", "event_id")
 
-    facts = fact_orders(
-        table("silver", "orders"), table("gold", "dim_customer"), table("gold", "dim_product"), at
+    customers = merge(
+        dim_customer(table("silver", "customers"), at), "gold", "dim_customer", "customer_id"
     )
+    products = merge(
+        dim_product(table("silver", "products"), at), "gold", "dim_product", "product_id"
+    )
+
+    partly = config.only_changes and not first_run
+    due = table("silver", "orders")
+    if partly:
+        # Changed orders, and those whose customer or product has come or changed since
+        others = join_keys(due, changed_orders, ["order_id"], "left_anti")
+        of_customers = join_keys(others, customers, ["customer_id"], "left_semi")
+        rest = join_keys(others, customers, ["customer_id"], "left_anti")
+        of_products = join_keys(rest, products, ["product_id"], "left_semi")
+        now = join_keys(due, changed_orders, ["order_id"], "left_semi")
+        due = now.unionByName(of_customers).unionByName(of_products)
+    facts = fact_orders(due, table("gold", "dim_customer"), table("gold", "dim_product"), at)
     batch = merge(facts, "gold", "fact_orders", "order_id")
-    replace(split_fact(batch, at).rejected, "gold", "fact_order_rejected")
+    orphans = table("gold", "fact_orders") if partly else batch
+    replace(split_fact(orphans, at).rejected, "gold", "fact_order_rejected")
 
     merge(
         daily_engagement(table("silver", "click_events"), since=config.engagement_since, at=at),

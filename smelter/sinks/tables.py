@@ -23,6 +23,8 @@ from pyspark.sql.types import StructField, StructType
 from smelter.constants import LOAD_MODES
 from smelter.operators.merge import (
     NULL_KEYS,
+    changed,
+    digest,
     join_keys,
     prepared_source,
     require_unique,
@@ -361,6 +363,7 @@ def create_or_merge(
     buckets: int | None = None,
     audit_table: str | None = None,
     check_unique: bool = True,
+    skip_same: Sequence[str] | None = None,
 ) -> DataFrame:
     """Create table ``name`` from ``df``, or merge ``df`` into it; returns this batch's rows.
 
@@ -371,7 +374,9 @@ def create_or_merge(
     any other is rewritten whole. ``buckets`` lays a new table out by its keys, so that no
     merge has to shuffle it, however large the batch; it suits tables whose changes
     fall into all partitions, and takes no rows without a key. ``check_unique`` may be
-    turned off for a batch known to hold each key once.
+    turned off for a batch known to hold each key once. ``skip_same`` leaves out of an upsert
+    (and of what is returned) rows that equal the table's in all columns but these, such as times
+    of processing: then a batch costs what it changes.
     """
     if how not in ("upsert", "insert"):
         raise ValueError(f"how {how!r} is neither 'upsert' nor 'insert'")
@@ -405,8 +410,18 @@ def create_or_merge(
         _require_keys(batch, keys)
     if how == "upsert" and check_unique:
         require_unique(batch, keys, null_keys)
-    placed = target.select(*dict.fromkeys([*layout.partition_by, *keys]))
-    matched = stage(join_keys(placed, batch, keys, "left_semi", null_keys), "matched")
+    placed = [*dict.fromkeys([*layout.partition_by, *keys])]
+    compares = skip_same is not None and how == "upsert" and set(batch.columns) == set(target.columns)
+    if compares:
+        seen = digest([c for c in target.columns if c not in (*keys, *skip_same)])
+        looked_at = target.select(*placed, seen.alias("_same"))
+        found = stage(join_keys(looked_at, batch, keys, "left_semi", null_keys), "matched")
+        fresh = changed(batch.withColumn("_same", seen), found, keys, "_same", null_keys)
+        batch = stage(fresh.select(*batch.columns), "changed")
+        matched = stage(join_keys(found, batch, keys, "left_semi", null_keys).drop("_same"), "matched")
+        discard(found)
+    else:
+        matched = stage(join_keys(target.select(*placed), batch, keys, "left_semi", null_keys), "matched")
     counts = None
     if how == "insert":
         fresh = unmatched(batch, matched, keys, null_keys)

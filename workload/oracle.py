@@ -460,6 +460,7 @@ ORACLE["table_merge_upsert"] = ORACLE["merge_upsert"]
 ORACLE["table_merge_upsert_partitioned"] = ORACLE["merge_upsert"]
 ORACLE["table_merge_insert"] = ORACLE["merge_insert_only"]
 ORACLE["run_pipeline_fact"] = ORACLE["fact_orders"]
+ORACLE["run_pipeline_increment"] = ORACLE["fact_orders"]
 ORACLE["run_pipeline_engagement"] = ORACLE["daily_engagement"]
 ORACLE["run_pipeline_checks"] = FACT + """SELECT *, faults = 0 AS passed FROM (
     SELECT check_name, table_name, CAST(0 AS BIGINT) AS faults FROM (VALUES

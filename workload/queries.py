@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,7 +56,7 @@ from smelter.plans.orders import (
 )
 from smelter.plans.pipeline import run_pipeline
 from smelter.plans.products import PRODUCTS, dim_product, product_rules
-from smelter.scratch import new_folder
+from smelter.scratch import new_folder, stage
 from smelter.sinks.tables import create_or_merge, export_parquet, save_table
 from smelter.sources.catalog import describe, list_tables
 from smelter.sources.pages import PAGE_SCHEMA, bronze_clicks, read_json_pages
@@ -630,6 +631,26 @@ def run_pipeline_twice_engagement(spark: SparkSession, sf_dir: str) -> DataFrame
     return _run_twice(spark, sf_dir)["daily_customer_engagement"]
 
 
+@query("run_pipeline_increment")
+def run_pipeline_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of a first part, then a second part by what it changes: the fact over both.
+
+    In between customers come that orders of the first part were waiting for.
+    """
+    config, _ = _bronze(spark, sf_dir)
+    names = {name: f"{config.bronze}.{name}" for name in ("orders", "customers")}
+    orders, customers = (stage(spark.table(name)) for name in names.values())
+    early = F.col("order_id") % 3 != 0
+    save_table(orders.filter(early), names["orders"])
+    save_table(customers.filter("customer_id IS NULL OR customer_id % 4 != 0"), names["customers"])
+    run_pipeline(spark, config)
+    later = {"_ingested_at": F.col("_ingested_at") + F.expr("INTERVAL 100 YEARS")}
+    save_table(orders.filter(~early).withColumns(later), names["orders"], mode="append")
+    save_table(customers, names["customers"])
+    bounded = replace(config, only_changes=True, bronze_since="2050-01-01")
+    return run_pipeline(spark, bounded)["fact_orders"]
+
+
 def _bronze(spark: SparkSession, sf_dir: str) -> tuple[PipelineConfig, str]:
     """Bronze tables from the given ones, and the folder that the events came from."""
     database = new_database(spark)
