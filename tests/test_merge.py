@@ -1,6 +1,7 @@
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from smelter import scratch
 from smelter.operators.merge import load_audit, merge_insert, merge_upsert
@@ -193,3 +194,17 @@ def test_expired_versions_of_a_partitioned_table(spark, database):
         create_or_merge(batch.where("p = 0"), name, ["id"])
     expire_versions(spark, name, keep=0)
     assert spark.table(name).count() == 10
+
+
+def test_rows_that_the_table_holds_are_left_out(spark, database):
+    name = f"{database}.t"
+    first = spark.createDataFrame([(1, 0, "a", 1), (2, 0, None, 1), (3, 1, "c", 1)], "id int, p int, v string, at int")
+    create_or_merge(first, name, ["id"], partition_by=["p"])
+    before = files_of(spark, name)
+    same = first.withColumn("at", F.lit(2))
+    assert create_or_merge(same, name, ["id"], skip_same=["at"]).count() == 0
+    assert files_of(spark, name) == before
+    batch = spark.createDataFrame([(2, 0, "b", 3), (3, 1, "c", 3), (4, 0, "d", 3)], "id int, p int, v string, at int")
+    assert rows(create_or_merge(batch, name, ["id"], skip_same=["at"]).select("id")) == [(2,), (4,)]
+    assert rows(spark.table(name).select("id", "v", "at")) == [(1, "a", 1), (2, "b", 3), (3, "c", 1), (4, "d", 3)]
+    assert {f for f in before if "p=1" in f} <= files_of(spark, name)
