@@ -13,11 +13,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smelter.llm.arrow import map_batches, text_bytes
+from smelter.scratch import stage
 
 # Labelled rows used at most of each class, half for the dictionary and half for calibration;
 # those with longer texts are not among them
@@ -47,14 +49,19 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, longest: in
     ``labels``: doc_id and quality (1 good, 0 bad); other values and NULLs don't count, nor do
     documents with both labels. Of each class the first ``rows`` by a hash of doc_id are
     taken, whole, if their texts have no more than ``longest`` bytes: this bounded sample is
-    all the driver sees. With fewer than two texts of a class every score is the share of good labels
-    (0.5 without labels).
+    all the driver sees, and only its ids meet the documents. With fewer than two texts of a
+    class every score is the share of good labels (0.5 without labels).
     """
     votes = labels.where("quality in (0, 1)").where(~held_out()).groupBy("doc_id")
     votes = votes.agg(F.min("quality").alias("quality"), F.max("quality").alias("most")).where("quality = most").drop("most")
-    labelled = docs.where(F.octet_length("text").between(1, longest)).select("doc_id", "text").join(votes, "doc_id")
-    order = [F.xxhash64("doc_id"), F.xxhash64("text")]
-    texts = {q: [r.text.encode() for r in labelled.where(F.col("quality") == q).orderBy(*order).limit(rows).collect()] for q in (0, 1)}
+    votes = stage(votes, "votes")
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    first = [votes.where(F.col("quality") == q).orderBy(*order).limit(rows) for q in (0, 1)]
+    # No more than twice ``rows`` ids
+    chosen = F.broadcast(stage(first[0].unionByName(first[1]), "sample"))
+    found = docs.where(F.octet_length("text").between(1, longest)).select("doc_id", "text").join(chosen, "doc_id")
+    found = sorted((xxhash.xxh64_intdigest(str(r.doc_id)), r.text, r.quality) for r in found.collect())
+    texts = {q: [text.encode() for _, text, quality in found if quality == q] for q in (0, 1)}
     shares = {r.quality: r["count"] for r in votes.groupBy("quality").count().collect()}
     share = shares.get(1, 0) / sum(shares.values()) if shares else 0.5
     return trained(texts[1], texts[0], share)
