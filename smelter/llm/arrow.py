@@ -9,18 +9,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
 
+SLICE_BYTES = 4 << 20
+
+
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    rows = max(1, batch.num_rows * SLICE_BYTES // max(batch.nbytes, 1))
+    for begin in range(0, batch.num_rows, rows):
+        yield batch.slice(begin, rows)
+
+
 def map_batches(df: DataFrame, build: Callable[[], Callable], schema: StructType | str) -> DataFrame:
     """Rows of ``df`` through a function from one Arrow batch to one.
 
     ``build`` runs once in each task and returns the function, so that models and tables
-    are loaded where they are used. Batches without rows are passed over.
+    are loaded where they are used. A batch is handed on in slices of about ``SLICE_BYTES``, so
+    that what a function makes of one stays small; those without rows are passed over.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = build()
         for batch in batches:
-            if batch.num_rows:
-                yield function(batch)
+            for part in slices(batch):
+                yield function(part)
 
     return df.mapInArrow(run, schema)
 

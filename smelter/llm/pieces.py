@@ -215,26 +215,34 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
-def encoded(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def encoded(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", checked: str | None = None) -> DataFrame:
     """``docs`` with the ids of each text (array<int>).
 
     ``path``: a model file, at the same place on all machines. Ids are those the model's own
-    library gives, without begin and end. NULL and empty texts have no ids. A column of the
-    same name is replaced.
+    library gives, without begin and end. NULL and empty texts have no ids. ``checked`` names a
+    column that says whether decoding gives the text back (with blanks for U+2581), found in the
+    same pass. Columns of the same names are replaced.
     """
-    keep = [c for c in docs.columns if c.lower() != ids.lower()]
-    schema = docs.select(keep).withColumn(ids, F.array().cast("array<int>")).schema
+    new = [ids] if checked is None else [ids, checked]
+    keep = [c for c in docs.columns if c.lower() not in [n.lower() for n in new]]
+    kinds = {ids: F.array().cast("array<int>")} | ({checked: F.lit(True)} if checked else {})
+    schema = docs.select(keep).withColumns(kinds).schema
 
     def build():
-        encode = pieces(path).encode
+        model = pieces(path)
 
         def add(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [encode(t) for t in texts_of(batch.column(text))]
+            found, same = [], []
+            for t in texts_of(batch.column(text)):
+                found.append(model.encode(t))
+                if checked:
+                    same.append(model.decode(found[-1]) == t.replace(SPACE, " "))
             ends = np.concatenate([[0], np.cumsum([len(x) for x in found])])
             flat = pa.array(np.concatenate(found))
             if ends[-1] >= 1 << 31:
                 raise ValueError("a batch has too many ids; set spark.sql.execution.arrow.maxBytesPerBatch lower")
-            return pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)], names=[*keep, ids])
+            columns = [*batch.columns, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)]
+            return pa.RecordBatch.from_arrays(columns + ([pa.array(same)] if checked else []), names=[*keep, *new])
 
         return add
 

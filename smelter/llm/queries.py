@@ -61,11 +61,9 @@ def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer_path(MODEL)
-    rows = pieces.encoded(_table(spark, sf_dir, "documents").select("doc_id", "text"), path)
-    back = pieces.decoded(rows, path)
-    same = F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), pieces.SPACE, " ")
-    return back.select("doc_id", "ids", F.size("ids").alias("n_ids"), same.alias("round_trip"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = pieces.encoded(docs, tokenizer_path(MODEL), checked="round_trip")
+    return rows.select("doc_id", "ids", F.size("ids").alias("n_ids"), "round_trip")
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
