@@ -108,17 +108,18 @@ def _class_copies(classes: DataFrame, goals: DataFrame, most: int) -> DataFrame:
 
 
 def _closer(rows: DataFrame, most: int) -> DataFrame:
-    """In each source, the largest size that fits into what is missing (or over) takes it up."""
+    """In each source, the size that brings the words nearest to the target takes up what is missing, or over."""
     gaps = rows.groupBy("source").agg((F.first("target") - F.sum(F.col("total") * F.col("size"))).alias("gap"))
     gaps = gaps.withColumnRenamed("source", "s")
     joined = rows.join(gaps, F.col("source").eqNullSafe(F.col("s"))).drop("s")
     room = F.when(F.col("gap") > 0, F.col("n") * most - F.col("total")).otherwise(F.col("total"))
-    fits = (F.col("size") > 0) & (F.col("size") <= F.abs("gap")) & (room > 0)
-    chosen = joined.where(fits).groupBy("source").agg(F.max("size").alias("chosen")).withColumnRenamed("source", "s")
+    moved = F.least(room, F.greatest(F.lit(1), F.floor(F.abs("gap") / F.greatest("size", F.lit(1)))))
+    joined = joined.withColumn("moved", moved).withColumn("left", F.abs(F.abs("gap") - F.col("moved") * F.col("size")))
+    better = joined.where((F.col("size") > 0) & (F.col("moved") > 0) & (F.col("left") < F.abs("gap")))
+    chosen = better.groupBy("source").agg(F.min_by("size", F.struct("left", "size")).alias("chosen")).withColumnRenamed("source", "s")
     joined = joined.join(chosen, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
-    moved = F.least(room, F.floor(F.abs("gap") / F.greatest("size", F.lit(1)))) * F.signum("gap").cast("bigint")
-    total = F.col("total") + F.when(F.col("size") == F.col("chosen"), moved).otherwise(0)
-    return joined.withColumn("total", total).drop("gap", "chosen")
+    change = F.when(F.col("size") == F.col("chosen"), F.col("moved") * F.signum("gap").cast("bigint")).otherwise(0)
+    return joined.withColumn("total", F.col("total") + change).drop("gap", "chosen", "moved", "left")
 
 
 def _dealt(sized: DataFrame, taken: DataFrame, source: str, key: str, names: list[str]) -> DataFrame:
