@@ -11,7 +11,7 @@ distance, are checked on the candidates of a key.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -203,8 +203,13 @@ def one_of_each(docs: DataFrame, distance: int = 3, width: int = 3) -> DataFrame
     Of several rows with that doc_id the first by content stays. Columns are those of ``docs``.
     Rows without a doc_id stay only where no other row of their group has one.
     """
+    return first_of_each(docs, lambda rows: near_duplicates(rows, distance, width))
+
+
+def first_of_each(docs: DataFrame, grouped: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """As ``one_of_each``; ``grouped`` gives rows (text, doc_id) their component_id."""
     mark = F.xxhash64(*docs.columns)
-    groups = near_duplicates(docs.select("text", F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", mark.alias("mark")).alias("doc_id")), distance, width)
+    groups = grouped(docs.select("text", F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", mark.alias("mark")).alias("doc_id")))
     kept = groups.where("doc_id = component_id").select(F.col("doc_id.doc_id").alias("kept_id"), F.col("doc_id.mark").alias("kept_mark")).distinct()
     names = docs.columns
     marked = docs.select(F.struct(*names).alias("row"), F.col("doc_id").alias("id"), mark.alias("mark"))
