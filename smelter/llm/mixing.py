@@ -1,8 +1,10 @@
 """Mixing sources to target weights by entropy balancing.
 
 Every source has a target of words. Of all document rates whose words meet the targets, those
-closest to one copy each (in relative entropy over words) are exponential tilts of it; the
-tilts solve a convex dual, whose Newton steps are sums over the corpus. Rates are then rounded
+closest to one copy each (in relative entropy over words) are exponential tilts of it. With
+constraints on sources alone the convex dual falls apart into one equation for each source,
+whose answer is log(target / source_size); its Newton steps need the sums of sources only and
+no pass over the corpus. All documents of a source have that one rate. Rates are then rounded
 into whole copies, spread so that each source's words stay next to its target.
 """
 
