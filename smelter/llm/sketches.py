@@ -51,9 +51,9 @@ def sketch(hashes: Column, fraction: float = FRACTION) -> Column:
     return F.get(F.transform(F.array(hashes), kept), F.lit(0))
 
 
-def merged(a: Column, b: Column) -> Column:
-    """The sketch of two texts together, but for shingles that span both."""
-    return F.array_sort(F.array_union(a, b))
+def merged(a: Column, b: Column, fraction: float = FRACTION) -> Column:
+    """The sketch of two texts together, but for shingles that span both; ``fraction``: that of either."""
+    return sketch(F.concat(a, b), fraction)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -62,9 +62,15 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(either == 0, 1.0).otherwise(both / either)
 
 
-def containment(a: Column, b: Column) -> Column:
-    """Share of ``a``'s shingles found in ``b``; of none, 1."""
-    return F.when(F.size(a) == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / F.size(a))
+def containment(a: Column, b: Column, fraction: float = FRACTION) -> Column:
+    """Share of ``a``'s shingles found in ``b``; of none, 1; NULL where ``a`` has words but no hash below ``fraction``.
+
+    The least hash of such a text says nothing: a longer text's sketch can't hold it.
+    """
+    # The hashes below are all of a sketch or none: only a hash kept alone is above
+    low = F.exists(a, lambda h: (h >= 0) & (h <= F.lit(int(fraction * (1 << 64)) - 1)))
+    share = F.size(F.array_intersect(a, b)) / F.size(a)
+    return F.when(F.size(a) == 0, 1.0).when(low, share)
 
 
 def as_text(of: Column) -> Column:

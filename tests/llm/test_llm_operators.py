@@ -488,6 +488,16 @@ def test_sketch_of_few_words(spark):
     assert sizes == [0, 0, 0, 1, 1, 1, 1]
 
 
+def test_sketches_of_short_parts(spark):
+    rows = [(noise(i, 5), noise(i + 500, 400)) for i in range(40)]
+    df = spark.createDataFrame(rows, "a string, b string")
+    one, two = sketches.shingle_hashes(F.col("a")), sketches.shingle_hashes(F.col("b"))
+    both = sketches.sketch(F.concat(one, two))
+    a, b = sketches.sketch(one), sketches.sketch(two)
+    got = df.select((sketches.merged(a, b) == both).alias("same"), sketches.containment(a, both).alias("inside")).collect()
+    assert all(r.same for r in got) and {r.inside for r in got} == {None, 1.0}
+
+
 def test_next_row(spark):
     rows = [(k, f"t{k}") for k in range(0, 300, 3)] + [(5, "u"), (5, "u"), (None, "last")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
