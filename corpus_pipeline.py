@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.llm import jaccard, lines, mixing, pieces, quality
+from smelter.llm import lines, mixing, pieces, quality, simhash
 from smelter.llm.queries import MODEL, tokenizer_path
 from smelter.scratch import stage
 
@@ -35,9 +35,9 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: a Jaccard similarity of 0.8 of five-word shingles."""
+    """One document of each group of near-duplicates, as the operator finds them: three-word shingles, three bits."""
     rows, back = apart(docs, "doc_id", "text")
-    return back(jaccard.one_of_each(rows))
+    return back(simhash.one_of_each(rows, distance=3, width=3))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
