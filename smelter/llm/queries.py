@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.llm import conversations, knn, lines, mixing, pieces, quality, sharding, simhash, sketches, templates, tokens, whitening
+from smelter.llm import conversations, knn, lines, mixing, pieces, quality, sharding, simhash, sketches, substrings, templates, tokens, whitening
 
 TOKENIZER, MODEL = "word_bpe_49k.json", "piece_bpe_32k.model"
 
@@ -96,6 +96,11 @@ def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(rows, present="present")
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.deduplicate(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(_table(spark, sf_dir, "embeddings"))
 
@@ -110,6 +115,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash, op2_sharding, op3_line_dedup, op4_knn, op5_mixing, op6_html, op7_sentencepiece, op8_quality,
-        op9_fingerprints, op10_token_counts, op11_conversations, op13_whitening, pipeline,
+        op9_fingerprints, op10_token_counts, op11_conversations, op12_suffix_dedup, op13_whitening, pipeline,
     )
 }
