@@ -319,10 +319,10 @@ def scan(text: np.ndarray, top: int, seeds, down: bool, cap: int, room: Room) ->
     room.free(last_place)
 
 
-def leftmost(text: np.ndarray, room: Room) -> np.ndarray:
-    """The S* in order of position, as items without key or common prefix; the end of the text is one."""
+def leftmost(text: np.ndarray, room: Room) -> tuple[np.ndarray, np.ndarray]:
+    """The S* in order of position, as items without common prefix, and which suffixes are S; the end of the text is S*."""
     dtype, n = item_type(len(text)), len(text)
-    parts = []
+    parts, rises = [], room.array(n, np.bool_)
     next_symbol, next_less, next_run = -1, True, 0
     for end in range(n, 0, -CHUNK):
         begin = max(0, end - CHUNK)
@@ -337,6 +337,7 @@ def leftmost(text: np.ndarray, room: Room) -> np.ndarray:
         run = np.where(inside, until - np.arange(size) + 1, size - np.arange(size) + next_run)
         if end == n:
             less[-1], run[-1] = True, 1
+        rises[begin:end] = less
         ahead = int(text[begin - 1]) if begin else -1
         # The first of a chunk is S* if the symbol ahead of it is greater
         previous = np.append(ahead, symbols[:-1])
@@ -345,7 +346,7 @@ def leftmost(text: np.ndarray, room: Room) -> np.ndarray:
         items["key"], items["pos"], items["before"], items["run"] = 2 * symbols[star] + 1, begin + star, previous[star], run[star]
         parts.append(items)
         next_symbol, next_less, next_run = int(symbols[0]), bool(less[0]), int(run[0])
-    return room.kept(reversed(parts), dtype)
+    return room.kept(reversed(parts), dtype), rises
 
 
 def _chunks(array: np.ndarray) -> Iterator[np.ndarray]:
@@ -361,8 +362,10 @@ def _passes(text: np.ndarray, top: int, seeds: np.ndarray, cap: int, room: Room)
     room.free(large)
 
 
-def _named(text: np.ndarray, top: int, stars: np.ndarray, room: Room) -> tuple[np.ndarray, int]:
+def _named(text: np.ndarray, top: int, stars: np.ndarray, rises: np.ndarray, room: Room) -> tuple[np.ndarray, int]:
     """A name for each substring from one S* to the next, in their order, by position; and how many names there are."""
+    if len(stars) <= room.memory // 2 and top < 1 << 30:
+        return _named_in_memory(text, top, stars, rises)
     queue = Queue(room, stars.dtype)
     for chunk in _chunks(stars):
         queue.push(chunk[_order(chunk["key"])])
@@ -397,6 +400,39 @@ def _named(text: np.ndarray, top: int, stars: np.ndarray, room: Room) -> tuple[n
     return names, count
 
 
+def _named_in_memory(text: np.ndarray, top: int, stars: np.ndarray, rises: np.ndarray) -> tuple[np.ndarray, int]:
+    """As ``_named``, for S* that fit in memory: the substrings are sorted word by word.
+
+    A word holds as many symbols as 63 bits take, each with its type: of equal symbols S is the greater.
+    """
+    begin = stars["pos"].astype(np.int64)
+    end = np.append(begin[1:], begin[-1])
+    bits = int(2 * top + 3).bit_length()
+    each = 63 // bits
+    rank = np.zeros(len(stars), np.int64)
+    going, done = np.arange(len(stars)), 0
+    while len(going):
+        word = np.zeros(len(going), np.int64)
+        for i in range(each):
+            place = np.minimum(begin[going] + done + i, end[going])
+            symbol = 2 * text[place].astype(np.int64) + rises[place] + 1
+            word = word << bits | np.where(begin[going] + done + i <= end[going], symbol, 0)
+        order = np.lexsort((word, rank[going]))
+        going, word = going[order], word[order]
+        first, number = rank[going], np.arange(len(going))
+        new_first = np.append(True, first[1:] != first[:-1])
+        new = new_first | np.append(True, word[1:] != word[:-1])
+        begins = np.maximum.accumulate(np.where(new, number, 0))
+        rank[going] = first + begins - np.maximum.accumulate(np.where(new_first, number, 0))
+        done += each
+        alone = new & np.append(new[1:], True)
+        going = going[~alone & (begin[going] + done <= end[going])]
+    used = np.zeros(len(stars) + 1, bool)
+    used[rank] = True
+    names = (np.cumsum(used) - 1)[rank]
+    return names.astype(np.int32), int(names.max())
+
+
 def _in_order(names: np.ndarray, count: int, cap: int, room: Room) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes of the text of names from the least up, and how many names each shares with the one before it."""
     if count + 1 == len(names):
@@ -480,8 +516,9 @@ def suffixes(text: np.ndarray, top: int, cap: int, room: Room) -> Iterator[tuple
     if len(text) == 1:
         yield np.zeros(1, np.int64), np.zeros(1, np.int32)
         return
-    stars = leftmost(text, room)
-    names, count = _named(text, top, stars, room)
+    stars, rises = leftmost(text, room)
+    names, count = _named(text, top, stars, rises, room)
+    room.free(rises)
     order, shared = _in_order(names, count, cap, room)
     room.free(names)
     seeds = room.kept(_start(text, stars, order, shared, cap), stars.dtype)

@@ -15,11 +15,12 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smelter.llm import induced
-from smelter.llm.arrow import map_batches, slices, text_bytes
+from smelter.llm.arrow import Memo, map_batches, slices, text_bytes
 from smelter.scratch import discard, stage
 
 WIDTH = 200
@@ -28,6 +29,8 @@ SEED_BYTES = 32
 # Bytes of a text that are hashed at once, and bytes of segments that make a shard
 BLOCK_BYTES = 1 << 20
 SHARD_BYTES = 16 << 20
+# One in so many hashes ends a segment
+PARTED = 8
 SPAN = "struct<start: bigint, end: bigint>"
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 # Of the rolling hash
@@ -99,26 +102,28 @@ def repeated_spans(texts: DataFrame, width: int = WIDTH, shard_bytes: int = SHAR
     keyed = texts.select("text", "id", "mark")
     schema = texts.select("id", "mark").withColumns({"key": F.lit(0).cast("bigint"), "start": F.lit(0).cast("bigint"), "count": F.lit(0), "weight": F.lit(0)}).schema
     found = stage(map_batches(keyed, lambda: _found(width, seed), schema), "segments")
-    # Hashes that occur twice
-    shared = stage(found.groupBy("key").agg(F.sum("weight").alias("n")).where("n > 1").select("key"), "shared")
+    # Hashes that occur twice. Their shard is named by the least of their texts, so that hashes of the
+    # same texts share a shard, and neighbours travel as one segment
+    shared = found.groupBy("key").agg(F.sum("weight").alias("n"), F.min("mark").alias("shard")).where("n > 1").drop("n")
+    shared = stage(shared, "shared")
     wanted = found.join(shared, "key").groupBy("id", "mark")
-    wanted = stage(wanted.agg(F.sort_array(F.collect_set(F.struct("start", "count", "key"))).alias("at")), "wanted")
+    wanted = stage(wanted.agg(F.sort_array(F.collect_set(F.struct("start", "count", "shard", "key"))).alias("at")), "wanted")
     discard(found, shared)
-    cut = keyed.join(wanted.withColumnsRenamed({"id": "i", "mark": "m"}), (F.col("mark") == F.col("m")) & F.col("id").eqNullSafe(F.col("i")))
-    schema = texts.select("id", "mark").withColumns({c: F.lit(0).cast("bigint") for c in ("key", "a", "b", "start")}).withColumn("content", F.lit(b"")).schema
+    packed = map_batches(keyed, _packed, texts.select(F.lit(b"").alias("text"), "id", "mark").schema)
+    cut = packed.join(wanted.withColumnsRenamed({"id": "i", "mark": "m"}), (F.col("mark") == F.col("m")) & F.col("id").eqNullSafe(F.col("i")))
+    schema = texts.select("id", "mark").withColumns({c: F.lit(0).cast("bigint") for c in ("shard", "a", "b", "start", "n_bytes")}).withColumn("content", F.lit(None).cast("binary")).schema
     cut = stage(map_batches(cut.select("text", "at", "id", "mark"), lambda: _cut(width), schema), "cut")
-    # Equal segments travel once, with their number
-    bodies = cut.groupBy("key", "a", "b").agg(F.count("*").alias("n"), F.first("content").alias("content"))
-    bodies = stage(bodies, "bodies")
-    total = bodies.agg(F.sum(F.octet_length("content"))).first()[0] or 0
-    shards = bodies.repartition(max(1, -(-total // shard_bytes)), "key")
-    runs = shards.select("a", "b", "n", "content").mapInArrow(_sorted(width, memory), f"a bigint, b bigint, runs array<{SPAN}>")
+    # Equal segments are sorted once, with their number
+    total = cut.agg(F.sum("n_bytes")).first()[0] or 0
+    shards = cut.select("shard", "a", "b", "content").repartition(max(1, -(-total // shard_bytes)), "shard")
+    bodies = shards.groupBy("shard", "a", "b").agg(F.count("*").alias("n"), F.first("content", ignorenulls=True).alias("content"))
+    runs = bodies.select("a", "b", "n", "content").mapInArrow(_sorted(width, memory), f"a bigint, b bigint, runs array<{SPAN}>")
     runs = stage(runs, "runs")
     placed = cut.select("id", "mark", "a", "b", "start").distinct().join(runs, ["a", "b"])
     moved = F.transform("runs", lambda r: F.struct((F.col("start") + r["start"]).alias("start"), (F.col("start") + r["end"]).alias("end")))
     spans = placed.groupBy("id", "mark").agg(F.flatten(F.collect_list(moved)).alias("spans"))
     spans = stage(map_batches(spans.select("spans", "id", "mark"), lambda: _united, spans.schema), "spans")
-    discard(wanted, cut, bodies, runs)
+    discard(wanted, cut, runs)
     return spans
 
 
@@ -157,23 +162,56 @@ def _found(width: int, seed: int):
     return add
 
 
+def _packed():
+    press = zstandard.ZstdCompressor(level=1)
+
+    def add(batch: pa.RecordBatch) -> pa.RecordBatch:
+        pressed = pa.array([press.compress(t) for t in text_bytes(batch.column(0))], pa.binary())
+        return pa.RecordBatch.from_arrays([pressed, batch.column(1), batch.column(2)], names=["text", "id", "mark"])
+
+    return add
+
+
+def _joined(at: list[dict]) -> Iterator[tuple[int, int, int]]:
+    """(shard, start, count) of runs that follow each other in one shard.
+
+    They are parted again behind every eighth or so, as the hash says, so that copies are parted alike.
+    """
+    shard, start, end, parted = None, 0, 0, False
+    for run in at:
+        if shard is not None and (run["shard"] != shard or run["start"] != end or parted):
+            yield shard, start, end - start
+            shard = None
+        if shard is None:
+            shard, start = run["shard"], run["start"]
+        end, parted = run["start"] + run["count"], run["key"] % PARTED == 0
+    if shard is not None:
+        yield shard, start, end - start
+
+
 def _cut(width: int):
+    # A task sends an equal segment once, as long as it remembers it
+    sent = Memo(lambda digest: [True], 1 << 18)
+    press = zstandard.ZstdDecompressor()
+
     def add(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows, keys, first, second, starts, contents = [], [], [], [], [], []
-        for row, (text, at) in enumerate(zip(text_bytes(batch.column(0)), batch.column(1))):
-            for place in at.as_py():
-                content = text[place["start"] : place["start"] + place["count"] + width - 1]
+        rows, numbers, contents = [], ([], [], [], [], []), []
+        for row, (text, at) in enumerate(zip(batch.column(0), batch.column(1))):
+            text = press.decompress(text.as_py())
+            for shard, start, count in _joined(at.as_py()):
+                content = text[start : start + count + width - 1]
                 digest = xxhash.xxh3_128_digest(content)
+                halves = (int.from_bytes(half, "little", signed=True) for half in (digest[:8], digest[8:]))
                 rows.append(row)
-                keys.append(place["key"])
-                first.append(int.from_bytes(digest[:8], "little", signed=True))
-                second.append(int.from_bytes(digest[8:], "little", signed=True))
-                starts.append(place["start"])
-                contents.append(content)
+                for column, value in zip(numbers, (shard, *halves, start, len(content))):
+                    column.append(value)
+                first = sent[shard, digest]
+                contents.append(content if first else None)
+                first.clear()
         taken = pa.array(rows, pa.int64())
-        made = [pa.array(c, pa.int64()) for c in (keys, first, second, starts)]
+        made = [pa.array(c, pa.int64()) for c in numbers]
         arrays = [batch.column(2).take(taken), batch.column(3).take(taken), *made, pa.array(contents, pa.binary())]
-        return pa.RecordBatch.from_arrays(arrays, names=["id", "mark", "key", "a", "b", "start", "content"])
+        return pa.RecordBatch.from_arrays(arrays, names=["id", "mark", "shard", "a", "b", "start", "n_bytes", "content"])
 
     return add
 
