@@ -26,9 +26,10 @@ from smelter.scratch import discard, stage
 WIDTH = 200
 # Length of the short strings by which longer ones are dealt out
 SEED_BYTES = 32
-# Bytes of a text that are hashed at once, and bytes of segments that make a shard
+# Bytes of a text that are hashed at once
 BLOCK_BYTES = 1 << 20
-SHARD_BYTES = 16 << 20
+# Bytes of segments that make a shard, as long as there are not more shards than these
+SHARD_BYTES, SHARDS = 4 << 20, 1 << 16
 # One in so many hashes ends a segment
 PARTED = 8
 SPAN = "struct<start: bigint, end: bigint>"
@@ -115,7 +116,7 @@ def repeated_spans(texts: DataFrame, width: int = WIDTH, shard_bytes: int = SHAR
     cut = stage(map_batches(cut.select("text", "at", "id", "mark"), lambda: _cut(width), schema), "cut")
     # Equal segments are sorted once, with their number
     total = cut.agg(F.sum("n_bytes")).first()[0] or 0
-    shards = cut.select("shard", "a", "b", "content").repartition(max(1, -(-total // shard_bytes)), "shard")
+    shards = cut.select("shard", "a", "b", "content").repartition(min(SHARDS, max(1, -(-total // shard_bytes))), "shard")
     bodies = shards.groupBy("shard", "a", "b").agg(F.count("*").alias("n"), F.first("content", ignorenulls=True).alias("content"))
     runs = bodies.select("a", "b", "n", "content").mapInArrow(_sorted(width, memory), f"a bigint, b bigint, runs array<{SPAN}>")
     runs = stage(runs, "runs")
