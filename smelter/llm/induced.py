@@ -99,46 +99,42 @@ class Room:
 class Queue:
     """A priority queue of items by key, first in first out for equal keys, taken in blocks.
 
-    It is a list of sorted runs, oldest first. Young runs of like size are merged; those of ``memory``
-    items go to files, and when there are many of these they are merged into one, block by block.
+    It is a list of sorted runs, oldest first. Every ``FAN`` young runs that were merged as often are merged
+    again; large runs go to files, and when there are many of these they are merged into one, block by block.
     """
 
-    FILES = 32
+    FAN, FILES = 4, 32
 
     def __init__(self, room: Room, dtype):
         self.room, self.dtype = room, dtype
-        # [items, how many are taken]
+        # [items, how many are taken, how often they were merged; -1: in a file]
         self.runs: list[list] = []
 
     def push(self, items: np.ndarray) -> None:
         """Items in order of key."""
         if not len(items):
             return
-        self.runs.append([items, 0])
-        while len(self.runs) > 1 and self._merges(*self.runs[-2:]):
-            (old, taken), (new, more) = self.runs[-2:]
-            both = np.concatenate([old[taken:], new[more:]])
-            self.runs[-2:] = [[both[_order(both["key"])], 0]]
+        self.runs.append([items, 0, 0])
+        while len(self.runs) >= self.FAN and len({r[2] for r in self.runs[-self.FAN :]}) == 1 and self.runs[-1][2] >= 0:
+            young = self.runs[-self.FAN :]
+            both = _joined([items[taken:] for items, taken, _ in young], self.dtype)
+            self.runs[-self.FAN :] = [[both[_order(both["key"])], 0, young[0][2] + 1]]
         last = self.runs[-1][0]
         if len(last) > self.room.memory // 4 and not isinstance(last, np.memmap):
-            self.runs[-1] = [self._filed([last]), 0]
-            files = [r for r in self.runs if isinstance(r[0], np.memmap)]
+            self.runs[-1] = [self._filed([last]), 0, -1]
+            files = [r for r in self.runs if r[2] < 0]
             if len(files) > self.FILES and len(files) == len(self.runs):
                 merged = Queue(self.room, self.dtype)
                 merged.runs = files
-                self.runs = [[self._filed(merged.drained()), 0]]
+                self.runs = [[self._filed(merged.drained()), 0, -1]]
 
     def _filed(self, parts: Iterable[np.ndarray]) -> np.ndarray:
         return Room(self.room.folder, 0).kept(parts, self.dtype)
 
-    def _merges(self, old: list, new: list) -> bool:
-        left, more = len(old[0]) - old[1], len(new[0]) - new[1]
-        return not isinstance(old[0], np.memmap) and left <= 2 * more
-
     def peek(self, window: int) -> tuple[np.ndarray, np.ndarray]:
         """The first items in order, about ``window`` of each run, and which run each is from."""
         heads, bound, cut = [], None, None
-        for number, (items, taken) in enumerate(self.runs):
+        for number, (items, taken, _) in enumerate(self.runs):
             head = items[taken : taken + window]
             heads.append(head)
             if taken + window < len(items) and (bound is None or head["key"][-1] < bound):
@@ -158,7 +154,7 @@ class Queue:
         """Done with items that ``peek`` gave; ``origin``: their runs."""
         for number, count in enumerate(np.bincount(origin, minlength=len(self.runs))):
             self.runs[number][1] += int(count)
-        for items, taken in self.runs:
+        for items, taken, _ in self.runs:
             if taken >= len(items):
                 self.room.free(items)
         self.runs = [r for r in self.runs if r[1] < len(r[0])]
@@ -177,7 +173,7 @@ class Seeds(Queue):
 
     def __init__(self, room: Room, dtype, seeds: np.ndarray):
         super().__init__(room, dtype)
-        self.seeds = [seeds, 0]
+        self.seeds = [seeds, 0, -1]
 
     def peek(self, window):
         young, self.runs = self.runs, [self.seeds, *self.runs]
@@ -279,7 +275,7 @@ def scan(text: np.ndarray, top: int, seeds, down: bool, cap: int, room: Room) ->
         within = np.minimum.accumulate(stands) > np.arange(size)
         count = size if within.all() else int(np.argmin(within))
         queue.take(origin[:count])
-        window = min(CHUNK, window * 2) if count == size else max(256, 2 * count)
+        window = min(CHUNK, window * 2) if count == size else max(256, count + count // 4)
         block, symbol, target, hands = block[:count], symbol[:count], target[:count], hands[:count]
 
         before_key = np.concatenate([[last_key], block["key"][:-1]])
@@ -417,7 +413,7 @@ def _named_in_memory(text: np.ndarray, top: int, stars: np.ndarray, rises: np.nd
             place = np.minimum(begin[going] + done + i, end[going])
             symbol = 2 * text[place].astype(np.int64) + rises[place] + 1
             word = word << bits | np.where(begin[going] + done + i <= end[going], symbol, 0)
-        order = np.lexsort((word, rank[going]))
+        order = np.lexsort((word, rank[going])) if done else np.argsort(word)
         going, word = going[order], word[order]
         first, number = rank[going], np.arange(len(going))
         new_first = np.append(True, first[1:] != first[:-1])
@@ -463,7 +459,7 @@ def _in_memory(names: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray]:
     going, step = np.flatnonzero(counts[names] > 1), 1
     while len(going):
         first, second = rank[going], rank[going + step]
-        by_both = np.lexsort((second, first))
+        by_both = np.argsort(first * n + second)
         going, first, second = going[by_both], first[by_both], second[by_both]
         number = np.arange(len(going))
         new_first = np.append(True, first[1:] != first[:-1])

@@ -69,28 +69,53 @@ def _window_least(values: np.ndarray, window: int) -> np.ndarray:
     return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
-def segments(text: bytes, width: int, seed: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(key, start, count, weight) of runs of places whose ``width`` bytes have one least hash: in blocks, each place once.
+def blocks(texts: Iterable[bytes], width: int) -> Iterator[list[tuple[int, int, bytes]]]:
+    """Texts in blocks of some (row, start, bytes): short ones together, long ones cut, each string of ``width`` bytes in one."""
+    block, size = [], 0
+    for row, text in enumerate(texts):
+        for start in range(0, max(0, len(text) - width + 1), BLOCK_BYTES):
+            piece = text[start : start + BLOCK_BYTES + width - 1]
+            if size + len(piece) > BLOCK_BYTES and block:
+                yield block
+                block, size = [], 0
+            block.append((row, start, piece))
+            size += len(piece)
+    if block:
+        yield block
+
+
+def segments(block: list[tuple[int, int, bytes]], width: int, seed: int) -> tuple[np.ndarray, ...]:
+    """(row, key, start, count, weight) of runs of places whose ``width`` bytes have one least hash; each place once.
 
     ``weight`` is 2 if the hash is that of two places inside the run, so that the run may repeat itself.
     """
     most = width - seed + 1
-    for begin in range(0, max(0, len(text) - width + 1), BLOCK_BYTES):
-        data = np.frombuffer(text, np.uint8, min(BLOCK_BYTES + width - 1, len(text) - begin), begin)
-        hashes = seed_hashes(data, seed)
-        # The low bits give way to the place, so that the least says where it is
-        places = np.uint64((1 << int(len(hashes)).bit_length()) - 1)
-        least = _window_least(hashes & ~places | np.arange(len(hashes), dtype=np.uint64), most) & places
-        key = hashes[least]
-        new = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        length = np.diff(np.append(new, len(key)))
-        # Of a text that repeats itself runs can be long: they are cut
-        pieces = -(-length // most)
-        nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        start = np.repeat(new, pieces) + nth * most
-        count = np.minimum(np.repeat(new + length, pieces) - start, most)
-        weight = 1 + (least[start] != least[start + count - 1])
-        yield key[start].view(np.int64), begin + start, count.astype(np.int32), weight.astype(np.int32)
+    data = np.frombuffer(b"".join(piece for _, _, piece in block), np.uint8)
+    ends = np.cumsum([len(piece) for _, _, piece in block])
+    hashes = seed_hashes(data, seed)
+    # The low bits give way to the place, so that the least says where it is
+    places = np.uint64((1 << int(len(hashes)).bit_length()) - 1)
+    least = _window_least(hashes & ~places | np.arange(len(hashes), dtype=np.uint64), most) & places
+    key = hashes[least]
+    change = np.append(True, key[1:] != key[:-1])
+    # The places of a piece, and those whose string would leave it
+    first = np.append(0, ends[:-1])
+    change[first[first < len(key)]] = True
+    change[ends[:-1] - width + 1] = True
+    new = np.flatnonzero(change)
+    length = np.diff(np.append(new, len(key)))
+    piece = np.searchsorted(ends, new, "right")
+    inside = new + width <= ends[piece]
+    new, length, piece = new[inside], length[inside], piece[inside]
+    # Of a text that repeats itself runs can be long: they are cut
+    parts = -(-length // most)
+    nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+    start = np.repeat(new, parts) + nth * most
+    count = np.minimum(np.repeat(new + length, parts) - start, most)
+    weight = 1 + (least[start] != least[start + count - 1])
+    piece = np.repeat(piece, parts)
+    rows, begins = (np.array(c, np.int64) for c in list(zip(*block))[:2])
+    return rows[piece], key[start].view(np.int64), begins[piece] + start - first[piece], count.astype(np.int32), weight.astype(np.int32)
 
 
 def repeated_spans(texts: DataFrame, width: int = WIDTH, shard_bytes: int = SHARD_BYTES, memory: int = induced.MEMORY) -> DataFrame:
@@ -149,16 +174,10 @@ def deduplicate(docs: DataFrame, width: int = WIDTH, text: str = "text", key: st
 
 def _found(width: int, seed: int):
     def add(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows, columns = [], ([], [], [], [])
-        for row, text in enumerate(text_bytes(batch.column(0))):
-            for parts in segments(text, width, seed):
-                rows.append(np.full(len(parts[0]), row))
-                for column, part in zip(columns, parts):
-                    column.append(part)
-        taken = pa.array(np.concatenate([np.zeros(0, np.int64), *rows]))
-        kinds = (np.int64, np.int64, np.int32, np.int32)
-        made = [pa.array(np.concatenate([np.zeros(0, kind), *column])) for kind, column in zip(kinds, columns)]
-        return pa.RecordBatch.from_arrays([batch.column(1).take(taken), batch.column(2).take(taken), *made], names=["id", "mark", "key", "start", "count", "weight"])
+        none = tuple(np.zeros(0, kind) for kind in (np.int64, np.int64, np.int64, np.int32, np.int32))
+        parts = [none, *(segments(block, width, seed) for block in blocks(text_bytes(batch.column(0)), width))]
+        rows, *made = (pa.array(np.concatenate(column)) for column in zip(*parts))
+        return pa.RecordBatch.from_arrays([batch.column(1).take(rows), batch.column(2).take(rows), *made], names=["id", "mark", "key", "start", "count", "weight"])
 
     return add
 

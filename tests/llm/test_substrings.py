@@ -70,15 +70,27 @@ def test_no_rows(spark):
     compared(spark, [(1, None)], 200)
 
 
-def test_long_texts_are_cut_in_blocks(spark, monkeypatch):
-    text = random.Random(1).randbytes(5000)
-    whole = sorted(zip(*(np.concatenate(c).tolist() for c in zip(*substrings.segments(text, 40, 8)))))
+def test_blocks_give_each_place_its_key_once(monkeypatch):
+    choice = random.Random(1)
+    texts = [choice.randbytes(n) for n in (5000, 39, 40, 0, 41, 300, 2)] + [b"ab" * 400]
+
+    def keys():
+        found = {}
+        for block in substrings.blocks(texts, 40):
+            for row, key, start, count, weight in zip(*(c.tolist() for c in substrings.segments(block, 40, 8))):
+                for place in range(start, start + count):
+                    assert (row, place) not in found
+                    found[row, place] = key
+                assert weight == 2 or row < 7
+        return found
+
+    whole = keys()
+    assert sorted(whole) == [(row, i) for row, t in enumerate(texts) for i in range(len(t) - 39)]
     monkeypatch.setattr(substrings, "BLOCK_BYTES", 700)
-    blocks = list(zip(*(np.concatenate(c).tolist() for c in zip(*substrings.segments(text, 40, 8)))))
-    places = sorted(s + i for _, s, n, _ in blocks for i in range(n))
-    assert places == list(range(5000 - 39)) == sorted(s + i for _, s, n, _ in whole for i in range(n))
-    key = {s + i: k for k, s, n, _ in whole for i in range(n)}
-    assert all(key[s + i] == k for k, s, n, _ in blocks for i in range(n))
+    assert keys() == whole
+    # A key is that of the string alone
+    alone = substrings.segments([(0, 0, texts[0][777:817])], 40, 8)
+    assert alone[1].tolist() == [whole[0, 777]]
 
 
 @pytest.mark.parametrize("seed", range(8))
