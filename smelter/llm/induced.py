@@ -25,7 +25,7 @@ import numpy as np
 END, BETWEEN, RAISED = 0, 1, 2
 # Stands for "equal throughout" while substrings are named
 EQUAL = 1 << 30
-CHUNK = 1 << 17
+CHUNK = 1 << 13
 MEMORY = 1 << 22
 
 
@@ -159,7 +159,7 @@ class Queue:
                 self.room.free(items)
         self.runs = [r for r in self.runs if r[1] < len(r[0])]
 
-    def drained(self, window: int = 1 << 14) -> Iterator[np.ndarray]:
+    def drained(self, window: int = 1 << 13) -> Iterator[np.ndarray]:
         while True:
             items, origin = self.peek(window)
             if not len(items):
