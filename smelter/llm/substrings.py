@@ -28,7 +28,7 @@ SEED_BYTES = 32
 # Bytes of a text that are hashed at once
 BLOCK_BYTES = 1 << 17
 # Bytes of segments that make a shard, as long as there are not more shards than these
-SHARD_BYTES, SHARDS = 4 << 20, 1 << 16
+SHARD_BYTES, SHARDS = 2 << 20, 1 << 16
 # One in so many hashes ends a segment
 PARTED = 8
 SPAN = "struct<start: bigint, end: bigint>"
