@@ -18,9 +18,17 @@ def fraction(column: str, kind: str = FRACTION) -> Column:
 
 
 def whole(column: str, kind: str = "int") -> Column:
-    """Whole number; text that is none, and a number with a fraction, become NULL."""
+    """Whole number; text that is none, and a number with a fraction, become NULL.
+
+    Whole numbers are narrowed, and text is read, directly; only fractions, and text that isn't plain
+    digits such as "7.0", take the way by a decimal. The type is known before a row is read.
+    """
     exact = F.col(column).try_cast("decimal(38,9)")
-    return F.when(exact == F.floor(exact), exact.try_cast(kind))
+    by_decimal = F.when(exact == F.floor(exact), exact.try_cast(kind))
+    fractional = F.typeof(column).rlike("^(decimal|double|float)")
+    direct = F.col(column).try_cast(kind)
+    is_text = F.typeof(column).startswith("string")
+    return F.when(fractional, by_decimal).when(is_text, F.coalesce(direct, by_decimal)).otherwise(direct)
 
 
 def expected_amount(

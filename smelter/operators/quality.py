@@ -17,15 +17,78 @@ from smelter.functions.numbers import count_where
 from smelter.operators.rules import Rule, all_of, check_null_policy
 
 
+# Column that holds what all rules say of a row
+MASK = "_rules"
+# A rule takes two bits of it
+MOST_RULES = 31
+
+
 class Split(NamedTuple):
     valid: DataFrame
     rejected: DataFrame
 
 
+def marked(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """``df`` with ``MASK``: of each rule a bit that it failed and a bit that it is undecided.
+
+    Flags, reasons, splits and counts can be read from it, so that a predicate, and the parsing below
+    it, is computed once for a row. The mask depends on the task's number, times 0: a filter on
+    it then stays above it, where the optimizer would else copy all predicates into the filter.
+    """
+    if len(rules) > MOST_RULES:
+        raise ValueError(f"{len(rules)} rules are more than the {MOST_RULES} that a mask holds")
+    mask = (F.spark_partition_id() * 0).cast("bigint")
+    for place, rule in enumerate(rules):
+        outcome = F.coalesce(1 - rule.holds.cast("int"), F.lit(2)).cast("bigint")
+        mask = mask.bitwiseOR(F.shiftleft(outcome, 2 * place))
+    return df.withColumn(MASK, mask)
+
+
+def _bits(place: int, null_policy: str) -> int:
+    """Bits of the mask that make a rule count as failed."""
+    return (3 if null_policy == "reject" else 1) << 2 * place
+
+
+def _any(bits: int) -> Column:
+    return F.col(MASK).bitwiseAND(F.lit(bits)) != 0
+
+
+def mask_valid() -> Column:
+    return F.col(MASK) == 0
+
+
+def mask_failed(rules: Sequence[Rule], null_policy: str = "reject") -> Column:
+    """As ``failed``, read from the mask."""
+    check_null_policy(null_policy)
+    return _any(sum(_bits(place, null_policy) for place in range(len(rules))))
+
+
+def mask_reason(rules: Sequence[Rule], null_policy: str = "reject") -> Column:
+    """As ``reject_reason``, read from the mask."""
+    check_null_policy(null_policy)
+    parts = [
+        F.when(_any(_bits(place, null_policy)), rule.reason_column())
+        for place, rule in enumerate(rules)
+    ]
+    return F.concat_ws(REASON_SEPARATOR, *parts)
+
+
+def mask_flags(rules: Sequence[Rule], null_policy: str = "reject") -> dict[str, Column]:
+    """As each rule's ``flag``, read from the mask."""
+    check_null_policy(null_policy)
+    decided = {
+        rule.flag_name: (~_any(1 << 2 * place), ~_any(2 << 2 * place))
+        for place, rule in enumerate(rules)
+    }
+    if null_policy == "reject":
+        return {name: holds & known for name, (holds, known) in decided.items()}
+    return {name: F.when(known, holds) for name, (holds, known) in decided.items()}
+
+
 def with_rule_flags(
     df: DataFrame, rules: Sequence[Rule], null_policy: str = "reject"
 ) -> DataFrame:
-    return df.withColumns({rule.flag_name: rule.flag(null_policy) for rule in rules})
+    return marked(df, rules).withColumns(mask_flags(rules, null_policy)).drop(MASK)
 
 
 def reject_reason(rules: Sequence[Rule], null_policy: str = "reject") -> Column:
@@ -61,13 +124,27 @@ def split(df: DataFrame, rules: Sequence[Rule], null_policy: str = "reject") ->
     )
 
 
+def split_marked(df: DataFrame, rules: Sequence[Rule], null_policy: str = "reject") -> Split:
+    """As ``split``, for rules over columns that are dear to compute: each is computed once for a
+    row. Predicates don't reach the scan this way, so ``split`` suits rules on stored columns."""
+    rows = marked(df, rules)
+    rejected = rows.filter(mask_failed(rules, null_policy))
+    reasoned = rejected.withColumn("reject_reason", mask_reason(rules, null_policy))
+    return Split(rows.filter(mask_valid()).drop(MASK), reasoned.drop(MASK))
+
+
+def sides(rules: Sequence[Rule], null_policy: str = "reject") -> list[Column]:
+    """Counts of all rows, valid ones and rejected ones, over rows that are marked."""
+    return [
+        F.count(F.lit(1)).alias("source_rows"),
+        count_where(mask_valid()).alias("valid_rows"),
+        count_where(mask_failed(rules, null_policy)).alias("rejected_rows"),
+    ]
+
+
 def reconcile(df: DataFrame, rules: Sequence[Rule], null_policy: str = "reject") -> DataFrame:
     """Does every source row turn up on one side? One pass, one row."""
-    return df.agg(
-        F.count("*").alias("source_rows"),
-        count_where(all_of(rules)).alias("valid_rows"),
-        count_where(failed(rules, null_policy)).alias("rejected_rows"),
-    ).withColumn(
+    return marked(df, rules).agg(*sides(rules, null_policy)).withColumn(
         "reconciled", F.col("source_rows") == F.col("valid_rows") + F.col("rejected_rows")
     )
 

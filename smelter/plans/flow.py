@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from smelter.constants import NEWEST_FIRST
 from smelter.functions.text import Step, standardize
 from smelter.operators.latest import latest_per_key
-from smelter.operators.quality import Split, split
+from smelter.operators.quality import Split, split_marked
 from smelter.operators.rules import Rule
 
 
@@ -29,7 +29,8 @@ def now() -> Column:
 class Flow:
     """What one source needs: cleaning steps per text column, columns to derive,
     rules (functions, since a Column needs a session), key, and helper columns that
-    only rejected rows keep.
+    only rejected rows keep. ``combine`` gives columns that build on derived ones, so that
+    these are computed once.
 
     A derived column may take the place of one of the source. Rejected rows show the
     source's value again, as it came: a value that could not be read is what has to be
@@ -40,6 +41,7 @@ class Flow:
     text: Mapping[str, Sequence[Step]]
     rules: Callable[[], list[Rule]]
     derive: Callable[[], dict[str, Column]] = dict
+    combine: Callable[[], dict[str, Column]] = dict
     helpers: Sequence[str] = field(default=())
 
     def standardized(self, bronze: DataFrame) -> DataFrame:
@@ -48,7 +50,7 @@ class Flow:
 
     def split(self, bronze: DataFrame, null_policy: str = "reject") -> Split:
         sources = self._sources(bronze)
-        valid, rejected = split(self._with_sources(bronze), self.rules(), null_policy)
+        valid, rejected = split_marked(self._with_sources(bronze), self.rules(), null_policy)
         as_it_came = rejected.withColumns({name: F.col(kept) for name, kept in sources.items()})
         return Split(valid.drop(*sources.values()), as_it_came.drop(*sources.values()))
 
@@ -58,7 +60,8 @@ class Flow:
 
     def _with_sources(self, bronze: DataFrame) -> DataFrame:
         kept = {kept: F.col(name) for name, kept in self._sources(bronze).items()}
-        return standardize(bronze, self.text).withColumns(kept).withColumns(self.derive())
+        derived = standardize(bronze, self.text).withColumns(kept).withColumns(self.derive())
+        return derived.withColumns(self.combine())
 
     def refine(
         self,

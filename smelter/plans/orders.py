@@ -46,30 +46,32 @@ def order_rules(require_order_id: bool = False) -> list[Rule]:
 
 
 def order_values() -> dict[str, Column]:
-    """Ids, times and exact decimals, and from these the amount an order should have.
+    """Ids, times and exact decimals.
 
     What cannot be read is NULL and fails its rule. Amounts keep six decimals until gold.
     """
     amounts = ("unit_price", "tax_amount", "order_amount")
-    read = {name: money(name, WIDE_MONEY) for name in amounts}
-    read["discount_pct"] = fraction("discount_pct", WIDE_FRACTION)
-    read["quantity"] = whole("quantity")
-    expected = expected_amount(
-        read["quantity"], read["unit_price"], read["discount_pct"], read["tax_amount"]
-    )
     return {
         **{name: whole(name, "long") for name in ("customer_id", "product_id")},
         "order_timestamp": F.col("order_timestamp").try_cast("timestamp"),
-        **read,
-        "expected_order_amount": expected,
+        **{name: money(name, WIDE_MONEY) for name in amounts},
+        "discount_pct": fraction("discount_pct", WIDE_FRACTION),
+        "quantity": whole("quantity"),
     }
 
 
+def order_amounts() -> dict[str, Column]:
+    """The amount an order should have, from the values read."""
+    parts = [F.col(c) for c in ("quantity", "unit_price", "discount_pct", "tax_amount")]
+    return {"expected_order_amount": expected_amount(*parts)}
+
+
 def order_flow(require_order_id: bool = False) -> Flow:
     return Flow(
         key="order_id",
         text={"status": ("trim", "upper")},
         derive=order_values,
+        combine=order_amounts,
         rules=partial(order_rules, require_order_id),
         helpers=("expected_order_amount",),
     )

@@ -116,3 +116,20 @@ def test_a_hot_key_sends_one_row_per_task(spark):
     text = plan(latest)
     assert text.index("Exchange hashpartitioning(customer_id") < text.index("1, Partial")
     assert latest.filter("customer_id = 7 OR customer_id IS NULL").count() == 2
+
+
+def test_orders_are_parsed_once(spark, conf):
+    """On both sides of the split; the rules are one mask, read by filter and reasons."""
+    conf(maxPlanStringLength="1000000")
+    conf(debug__maxToStringFields="1000")
+    landed = ", ".join(f"'1' AS {c}" for c in ("order_id", "customer_id", "product_id", "quantity", "unit_price"))
+    others = "'1' AS discount_pct, '1' AS tax_amount, '1' AS order_amount, '2024-01-01' AS order_timestamp, 'x' AS status"
+    orders = spark.range(3).selectExpr("*", *f"{landed}, {others}".split(", "))
+    stored = orders.withColumns({c: F.concat(F.col(c), F.col("id")) for c in orders.columns if c != "id"})
+    for side in ORDERS.split(stored):
+        text = side._jdf.queryExecution().optimizedPlan().toString()
+        assert text.count("as decimal(15,6)") == 3
+        assert text.count("IN (COMPLETED") == 1
+        assert text.count("as timestamp)") == 1
+    counted = reconcile(ORDERS.standardized(stored), order_rules())
+    assert counted._jdf.queryExecution().optimizedPlan().toString().count("IN (COMPLETED") == 1

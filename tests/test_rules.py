@@ -5,18 +5,24 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from smelter.functions.numbers import whole
 from smelter.operators.quality import (
+    MASK,
     dq_summary,
     duplicate_keys,
     key_uniqueness,
+    marked,
+    mask_flags,
+    mask_reason,
     null_profile,
     reconcile,
     reject_reason,
     split,
+    split_marked,
     violations,
     with_rule_flags,
 )
-from smelter.operators.rules import Rule, between, compare, non_empty, one_of
+from smelter.operators.rules import Rule, above, between, compare, non_empty, one_of, required
 from smelter.plans.customers import CUSTOMERS, customer_rules, email_rule
 from smelter.plans.orders import ORDERS, order_flow
 from smelter.plans.products import PRODUCTS
@@ -226,3 +232,37 @@ def test_sides_partition_the_source(spark, rows):
     assert reject.rejected.count() == len(rows) - len(valid)
     assert drop.rejected.count() == len(failing)
     assert all(r.reject_reason for r in reject.rejected.collect())
+
+
+def test_mask_says_what_the_predicates_say(spark):
+    """Flags, reasons and sides, of rules that hold, fail and are undecided."""
+    rules = [
+        required("a", "a", "no a"),
+        above("b", "b", 0, "bad b", guarded=False),
+        between("c", "c", 0, 1, "bad c"),
+    ]
+    values = [None, -1, 1]
+    rows = spark.createDataFrame(
+        [(a, b, c) for a in values for b in values for c in values], "a int, b int, c int"
+    )
+    for policy in ("reject", "drop"):
+        plain = rows.select(
+            "*", *[r.flag(policy).alias(r.flag_name) for r in rules], reject_reason(rules, policy).alias("why")
+        )
+        by_mask = marked(rows, rules).withColumns({**mask_flags(rules, policy), "why": mask_reason(rules, policy)})
+        assert sorted(map(str, by_mask.drop(MASK).collect())) == sorted(map(str, plain.collect()))
+        for one, other in zip(split_marked(rows, rules, policy), split(rows, rules, policy)):
+            assert sorted(map(str, one.collect())) == sorted(map(str, other.collect()))
+    with pytest.raises(ValueError):
+        marked(rows, rules * 11)
+
+
+def test_whole_numbers_by_type(spark):
+    rows = spark.sql(
+        "SELECT * FROM VALUES ('7', 7L, 7.0D, 7.00), (' 8 ', 8L, 8.5D, 8.50), ('9.0', 9L, 9.0D, 9.00),"
+        " ('9.5', 3000000000L, 3e9D, 3000000000.00), ('x', NULL, NULL, NULL) AS t(s, l, d, m)"
+    )
+    found = rows.select(*[whole(c).alias(c) for c in rows.columns]).collect()
+    assert [r.s for r in found] == [7, 8, 9, None, None]
+    assert [r.l for r in found] == [7, 8, 9, None, None]
+    assert [r.d for r in found] == [r.m for r in found] == [7, None, 9, None, None]
