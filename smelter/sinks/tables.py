@@ -31,6 +31,7 @@ from smelter.operators.merge import (
     unmatched,
     untouched,
 )
+from smelter.operators.likely import KeyBits, bits_if_worth, likely
 from smelter.operators.rules import all_present
 from smelter.operators.shape import align_to_schema
 from smelter.scratch import discard, list_folders, remove_folder, stage
@@ -273,8 +274,24 @@ def _partition_folders(written: DataFrame, columns: Sequence[str]) -> dict[tuple
     return {tuple(row)[:-1]: row[-1] for row in rows}
 
 
+def _kept(
+    target: DataFrame, batch: DataFrame, keys: Sequence[str], null_keys: str, bits: KeyBits | None
+) -> DataFrame:
+    """Target rows whose key the batch lacks. With ``bits`` only likely ones meet the batch in a
+    shuffle; the target is read once for these and once for the others."""
+    if bits is None:
+        return untouched(target, batch, keys, null_keys)
+    sure = likely(target, bits, keys, otherwise=True)
+    return sure.unionByName(untouched(likely(target, bits, keys), batch, keys, null_keys))
+
+
 def _upsert_partitions(
-    batch: DataFrame, matched: DataFrame, name: str, keys: Sequence[str], null_keys: str
+    batch: DataFrame,
+    matched: DataFrame,
+    name: str,
+    keys: Sequence[str],
+    null_keys: str,
+    bits: KeyBits | None,
 ) -> None:
     """Rewrite only partitions that hold a key of the batch; append to all others.
 
@@ -295,7 +312,7 @@ def _upsert_partitions(
         _append(rest, name)
     if not stale:
         return
-    merged = untouched(target.filter(chosen), batch, keys, null_keys).unionByName(
+    merged = _kept(target.filter(chosen), batch, keys, null_keys, bits).unionByName(
         batch.filter(chosen), allowMissingColumns=True
     )
     path = f"{_root(spark, name)}/merge-{uuid.uuid4().hex[:8]}"
@@ -411,17 +428,20 @@ def create_or_merge(
     if how == "upsert" and check_unique:
         require_unique(batch, keys, null_keys)
     placed = [*dict.fromkeys([*layout.partition_by, *keys])]
+    # A batch whose keys are too many to broadcast asks by bits first; buckets need no shuffle anyway
+    bits = None if layout.buckets else bits_if_worth(batch, keys, null_keys)
+    asked = target if bits is None else likely(target, bits, keys)
     compares = skip_same is not None and how == "upsert" and set(batch.columns) == set(target.columns)
     if compares:
         seen = digest([c for c in target.columns if c not in (*keys, *skip_same)])
-        looked_at = target.select(*placed, seen.alias("_same"))
+        looked_at = asked.select(*placed, seen.alias("_same"))
         found = stage(join_keys(looked_at, batch, keys, "left_semi", null_keys), "matched")
         fresh = changed(batch.withColumn("_same", seen), found, keys, "_same", null_keys)
         batch = stage(fresh.select(*batch.columns), "changed")
         matched = stage(join_keys(found, batch, keys, "left_semi", null_keys).drop("_same"), "matched")
         discard(found)
     else:
-        matched = stage(join_keys(target.select(*placed), batch, keys, "left_semi", null_keys), "matched")
+        matched = stage(join_keys(asked.select(*placed), batch, keys, "left_semi", null_keys), "matched")
     counts = None
     if how == "insert":
         fresh = unmatched(batch, matched, keys, null_keys)
@@ -432,11 +452,11 @@ def create_or_merge(
         if audit_table:
             counts = stage(merge_counts(target, batch, matched), "audit")
         if layout.partition_by:
-            _upsert_partitions(batch, matched, name, keys, null_keys)
+            _upsert_partitions(batch, matched, name, keys, null_keys, bits)
         elif matched.isEmpty():
             _append(batch, name)
         else:
-            kept = untouched(target, batch, keys, null_keys)
+            kept = _kept(target, batch, keys, null_keys, bits)
             if layout.buckets:
                 # rows kept from buckets are in buckets still
                 merged = kept.unionByName(layout.grouped(batch), allowMissingColumns=True)
@@ -444,6 +464,8 @@ def create_or_merge(
                 merged = layout.grouped(kept.unionByName(batch, allowMissingColumns=True))
             _replace(merged, name, layout)
     discard(matched)
+    if bits is not None:
+        discard(bits.blocks)
     if counts is not None:
         record_load(counts, audit_table, name, f"merge {how}")
         discard(counts)

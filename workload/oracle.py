@@ -457,6 +457,12 @@ UNION ALL SELECT 5, 'overwrite', source, 0, 0 FROM n"""
 
 # The same results by way of tables
 ORACLE["table_merge_upsert"] = ORACLE["merge_upsert"]
+ORACLE["merge_upsert_filtered"] = ORACLE["merge_upsert"]
+ORACLE["matched_rows_filtered"] = "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey % 10 = 3"
+ORACLE["daily_engagement_merged"] = ORACLE["daily_engagement"]
+ORACLE["distinct_values_merged"] = """
+    SELECT o_orderpriority, COUNT(DISTINCT o_custkey) AS customers, COUNT(DISTINCT o_orderdate) AS days
+    FROM orders GROUP BY ALL"""
 ORACLE["table_merge_upsert_partitioned"] = ORACLE["merge_upsert"]
 ORACLE["table_merge_insert"] = ORACLE["merge_insert_only"]
 ORACLE["run_pipeline_fact"] = ORACLE["fact_orders"]

@@ -26,7 +26,9 @@ from smelter.functions.dates import calendar
 from smelter.functions.numbers import ratio
 from smelter.functions.text import clean
 from smelter.operators.latest import latest_per_key
-from smelter.operators.merge import load_audit, merge_insert, merge_upsert
+from smelter.operators.distinct import bitmaps, counted, numbered, united, with_number
+from smelter.operators.likely import key_bits, likely, upsert_likely
+from smelter.operators.merge import join_keys, load_audit, merge_insert, merge_upsert
 from smelter.operators.quality import (
     dq_summary,
     duplicate_keys,
@@ -42,7 +44,14 @@ from smelter.operators.quality import (
 )
 from smelter.operators.shape import align_to_schema, normalise_status, preview
 from smelter.plans.checks import run_checks
-from smelter.plans.clicks import SUMMARY, daily_engagement, silver_clicks
+from smelter.plans.clicks import (
+    SUMMARY,
+    EngagementState,
+    daily_engagement,
+    engagement_of,
+    engagement_state,
+    silver_clicks,
+)
 from smelter.plans.customers import CUSTOMERS, customer_rules, dim_customer, email_rule
 from smelter.plans.flow import Flow
 from smelter.plans.ingest import ingest, ingest_clicks, landed
@@ -158,6 +167,31 @@ def daily_engagement_since(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_engagement(_silver_clicks(spark, sf_dir), since="2024-01-20")
 
 
+@query("daily_engagement_merged")
+def daily_engagement_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches, the second late for days of the first: the first one's events aren't read again."""
+    clicks = stage(_silver_clicks(spark, sf_dir), "clicks")
+    late = F.col("event_id") % 3 == 0
+    first = engagement_state(clicks.filter(~late))
+    kept = EngagementState(*[stage(df, "state") for df in (first.counts, first.actors, first.numbers)])
+    return engagement_of(engagement_state(clicks.filter(late), kept))
+
+
+@query("distinct_values_merged")
+def distinct_values_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct customers and days for each priority, from bitmaps of three batches."""
+    orders = table(spark, sf_dir, "orders")
+    found, by = [], ["o_orderpriority"]
+    for column, name in (("o_custkey", "customers"), ("o_orderdate", "days")):
+        numbers, maps = None, []
+        for part in range(3):
+            batch = orders.filter(F.col("o_orderkey") % 3 == part).select(*by, column)
+            numbers = stage(numbered(batch.select(column), numbers), "numbers")
+            maps.append(bitmaps(with_number(batch, column, numbers, "number"), by, "number"))
+        found.append(counted(united(*maps), by, name))
+    return found[0].join(found[1], by)
+
+
 # ---- silver: clean and rejected rows, under both treatments of undecided rows
 
 
@@ -412,6 +446,25 @@ def orders_merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
+@query("merge_upsert_filtered")
+def orders_merge_upsert_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``merge_upsert``, with only those target rows shuffled whose key the batch's bits admit."""
+    target, source = _merge_fixture(spark, sf_dir)
+    batch = stage(source, "batch")
+    bits = key_bits(batch, ["o_orderkey"], batch.count())
+    return upsert_likely(target, batch, ["o_orderkey"], bits)
+
+
+@query("matched_rows_filtered")
+def matched_rows_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of orders in a batch, by a key of two columns: bits first, then the join."""
+    keys = ["l_orderkey", "l_linenumber"]
+    lines = table(spark, sf_dir, "lineitem")
+    batch = stage(lines.filter("l_orderkey % 10 = 3").select(*keys).distinct(), "batch")
+    bits = key_bits(batch, keys, batch.count())
+    return join_keys(likely(lines, bits, keys), batch, keys, "left_semi").select(*keys, "l_quantity")
+
+
 @query("load_audit")
 def orders_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     before, source = _merge_fixture(spark, sf_dir)
