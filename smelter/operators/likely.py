@@ -92,7 +92,10 @@ def likely(target: DataFrame, bits: KeyBits, keys: Sequence[str], otherwise: boo
         shift = 56 - F.shiftright(inside, 3) * 8 + inside.bitwiseAND(F.lit(7))
         found = found & (F.getbit(word, shift) == 1)
     found = F.coalesce(found, F.lit(False))
-    return met.filter(~found if otherwise else found).select(*target.columns)
+    # Always true, and different by task: the optimizer would else push a join that follows below this
+    # one, and shuffle the whole target for it
+    barrier = F.spark_partition_id() >= 0
+    return met.filter(~found if otherwise else found).filter(barrier).select(*target.columns)
 
 
 def upsert_likely(target: DataFrame, batch: DataFrame, keys: Sequence[str], bits: KeyBits, null_keys: str = "insert") -> DataFrame:
