@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from smelter.constants import REASON_SEPARATOR
@@ -124,13 +124,22 @@ def split(df: DataFrame, rules: Sequence[Rule], null_policy: str = "reject") ->
     )
 
 
-def split_marked(df: DataFrame, rules: Sequence[Rule], null_policy: str = "reject") -> Split:
+def split_marked(
+    df: DataFrame,
+    rules: Sequence[Rule],
+    null_policy: str = "reject",
+    seen: Observation | None = None,
+) -> Split:
     """As ``split``, for rules over columns that are dear to compute: each is computed once for a
-    row. Predicates don't reach the scan this way, so ``split`` suits rules on stored columns."""
+    row. Predicates don't reach the scan this way, so ``split`` suits rules on stored columns.
+
+    ``seen`` gets what ``reconcile`` counts, while the valid rows are written.
+    """
     rows = marked(df, rules)
     rejected = rows.filter(mask_failed(rules, null_policy))
     reasoned = rejected.withColumn("reject_reason", mask_reason(rules, null_policy))
-    return Split(rows.filter(mask_valid()).drop(MASK), reasoned.drop(MASK))
+    counted = rows if seen is None else rows.observe(seen, *sides(rules, null_policy))
+    return Split(counted.filter(mask_valid()).drop(MASK), reasoned.drop(MASK))
 
 
 def sides(rules: Sequence[Rule], null_policy: str = "reject") -> list[Column]:

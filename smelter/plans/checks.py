@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from smelter.config import PipelineConfig
+from smelter.functions.numbers import count_where
 from smelter.operators.quality import (
     dq_summary,
     duplicate_keys,
@@ -41,6 +42,69 @@ REJECTS = {
 }
 
 
+CHECK = "check_name string, table_name string, faults long, passed boolean"
+COUNTS = "table_name string, source_rows long, valid_rows long, rejected_rows long, reconciled boolean"
+
+
+def _figures(seen: Observation) -> dict[str, int]:
+    """What was observed: nothing where Spark knew that there are no rows, and ran no task."""
+    return seen.get if seen._jo.getRow().length() else {}
+
+
+class Observed:
+    """Checks that a run makes while it writes: nothing is read again for them.
+
+    Given to ``run_pipeline``, it watches the rows that the run splits and writes. ``frame`` has the
+    rows of ``run_checks`` on lost rows, invalid emails and facts without a dimension row, of what this
+    run wrote; with ``only_changes`` or ``bronze_since`` that is a part of the tables.
+    """
+
+    def __init__(self):
+        self._split: dict[str, Observation] = {}
+        self._stored: dict[str, Observation] = {}
+        self._faults: list[tuple[str, list[str], Observation]] = []
+
+    def split(self, name: str) -> Observation:
+        """For ``refine`` of a flow: its source, valid and rejected rows."""
+        self._split[name] = Observation()
+        return self._split[name]
+
+    def stored(self, rejected: DataFrame, name: str) -> DataFrame:
+        """``rejected``, counted as it is written."""
+        self._stored[name] = Observation()
+        return rejected.observe(self._stored[name], F.count(F.lit(1)).alias("rows"))
+
+    def faults(self, df: DataFrame, table: str, **faults: Column) -> DataFrame:
+        """``df``, with rows that meet a condition counted under its name as it is written."""
+        seen = Observation()
+        self._faults.append((table, list(faults), seen))
+        return df.observe(seen, *[count_where(c).alias(name) for name, c in faults.items()])
+
+    def _sides(self) -> list[tuple[str, int, int, int]]:
+        """(table, source rows, valid rows, rejected rows); those stored, where they were watched."""
+        found = []
+        for name, seen in self._split.items():
+            counts = _figures(seen)
+            rejected = counts.get("rejected_rows", 0)
+            if name in self._stored:
+                rejected = _figures(self._stored[name]).get("rows", 0)
+            sides = counts.get("source_rows", 0), counts.get("valid_rows", 0), rejected
+            found.append((f"bronze.{name}", *sides))
+        return found
+
+    def counts(self, spark: SparkSession) -> DataFrame:
+        """As ``reconcile``, a row for each split; for when all has been written."""
+        rows = [(*row, row[1] == row[2] + row[3]) for row in self._sides()]
+        return spark.createDataFrame(rows, COUNTS)
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        """One row for each check, few in all; for when all has been written."""
+        found = [("lost_rows", name, all_of - valid - bad) for name, all_of, valid, bad in self._sides()]
+        for table, checks, seen in self._faults:
+            found += [(check, table, _figures(seen).get(check, 0)) for check in checks]
+        return spark.createDataFrame([(*row, row[2] == 0) for row in found], CHECK)
+
+
 def run_summary(spark: SparkSession, config: PipelineConfig | None = None) -> dict[str, DataFrame]:
     """What a run stored, for reading: silver events in figures, and rejects by table and reason."""
     config = config or PipelineConfig()

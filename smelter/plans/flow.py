@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from smelter.constants import NEWEST_FIRST
@@ -48,9 +48,12 @@ class Flow:
         """Two steps, because derived columns may build on cleaned ones."""
         return self._with_sources(bronze).drop(*self._sources(bronze).values())
 
-    def split(self, bronze: DataFrame, null_policy: str = "reject") -> Split:
+    def split(
+        self, bronze: DataFrame, null_policy: str = "reject", seen: Observation | None = None
+    ) -> Split:
         sources = self._sources(bronze)
-        valid, rejected = split_marked(self._with_sources(bronze), self.rules(), null_policy)
+        rows = self._with_sources(bronze)
+        valid, rejected = split_marked(rows, self.rules(), null_policy, seen)
         as_it_came = rejected.withColumns({name: F.col(kept) for name, kept in sources.items()})
         return Split(valid.drop(*sources.values()), as_it_came.drop(*sources.values()))
 
@@ -70,11 +73,12 @@ class Flow:
         newest: Sequence[str] = NEWEST_FIRST,
         tie_break: Sequence[str] | None = None,
         at: Column | None = None,
+        seen: Observation | None = None,
     ) -> Silver:
         """Rows are checked before copies are dropped: a newer copy that fails a rule
-        does not hide an older one that passes."""
+        does not hide an older one that passes. ``seen``: see ``split_marked``."""
         stamp = now() if at is None else at
-        valid, rejected = self.split(bronze, null_policy)
+        valid, rejected = self.split(bronze, null_policy, seen)
         latest = latest_per_key(valid.drop(*self.helpers), [self.key], newest, tie_break)
         return Silver(
             latest.withColumn("_silver_processed_at", stamp),

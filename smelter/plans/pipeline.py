@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from smelter.config import PipelineConfig
 from smelter.operators.merge import join_keys
+from smelter.plans.checks import Observed
 from smelter.plans.clicks import daily_engagement, silver_clicks
-from smelter.plans.customers import CUSTOMERS, dim_customer
-from smelter.plans.orders import fact_orders, order_flow, split_fact
+from smelter.plans.customers import CUSTOMERS, dim_customer, email_rule
+from smelter.plans.flow import Flow, Silver
+from smelter.plans.orders import DIMENSION_KEYS, fact_orders, order_flow, split_fact
 from smelter.plans.products import PRODUCTS, dim_product
 from smelter.sinks.tables import create_or_merge, export_parquet, save_table
 from smelter.sources.catalog import table_exists
@@ -22,13 +24,18 @@ GOLD_TABLES = ("dim_customer", "dim_product", "fact_orders", "daily_customer_eng
 
 
 def run_pipeline(
-    spark: SparkSession, config: PipelineConfig | None = None, run_at: datetime | None = None
+    spark: SparkSession,
+    config: PipelineConfig | None = None,
+    run_at: datetime | None = None,
+    observed: Observed | None = None,
 ) -> dict[str, DataFrame]:
     """Bring silver and gold up to date with bronze; returns the gold tables.
 
     Customers, products and all rejects are replaced, everything else is merged. All
-    rows written carry the same time. Bronze is loaded apart, by ``ingest``.
+    rows written carry the same time. Bronze is loaded apart, by ``ingest``. ``observed``
+    checks rows while they are written.
     """
+    watch = observed or Observed()
     config = config or PipelineConfig()
     at = F.lit(run_at or datetime.now(timezone.utc))
     layers = {"bronze": config.bronze, "silver": config.silver, "gold": config.gold}
@@ -62,21 +69,26 @@ def run_pipeline(
             return rows
         return rows.filter(F.col(time) >= F.lit(config.bronze_since).cast("timestamp"))
 
-    customers = CUSTOMERS.refine(table("bronze", "customers"), config.null_policy, at=at)
-    replace(customers.clean, "silver", "customers")
-    replace(customers.rejected, "silver", "customer_rejected")
+    def refined(flow: Flow, bronze: DataFrame, name: str) -> Silver:
+        return flow.refine(bronze, config.null_policy, at=at, seen=watch.split(name))
 
-    products = PRODUCTS.refine(table("bronze", "products"), config.null_policy, at=at)
+    customers = refined(CUSTOMERS, table("bronze", "customers"), "customers")
+    invalid = ~email_rule().holds
+    clean = watch.faults(customers.clean, "silver.customers", invalid_emails=invalid)
+    replace(clean, "silver", "customers")
+    replace(watch.stored(customers.rejected, "customers"), "silver", "customer_rejected")
+
+    products = refined(PRODUCTS, table("bronze", "products"), "products")
     replace(products.clean, "silver", "products")
     if config.store_product_rejects:
-        replace(products.rejected, "silver", "product_rejected")
+        replace(watch.stored(products.rejected, "products"), "silver", "product_rejected")
 
-    orders = order_flow(config.require_order_id).refine(
-        recent("orders", "_ingested_at"), config.null_policy, at=at
+    orders = refined(
+        order_flow(config.require_order_id), recent("orders", "_ingested_at"), "orders"
     )
     first_run = not table_exists(spark, f"{layers['gold']}.fact_orders")
     changed_orders = merge(orders.clean, "silver", "orders", "order_id")
-    replace(orders.rejected, "silver", "order_rejected")
+    replace(watch.stored(orders.rejected, "orders"), "silver", "order_rejected")
 
     clicks = silver_clicks(recent("click_events", "_bronze_ingested_at"), at=at)
     merge(clicks, "silver", "click_events", "event_id")
@@ -99,6 +111,8 @@ def run_pipeline(
         now = join_keys(due, changed_orders, ["order_id"], "left_semi")
         due = now.unionByName(of_customers).unionByName(of_products)
     facts = fact_orders(due, table("gold", "dim_customer"), table("gold", "dim_product"), at)
+    orphaned = {check: F.col(key).isNull() for check, key in DIMENSION_KEYS.items()}
+    facts = watch.faults(facts, "gold.fact_orders", **orphaned)
     batch = merge(facts, "gold", "fact_orders", "order_id")
     orphans = table("gold", "fact_orders") if partly else batch
     replace(split_fact(orphans, at).rejected, "gold", "fact_order_rejected")

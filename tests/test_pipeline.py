@@ -5,11 +5,11 @@ from pyspark.sql import functions as F
 
 from conftest import TESTDATA
 from smelter import PipelineConfig
-from smelter.plans.checks import REJECTS, run_checks, run_summary
+from smelter.plans.checks import REJECTS, Observed, run_checks, run_summary
 from smelter.plans.clicks import daily_engagement, silver_clicks
 from smelter.plans.customers import dim_customer
 from smelter.plans.ingest import ingest_clicks
-from smelter.plans.orders import fact_orders, split_fact
+from smelter.plans.orders import ORDERS, fact_orders, split_fact
 from smelter.plans.pipeline import run_pipeline
 from smelter.sinks.tables import save_table, table_layout
 from smelter.sources.pages import PAGE_SCHEMA
@@ -138,6 +138,53 @@ def test_checks_find_what_is_wrong(spark, layers):
     assert [(r.table_name, r.faults > 0) for r in lost] == [("bronze.orders", True)]
 
 
+def jobs(spark, function):
+    """Jobs that ``function`` starts, and what it returns."""
+    group = f"counted-{function.__name__}-{id(function)}"
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        result = function()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)), result
+
+
+def test_checks_made_while_writing(spark, layers):
+    """As counted by reading again; here nothing is read, and no job started."""
+    config = PipelineConfig(**layers)
+    observed = Observed()
+    run_pipeline(spark, config, observed=observed)
+    started, found = jobs(spark, lambda: observed.frame(spark))
+    assert started == 0
+    again = run_checks(spark, config).filter("check_name != 'duplicate_keys'")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, again.collect()))
+    assert all(r.reconciled for r in observed.counts(spark).collect())
+    scans = lambda df: df._jdf.queryExecution().executedPlan().toString().count("FileScan")
+    assert scans(found) == 0 and scans(again) >= 5
+
+
+def test_observed_rows_are_read_once(spark, layers):
+    """The written side has one scan of the source, below the one place where it is counted."""
+    bronze = spark.table(f"{layers['bronze']}.orders")
+    observed = Observed()
+    clean = ORDERS.refine(bronze, seen=observed.split("orders")).clean
+    text = clean._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1 and text.count("CollectMetrics") == 1
+    clean.write.format("noop").mode("overwrite").save()
+    (row,) = observed.counts(spark).collect()
+    assert (row.source_rows, row.reconciled) == (bronze.count(), True)
+
+
+def test_nothing_to_observe(spark, layers):
+    bronze = spark.table(f"{layers['bronze']}.orders").limit(0)
+    observed = Observed()
+    refined = ORDERS.refine(bronze, seen=observed.split("orders"))
+    refined.clean.write.format("noop").mode("overwrite").save()
+    observed.stored(refined.rejected, "orders").write.format("noop").mode("overwrite").save()
+    (row,) = observed.counts(spark).collect()
+    assert tuple(row) == ("bronze.orders", 0, 0, 0, True)
+
+
 def test_summary(spark, layers):
     config = PipelineConfig(**layers, store_product_rejects=True)
     run_pipeline(spark, config)

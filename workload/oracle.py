@@ -503,3 +503,13 @@ for _name, _with in (("customers", CUSTOMERS), ("products", PRODUCTS), ("orders"
         ORACLE[f"reconcile_{_name}{_suffix}"] = _with + _reconciled(
             f"{_name}_checked", "ok", "ok IS FALSE" if _decided else "ok IS NOT TRUE"
         )
+
+ORACLE["run_pipeline_observed"] = FACT + """SELECT *, faults = 0 AS passed FROM (
+    SELECT check_name, table_name, CAST(0 AS BIGINT) AS faults FROM (VALUES
+        ('lost_rows', 'bronze.customers'), ('lost_rows', 'bronze.products'),
+        ('lost_rows', 'bronze.orders'), ('invalid_emails', 'silver.customers')) AS clean(check_name, table_name)
+    UNION ALL SELECT 'missing_customer_keys', 'gold.fact_orders', COUNT(*) FROM fact
+        WHERE customer_key IS NULL
+    UNION ALL SELECT 'missing_product_keys', 'gold.fact_orders', COUNT(*) FROM fact
+        WHERE product_key IS NULL)"""
+ORACLE["split_observed"] = f"SELECT 'bronze.orders' AS table_name, * FROM ({ORACLE['reconcile_orders']})"

@@ -43,7 +43,7 @@ from smelter.operators.quality import (
     with_rule_flags,
 )
 from smelter.operators.shape import align_to_schema, normalise_status, preview
-from smelter.plans.checks import run_checks
+from smelter.plans.checks import Observed, run_checks
 from smelter.plans.clicks import (
     SUMMARY,
     EngagementState,
@@ -740,3 +740,22 @@ def run_pipeline_engagement(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_pipeline_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     config, _ = _run(spark, sf_dir)
     return run_checks(spark, config)
+
+
+@query("run_pipeline_observed")
+def run_pipeline_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks of a run, counted while it wrote."""
+    config, _ = _bronze(spark, sf_dir)
+    observed = Observed()
+    run_pipeline(spark, config, observed=observed)
+    return observed.frame(spark)
+
+
+@query("split_observed")
+def split_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source, valid and rejected orders, counted while both sides were written."""
+    observed = Observed()
+    orders = ORDERS.refine(orders_src(spark, sf_dir), seen=observed.split("orders"))
+    stage(orders.clean, "clean")
+    stage(observed.stored(orders.rejected, "orders"), "rejected")
+    return observed.counts(spark)
