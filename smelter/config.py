@@ -26,6 +26,7 @@ class IngestConfig:
     load_mode: str = "overwrite"
     source_format: str = "csv"
     schema: StructType | str | None = None
+    unreadable_table: str | None = None
 
     def __post_init__(self) -> None:
         if not self.landing_path:

@@ -513,3 +513,12 @@ ORACLE["run_pipeline_observed"] = FACT + """SELECT *, faults = 0 AS passed FROM
     UNION ALL SELECT 'missing_product_keys', 'gold.fact_orders', COUNT(*) FROM fact
         WHERE product_key IS NULL)"""
 ORACLE["split_observed"] = f"SELECT 'bronze.orders' AS table_name, * FROM ({ORACLE['reconcile_orders']})"
+ORACLE["ingest_new_files"] = """SELECT p_partkey, p_name, p_size, 'products' AS _source_name, 'PIM' AS _source_system,
+    'json' AS _source_format, 'batch-7-' || p_partkey % 2 AS _batch_id FROM part"""
+ORACLE["ingest_unreadable"] = """SELECT CASE WHEN p_partkey % 40 = 0 OR p_partkey % 41 != 0 THEN p_partkey END AS p_partkey,
+    CASE WHEN p_partkey % 40 != 0 AND p_partkey % 41 != 0 THEN p_size END AS p_size,
+    CASE WHEN p_partkey % 40 = 0 THEN '{"p_partkey": ' || p_partkey || ', "p_size": "x' || p_size || '"}'
+         WHEN p_partkey % 41 = 0 THEN '{"p_partkey": ' || p_partkey END AS text,
+    'parts' AS _source_name FROM part"""
+ORACLE["table_published"] = """SELECT c_custkey, c_nationkey, CAST(LENGTH(c_name) AS INTEGER) AS name_length
+    FROM customer WHERE c_custkey % 3 != 0"""

@@ -54,7 +54,7 @@ from smelter.plans.clicks import (
 )
 from smelter.plans.customers import CUSTOMERS, customer_rules, dim_customer, email_rule
 from smelter.plans.flow import Flow
-from smelter.plans.ingest import ingest, ingest_clicks, landed
+from smelter.plans.ingest import ingest, ingest_clicks, ingest_new, landed
 from smelter.plans.orders import (
     DIMENSION_KEYS,
     ORDERS,
@@ -67,7 +67,9 @@ from smelter.plans.pipeline import run_pipeline
 from smelter.plans.products import PRODUCTS, dim_product, product_rules
 from smelter.scratch import new_folder, stage
 from smelter.sinks.tables import create_or_merge, export_parquet, save_table
+from smelter.sinks.views import expire_published, publish
 from smelter.sources.catalog import describe, list_tables
+from smelter.sources.landing import UNREADABLE
 from smelter.sources.pages import PAGE_SCHEMA, bronze_clicks, read_json_pages
 from workload.adapters import (
     click_pages,
@@ -582,6 +584,51 @@ def ingest_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest(spark, later).drop(*LINEAGE_DROPPED, "_source_name", "_source_system")
 
 
+@query("ingest_new_files")
+def ingest_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder that grows, ingested three times: the second time reads the new files, the third none."""
+    folder, checkpoint = new_folder(spark, "landing"), new_folder(spark, "checkpoint")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    target = f"{new_database(spark)}.products"
+    config = IngestConfig(folder, target, "products", "PIM", BATCH, source_format="json", schema=part.schema)
+    for rest in (0, 1):
+        part.filter(F.col("p_partkey") % 2 == rest).write.mode("append").json(folder)
+        ingest_new(spark, config, checkpoint)
+    return ingest_new(spark, config, checkpoint).drop(*LINEAGE_DROPPED)
+
+
+@query("ingest_unreadable")
+def ingest_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of which some have no number or end too early: what was read, and what was not."""
+    folder = new_folder(spark, "landing")
+    key, size = F.col("p_partkey"), F.col("p_size")
+    begin = F.concat(F.lit('{"p_partkey": '), key)
+    wrong = F.concat(begin, F.lit(', "p_size": "x'), size, F.lit('"}'))
+    sound = F.concat(begin, F.lit(', "p_size": '), size, F.lit("}"))
+    line = F.when(key % 40 == 0, wrong).when(key % 41 == 0, begin).otherwise(sound)
+    table(spark, sf_dir, "part").select(line.alias("value")).write.text(folder)
+    database = new_database(spark)
+    config = IngestConfig(
+        *(folder, f"{database}.parts", "parts", "PIM", BATCH),
+        source_format="json", schema="p_partkey BIGINT, p_size INT", unreadable_table=f"{database}.unreadable",
+    )
+    read = ingest(spark, config).withColumn("text", F.lit(None).cast("string"))
+    torn = spark.table(f"{database}.unreadable").withColumnRenamed(UNREADABLE, "text")
+    return read.unionByName(torn).select("p_partkey", "p_size", "text", "_source_name")
+
+
+@query("table_published")
+def table_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three versions behind one view: other columns, and partitions, computed from the one before."""
+    name = f"{new_database(spark)}.customers"
+    publish(table(spark, sf_dir, "customer"), name)
+    shorter = spark.table(name).select("c_custkey", "c_nationkey", F.length("c_name").alias("name_length"))
+    publish(shorter, name)
+    publish(spark.table(name).filter("c_custkey % 3 != 0"), name, ["c_nationkey"])
+    expire_published(spark, name, keep=0)
+    return spark.table(name)
+
+
 @query("export_partitioned")
 def export_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "export")
