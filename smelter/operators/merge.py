@@ -12,12 +12,13 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from smelter.operators.quality import duplicate_keys
 from smelter.operators.rules import all_present
 from smelter.operators.shape import align_to_schema
+from smelter.scratch import stage
 
 NULL_KEYS = ("insert", "drop", "match")
 
@@ -132,6 +133,52 @@ def digest(columns: Sequence[str]) -> Column:
     return F.struct(F.xxhash64(F.lit(1), *marked), F.xxhash64(F.lit(2), *marked))
 
 
+def changes(
+    before: DataFrame, after: DataFrame, keys: Sequence[str], ignore: Sequence[str] = ()
+) -> DataFrame:
+    """What changed between two states of a table, row by row: (keys, change, old, new).
+
+    ``change`` is "insert", "update" or "delete"; ``old`` and ``new`` are structs of the other columns of
+    ``after``. Equal rows are found by digest and never joined: of these only keys and
+    digests travel, and rows are fetched for keys that changed. A NULL key is a key like any other.
+    Rows that share a key are told apart by number, the spare ones on one side being inserts or deletes;
+    ``ignore`` names columns that make no change.
+    """
+    values = [c for c in after.columns if c not in keys]
+    compared = [c for c in values if c not in ignore]
+    lacking = {f.name: f.dataType for f in after.schema.fields if f.name not in before.columns}
+    known = before.withColumns({c: F.lit(None).cast(t) for c, t in lacking.items()})
+    same_type = align_to_schema(known, after.schema).select(*after.columns)
+    marked = {
+        sign: df.select(*keys, F.struct(*values).alias("_row"), digest(compared).alias("_digest"))
+        for sign, df in ((-1, same_type), (1, after))
+    }
+    signed = [df.select(*keys, "_digest", F.lit(sign).alias("_sign")) for sign, df in marked.items()]
+    surplus = signed[0].unionAll(signed[1]).groupBy(*keys, "_digest").agg(F.sum("_sign").alias("_n"))
+    surplus = stage(surplus.filter("_n != 0"), "changes")
+    other = surplus.select(
+        *[F.col(k).alias(f"_key_{k}") for k in keys], F.col("_digest").alias("_same"), "_n"
+    )
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+
+    def fetched(sign: int) -> DataFrame:
+        wanted = other.filter(F.col("_n") * sign > 0).withColumn("_n", F.abs("_n"))
+        rows = marked[sign].join(wanted, same & (F.col("_digest") == F.col("_same")))
+        one = rows.groupBy(*keys, "_digest").agg(F.first("_row").alias("_row"), F.first("_n").alias("_n"))
+        copies = F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_copy")
+        each = one.select(*keys, "_digest", "_row", copies)
+        number = F.row_number().over(Window.partitionBy(*keys).orderBy("_digest", "_copy"))
+        side = "old" if sign < 0 else "new"
+        empty = F.lit(None).cast(each.schema["_row"].dataType)
+        sides = [(F.col("_row") if s == side else empty).alias(s) for s in ("old", "new")]
+        return each.select(*keys, number.alias("_number"), *sides)
+
+    paired = fetched(-1).unionAll(fetched(1)).groupBy(*keys, "_number")
+    both = paired.agg(*[F.first(s, ignorenulls=True).alias(s) for s in ("old", "new")])
+    kind = F.when(F.col("old").isNull(), "insert").when(F.col("new").isNull(), "delete")
+    return both.select(*keys, kind.otherwise("update").alias("change"), "old", "new")
+
+
 def load_audit(
     before: DataFrame,
     after: DataFrame,

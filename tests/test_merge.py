@@ -4,7 +4,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from smelter import scratch
-from smelter.operators.merge import load_audit, merge_insert, merge_upsert
+from smelter.operators.merge import changes, load_audit, merge_insert, merge_upsert
 from smelter.sinks.tables import create_or_merge, expire_versions
 
 DDL = "k int, v string"
@@ -208,3 +208,35 @@ def test_rows_that_the_table_holds_are_left_out(spark, database):
     assert rows(create_or_merge(batch, name, ["id"], skip_same=["at"]).select("id")) == [(2,), (4,)]
     assert rows(spark.table(name).select("id", "v", "at")) == [(1, "a", 1), (2, "b", 3), (3, "c", 1), (4, "d", 3)]
     assert {f for f in before if "p=1" in f} <= files_of(spark, name)
+
+
+def listed(found):
+    plain = lambda r: None if r is None else tuple(r)
+    return sorted(((r.k, r.change, plain(r.old), plain(r.new)) for r in found.collect()), key=str)
+
+
+def test_changes(spark):
+    before = frame(spark, [(1, "a"), (2, "b"), (3, "c"), (None, "n")])
+    after = frame(spark, [(1, "a"), (2, "B"), (4, "d"), (None, "m")])
+    assert listed(changes(before, after, ["k"])) == sorted(
+        [(2, "update", ("b",), ("B",)), (3, "delete", ("c",), None), (4, "insert", None, ("d",)), (None, "update", ("n",), ("m",))],
+        key=str,
+    )
+    assert changes(before, before, ["k"]).count() == 0
+    assert changes(before.limit(0), before.limit(0), ["k"]).count() == 0
+
+
+def test_changes_of_rows_that_share_a_key(spark):
+    before = frame(spark, [(1, "a"), (1, "a"), (1, "b")])
+    after = frame(spark, [(1, "a"), (1, "c"), (1, "c"), (1, None)])
+    found = listed(changes(before, after, ["k"]))
+    assert [f[1] for f in found].count("update") == 2 and [f[1] for f in found].count("insert") == 1
+    assert sorted(f[2][0] for f in found if f[2]) == ["a", "b"]
+    assert sorted(str(f[3][0]) for f in found if f[3]) == ["None", "c", "c"]
+
+
+def test_changes_by_columns_that_count(spark):
+    before = frame(spark, [(1, "a")]).withColumn("t", F.lit(1))
+    after = frame(spark, [(1, "a"), (2, "b")]).withColumn("t", F.lit(2)).withColumn("w", F.lit("new"))
+    assert listed(changes(before, after, ["k"], ["t", "w"])) == [(2, "insert", None, ("b", 2, "new"))]
+    assert listed(changes(before, after, ["k"], ["t"]))[0][1] == "update"

@@ -17,7 +17,13 @@ from smelter.operators.shape import (
 )
 from smelter.plans.ingest import ingest, ingest_clicks
 from smelter.sources.landing import read_landing, require_rows, with_file_metadata
-from smelter.sources.pages import PAGE_SCHEMA, flatten_pages, read_json_pages
+from smelter.sources.pages import (
+    PAGE_SCHEMA,
+    flatten_pages,
+    flatten_variant_pages,
+    read_json_pages,
+    read_variant_pages,
+)
 
 CSV = "order_id,order_status,quantity,paid,at,day\n1, Shipped ,2,10.50,2024-01-05 10:00:00,2024-01-05\n2,,3,1,2024-01-06 11:00:00,\n"
 LINEAGE = [
@@ -192,3 +198,26 @@ def test_ingest_clicks_keeps_known_events(spark, tmp_path, database):
     second = pages(tmp_path / "b", {**PAGE, "events": changed})
     loaded = ingest_clicks(spark, second, name, PAGE_SCHEMA).orderBy("event_id")
     assert [(r.event_id, r.page_name) for r in loaded.collect()] == [(1, "/a"), (2, "/b"), (3, "/c")]
+
+
+def test_pages_whose_types_change(spark, tmp_path):
+    """Each document keeps its types; what doesn't fit is named, and torn files have their text."""
+    pages = [
+        {"page": 1, "events": [{"event_id": 1, "customer_id": 7, "page": "/a", "business_date": "2024-01-05"}]},
+        {"page": "2", "events": [{"event_id": "2", "customer_id": "x", "page": {"deep": 1}}, {"event_id": None}]},
+        {"page": 3, "events": "none"},
+        {"page": 4},
+    ]
+    for i, page in enumerate(pages):
+        (tmp_path / f"{i}.json").write_text(json.dumps(page, indent=1))
+    (tmp_path / "torn.json").write_text('{"page": 5, "events": [')
+    read = read_variant_pages(spark, str(tmp_path))
+    (torn,) = read.filter("text IS NOT NULL").collect()
+    assert torn.text.startswith('{"page": 5') and torn._source_file.endswith("torn.json")
+    rows = flatten_variant_pages(read).orderBy("source_page", F.desc("event_id")).collect()
+    assert [(r.source_page, r.event_id, r.customer_id, r._misfits) for r in rows] == [
+        (1, 1, 7, []), (2, 2, None, ["customer_id"]), (2, None, None, []),
+    ]
+    assert [r.page_name for r in rows] == ["/a", '{"deep":1}', None]
+    assert str(rows[0].business_date) == "2024-01-05"
+

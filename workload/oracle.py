@@ -522,3 +522,18 @@ ORACLE["ingest_unreadable"] = """SELECT CASE WHEN p_partkey % 40 = 0 OR p_partke
     'parts' AS _source_name FROM part"""
 ORACLE["table_published"] = """SELECT c_custkey, c_nationkey, CAST(LENGTH(c_name) AS INTEGER) AS name_length
     FROM customer WHERE c_custkey % 3 != 0"""
+_ODD = f"({PAGE_EXPRESSION}) // {PAGE_IDS} % 2 = 1"
+ORACLE["clicks_variant"] = f"""WITH rows AS (SELECT {PAGE_EXPRESSION} AS source_page, *,
+        COUNT(*) OVER (PARTITION BY {PAGE_EXPRESSION}) AS total_records, {_ODD} AS odd
+    FROM {_copied_sql('events', 'event_id % 10 = 0')})
+    SELECT DISTINCT event_id, customer_id, CASE WHEN NOT odd THEN product_id END AS product_id, event_type, source_page,
+        total_records, CASE WHEN odd AND product_id IS NOT NULL THEN 'product_id' ELSE '' END AS misfits
+    FROM (SELECT source_page, total_records, odd, {", ".join(f"{CLICK_EXPRESSIONS[c]} AS {c}" for c in ("event_id", "customer_id", "product_id", "event_type"))}
+        FROM rows) WHERE event_id IS NOT NULL"""
+ORACLE["table_changes"] = MERGE + """, merged AS (SELECT * FROM source UNION ALL SELECT * FROM target
+        WHERE o_orderkey NOT IN (SELECT o_orderkey FROM source)), later AS (SELECT * FROM merged WHERE o_orderkey % 7 != 0)
+    SELECT COALESCE(t.o_orderkey, l.o_orderkey) AS o_orderkey,
+        CASE WHEN t.o_orderkey IS NULL THEN 'insert' WHEN l.o_orderkey IS NULL THEN 'delete' ELSE 'update' END AS change,
+        t.o_totalprice AS old_price, l.o_totalprice AS new_price
+    FROM target t FULL OUTER JOIN later l ON t.o_orderkey = l.o_orderkey
+    WHERE t.o_totalprice IS DISTINCT FROM l.o_totalprice"""

@@ -28,7 +28,7 @@ from smelter.functions.text import clean
 from smelter.operators.latest import latest_per_key
 from smelter.operators.distinct import bitmaps, counted, numbered, united, with_number
 from smelter.operators.likely import key_bits, likely, upsert_likely
-from smelter.operators.merge import join_keys, load_audit, merge_insert, merge_upsert
+from smelter.operators.merge import changes, join_keys, load_audit, merge_insert, merge_upsert
 from smelter.operators.quality import (
     dq_summary,
     duplicate_keys,
@@ -70,8 +70,15 @@ from smelter.sinks.tables import create_or_merge, export_parquet, save_table
 from smelter.sinks.views import expire_published, publish
 from smelter.sources.catalog import describe, list_tables
 from smelter.sources.landing import UNREADABLE
-from smelter.sources.pages import PAGE_SCHEMA, bronze_clicks, read_json_pages
+from smelter.sources.pages import (
+    PAGE_SCHEMA,
+    bronze_clicks,
+    flatten_variant_pages,
+    read_json_pages,
+    read_variant_pages,
+)
 from workload.adapters import (
+    PAGE_IDS,
     click_pages,
     click_src,
     customers_src,
@@ -126,6 +133,25 @@ def clicks_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze_clicks(read_json_pages(spark, folder, PAGE_SCHEMA)).drop("_source_file")
 
 
+@query("clicks_variant")
+def clicks_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of which every other one has customers as text and products that are no numbers."""
+    folder = new_folder(spark, "pages")
+    pages = click_pages(spark, sf_dir)
+    odd = F.coalesce(F.expr(f"page DIV {PAGE_IDS} % 2 = 1"), F.lit(False))
+    drifted = F.transform(
+        "events",
+        lambda e: e.withField("customer_id", e["customer_id"].cast("string")).withField(
+            "product_id", F.concat(F.lit("p"), e["product_id"])
+        ),
+    )
+    for part in (pages.filter(~odd), pages.filter(odd).withColumn("events", drifted)):
+        part.write.mode("append").option("maxRecordsPerFile", 1).json(folder)
+    events = flatten_variant_pages(read_variant_pages(spark, folder)).filter("event_id IS NOT NULL")
+    columns = ("event_id", "customer_id", "product_id", "event_type", "source_page", "total_records")
+    return events.select(*columns, F.array_join("_misfits", ",").alias("misfits")).distinct()
+
+
 def _silver_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_clicks(click_src(spark, sf_dir))
 
@@ -467,6 +493,16 @@ def matched_rows_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_keys(likely(lines, bits, keys), batch, keys, "left_semi").select(*keys, "l_quantity")
 
 
+@query("table_changes")
+def table_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders inserted, updated and gone between two states."""
+    before, source = _merge_fixture(spark, sf_dir)
+    after = merge_upsert(before, source, ["o_orderkey"]).filter("o_orderkey % 7 != 0")
+    found = changes(before, after, ["o_orderkey"])
+    price = {f"{side}_price": F.col(side)["o_totalprice"] for side in ("old", "new")}
+    return found.select("o_orderkey", "change", *[c.alias(name) for name, c in price.items()])
+
+
 @query("load_audit")
 def orders_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     before, source = _merge_fixture(spark, sf_dir)
