@@ -1,6 +1,6 @@
 """Main text of pages by template deduction from equivalence classes of tokens.
 
-Tokens of a page are its elements, told apart by their path, and its blocks of text. Tokens
+Tokens of a page are its elements, told apart by their path and place among equal siblings, and its blocks of text. Tokens
 with the same occurrence vector over the pages of a host (as often as each other on every
 page) form a class. Classes that most pages of the host have are taken for its template if they
 are valid, that is, if the element each token lies in belongs to the template too, so that classes nest.
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smelter.llm.arrow import texts_of
-from smelter.scratch import stage
+from smelter.scratch import discard, stage
 
 # Elements of the HTML standard by what they do
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -53,6 +53,13 @@ MARKS = frozenset(
     "masthead footer comment comments commentlist disqus replies reply respond share sharing social related recommended recommendations "
     "widget widgets login search skip".split()
 )
+# Words that stand beside a mark in a name without changing what it says
+BESIDE = frozenset(
+    "bar block box bottom button buttons col column container content group head inner item items label left link links list "
+    "main module outer page panel primary right row section site slot small text title top unit wrap wrapper".split()
+)
+# Text outside elements for articles that outweighs theirs so many times is the article
+CARDS = 3
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 MAIN = frozenset("article main".split())
 
@@ -76,8 +83,10 @@ class Block:
 def blocks(page: str, paths: Counter | None = None) -> list[Block]:
     """The blocks of a page in order; ``paths`` counts its elements by path."""
     out: list[Block] = []
-    # Open elements: name, path, marked as other, inside the main part, inside an article's header
-    stack: list[tuple[str, str, bool, bool, bool]] = [("", "", False, False, False)]
+    # Open elements: name, path, other by its kind, by its name, inside the main part, inside an article's header
+    stack: list[tuple[str, str, bool, bool, bool, bool]] = [("", "", False, False, False, False)]
+    # Elements of one kind in one element so far
+    siblings: Counter = Counter()
     parts: list[str] = []
     linked = links = position = 0
 
@@ -86,8 +95,8 @@ def blocks(page: str, paths: Counter | None = None) -> list[Block]:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                _, path, other, main, _ = next(x for x in reversed(stack) if x[0] not in INLINE)
-                out.append(Block(path, text, other, main, links))
+                _, path, by_kind, by_name, main, _ = next(x for x in reversed(stack) if x[0] not in INLINE)
+                out.append(Block(path, text, by_kind or by_name, main, links))
             parts.clear()
         links = 0
 
@@ -124,7 +133,7 @@ def blocks(page: str, paths: Counter | None = None) -> list[Block]:
             continue
         if not inline:
             _imply_ends(stack, name, close)
-        entry = _entered(stack[-1], name, found[3])
+        entry = _entered(stack[-1], name, found[3], siblings)
         if paths is not None:
             paths[entry[1]] += 1
         if name in VOID or found[3].endswith("/") and name not in RAW and not inline and name in ("svg", "math", "path"):
@@ -153,14 +162,24 @@ def _imply_ends(stack: list, name: str, close) -> None:
                 break
 
 
-def _entered(parent: tuple, name: str, attributes: str) -> tuple[str, str, bool, bool, bool]:
-    _, path, other, main, in_header = parent
+def _named_mark(names: list[str]) -> bool:
+    """Whether a class or id says that this is not the article: all its words are marks, or stand beside one."""
+    for name in names:
+        words = set(_WORDS.findall(_CAMEL.sub(" ", name).lower()))
+        if words & MARKS and words <= MARKS | BESIDE:
+            return True
+    return False
+
+
+def _entered(parent: tuple, name: str, attributes: str, siblings: Counter) -> tuple[str, str, bool, bool, bool, bool]:
+    """The element's entry. Its path has its number among equal siblings, so that each item of a menu is a token."""
+    _, path, by_kind, by_name, main, in_header = parent
     marks, hidden, role, body = [], False, "", False
     if attributes:
         for match in _ATTRIBUTE.finditer(attributes):
             key, value = match[1].lower(), match[2] or match[3] or match[4] or ""
             if key in ("class", "id"):
-                marks.append(value)
+                marks += value.split()
             elif key == "role":
                 role = value.lower()
             elif key == "itemprop":
@@ -168,18 +187,21 @@ def _entered(parent: tuple, name: str, attributes: str) -> tuple[str, str, bool,
             elif key == "hidden" or value.lower() == "true":
                 hidden = True
     here = f"{path}>{name}" + (f".{'.'.join(marks)}" if marks else "")
-    words = set(_WORDS.findall(_CAMEL.sub(" ", " ".join(marks)).lower())) if marks else ()
+    siblings[here] += 1
+    here = f"{here}:{siblings[here]}"
     is_main = name in MAIN or role in ("main", "article") or body
-    if name == "header" and main and not MARKS.intersection(words):
+    marked = bool(marks) and name not in ("html", "body") and _named_mark(marks)
+    if name == "header" and main and not marked:
         in_header = True
-    apart = name in OTHER or role in ROLES or hidden or (name not in ("html", "body") and not is_main and bool(MARKS.intersection(words)))
-    if is_main and MARKS.intersection(words) & {"comment", "comments", "reply", "replies", "ad", "ads", "promo", "related", "sponsored"}:
-        apart = True
+    kind = name in OTHER or role in ROLES or hidden
     # An article's own header gives its title
-    other = (other or apart) if not (in_header and name in ("header", "hgroup", "div")) else other
+    if not (in_header and name in ("header", "hgroup", "div")):
+        by_kind = by_kind or kind
+        # The article counts whatever the names of what is around it say
+        by_name = marked if is_main and not by_kind else by_name or marked
     if in_header and name not in HEADINGS and name not in INLINE and name not in ("header", "hgroup", "div"):
-        other = True
-    return name, here, other, main or (is_main and not other), in_header
+        by_kind = True
+    return name, here, by_kind, by_name, main or (is_main and not by_kind and not by_name), in_header
 
 
 def host(url: str) -> str:
@@ -220,15 +242,17 @@ def templates(pages: DataFrame, share: float = 0.5, least: int = 5) -> DataFrame
 
     An occurrence vector is held as its length and a sum of hashes of its entries, so that it
     needs no list of pages, however many a host has. ``share``: of the host's different pages
-    must have a class; ``least``: so many pages, at least. Pages equal in address and text count once.
+    must have a class; ``least``: so many pages, at least, and two. Pages equal in address and text count once.
     """
     marked = pages.select("url", "html", F.xxhash64("url", "html").alias("mark"))
     rows = marked.mapInArrow(_token_rows, "host string, page bigint, token bigint, inside bigint, is_text boolean, n bigint")
     entry = F.xxhash64("page", "n").cast("decimal(38,0)")
     vectors = rows.groupBy("host", "token", "inside", "is_text").agg(F.count("*").alias("support"), F.sum(entry).alias("vector"))
+    vectors = stage(vectors.where(F.col("support") > 1), "vectors")
     # A host has at most as many frequent tokens as its pages have tokens, over the share
     sizes = vectors.groupBy("host").agg(F.max("support").alias("pages"))
-    frequent = stage(vectors.join(sizes, "host").where((F.col("support") >= least) & (F.col("support") >= F.col("pages") * share)), "tokens")
+    frequent = stage(vectors.join(sizes, "host").where((F.col("support") >= max(least, 2)) & (F.col("support") >= F.col("pages") * share)), "tokens")
+    discard(vectors)
     classes = frequent.groupBy("host", "support", "vector").agg(F.min("token").alias("class"))
     placed = frequent.join(classes, ["host", "support", "vector"]).select("host", "class", "token", "inside", "is_text", "pages")
     valid = _nested(placed)
@@ -251,12 +275,16 @@ def _nested(placed: DataFrame) -> DataFrame:
 def main_text(page: str, fixed: frozenset[int] | set[int] = frozenset()) -> str:
     """Text of the slots that hold the article; ``fixed``: texts of the host's template."""
     found = [b for b in blocks(page) if not b.other]
-    main = [b for b in found if b.main]
-    # Without an element for the article, blocks that are links are taken for menus
-    rest = main or [b for b in found if 2 * b.links < len(b.text) or not b.links]
-    slots = [b for b in rest if digest(f"{b.path}\0{b.text}") not in fixed] if fixed else rest
+    slots = [b for b in found if digest(f"{b.path}\0{b.text}") not in fixed] if fixed else found
     # A page that says only what others of its host say too is content all the same
-    return "\n\n".join(b.text for b in slots or rest)
+    slots = slots or found
+    main = [b for b in slots if b.main]
+    # Without an element for the article, blocks that are links are taken for menus
+    rest = [b for b in slots if not b.main and (2 * b.links < len(b.text) or not b.links)]
+    # Cards beside a body that no element names are not the article
+    if main and sum(len(b.text) for b in rest) <= CARDS * sum(len(b.text) for b in main):
+        return "\n\n".join(b.text for b in main)
+    return "\n\n".join(b.text for b in rest or slots)
 
 
 def extracted(pages: DataFrame, share: float = 0.5, least: int = 5) -> DataFrame:

@@ -511,3 +511,60 @@ def test_next_row(spark):
     one = sketches.with_next(df.where("text = 'last'"), ["text"]).collect()
     assert [r.next.text for r in one] == ["last"]
     assert sketches.with_next(df.limit(0), ["text"]).count() == 0
+
+
+# Pages whose template has no names
+
+
+def plain_pages(n):
+    """Pages of one host in plain elements: four menu items, two lines of story, two lines of footer."""
+    menu = "".join(f"<li><a href='/{m}'>{m}</a></li>" for m in ("Home", "World", "Sport", "About us"))
+    for i in range(n):
+        story = f"<div><p>Story {i} begins here.</p><p>It ends after {i * 7} words.</p></div>"
+        yield f"<html><body><div><ul>{menu}</ul></div>{story}<div><p>Made by us.</p><p>All rights kept.</p></div></body></html>"
+
+
+def test_template_of_a_host_without_names(spark):
+    rows = [(i, f"https://plain.example/{i}", page) for i, page in enumerate(plain_pages(12))]
+    rows += [(100 + i, f"https://few.example/{i}", page) for i, page in enumerate(plain_pages(2))]
+    out = {r.page_id: r.text for r in templates.extracted(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()}
+    for i in range(12):
+        assert out[i] == f"Story {i} begins here.\n\nIt ends after {i * 7} words."
+    # Two pages make no template
+    assert out[100].endswith("All rights kept.")
+
+
+def brute_template(pages):
+    """Texts that lie in elements with the same occurrences on the pages, all of whose tokens lie in such elements."""
+    vectors, inside = {}, {}
+    for number, page in enumerate(pages):
+        for (token, holder, is_text), n in templates.tokens(page).items():
+            vectors.setdefault((token, is_text), {})[number] = n
+            inside[token, is_text] = holder
+    frequent = {t: tuple(sorted(v.items())) for t, v in vectors.items() if len(v) >= max(5, len(pages) * 0.5)}
+    elements = {t for t, is_text in frequent if not is_text} | {templates.digest("")}
+    bad = {vector for t, vector in frequent.items() if inside[t] not in elements}
+    return {
+        t for (t, is_text), vector in frequent.items()
+        if is_text and vector not in bad and frequent.get((inside[t, True], False)) == vector
+    }
+
+
+def test_classes_as_by_brute_force(spark):
+    pages = list(plain_pages(9)) + ["<html><body><div><ul><li>Home</li></ul></div><p>alone</p></body></html>"]
+    df = spark.createDataFrame([(f"https://a.example/{i}", p) for i, p in enumerate(pages)], "url string, html string")
+    (found,) = templates.templates(df).collect()
+    assert set(found.texts) == brute_template(pages) and len(found.texts) >= 5
+
+
+@pytest.mark.parametrize("name", ["has-sidebar", "no-sidebar", "with-ads", "page-header-fixed", "search-result-page", "social-studies", "sidebar"])
+def test_names_around_an_article_do_not_lose_it(name):
+    inner = "<p>Real text.</p><p class='notice-of-rights'>Rights.</p><table class='share-prices'><tr><td>1</td></tr></table>"
+    page = f"<body><div class='layout {name}' id='{name}'><article>{inner}<div class='comments'>First!</div></article></div></body>"
+    assert templates.main_text(page) == "Real text.\n\nRights.\n\n1"
+
+
+def test_cards_beside_a_body():
+    body = "<p>" + "The body of the page says much. " * 20 + "</p><p>And a list of <a href='/x'>sources</a>.</p>"
+    page = f"<body><div>{body}</div><article><p>Another page</p></article></body>"
+    assert templates.main_text(page).startswith("The body") and "sources" in templates.main_text(page)
