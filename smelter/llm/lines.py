@@ -6,7 +6,10 @@ its 2^k-line classes here and 2^k lines further. A class holds the suffixes that
 prefix, as an interval of longest common prefixes does; it is named by its first occurrence in
 the corpus, so that "is there an earlier copy" needs no further look, and positions whose class
 has one member are dropped from later rounds, so that these work on what repeats only.
-A run counts from ``min_words`` words on; runs that overlap or touch make a longer one.
+A run counts from ``min_words`` words on, and goes whole, to the last line that its copy has too; runs
+that overlap or touch make a longer one. A long run is that of its parts: those from each line on of
+the fewest lines with enough words, and with each line more until those behind the first have enough
+of their own. So no part is longer than ``min_words`` lines, and doubling ends there.
 """
 
 from __future__ import annotations
@@ -68,19 +71,25 @@ def copied_runs(texts: DataFrame, min_words: int) -> DataFrame:
     islands = islands.withColumn("ahead", F.coalesce(F.sum("words").over(before), F.lit(0)))
     # The fewest lines from here that have enough words: all that begin within as many words
     reach = Window.partitionBy(*DOC, "island").orderBy("ahead").rangeBetween(0, min_words - 1)
+    # This line, and those that end before as many words have followed it
+    islands = islands.withColumn("until", F.col("ahead") + F.col("words"))
+    few = Window.partitionBy(*DOC, "island").orderBy("until").rangeBetween(0, min_words - 1)
+    following = Window.partitionBy(*DOC, "island").orderBy("seq").rowsBetween(0, min_words - 1)
     level = islands.select(
         *DOC, "seq", "name", "pos",
         F.count("*").over(reach).cast("int").alias("length"),
         F.sum("words").over(reach).alias("reached"),
-        (F.max("pos").over(reach) + 1).alias("end"),
+        F.count("*").over(few).cast("int").alias("longest"),
+        F.collect_list(F.col("pos") + 1).over(following).alias("ends"),
     )
     level = level.withColumn("length", F.when(F.col("reached") >= min_words, F.col("length"))).drop("reached")
+    level = level.withColumn("longest", F.when(F.col("length").isNotNull(), F.greatest("length", "longest")))
     found, size = [], 1
     while True:
         level = stage(level, "classes")
         found.append(_copies(level, size))
         size *= 2
-        if (level.agg(F.max("length")).first()[0] or 0) < size:
+        if (level.agg(F.max("longest")).first()[0] or 0) < size:
             break
         level = _doubled(level, size // 2)
     spans = found[0]
@@ -126,7 +135,9 @@ def _copies(level: DataFrame, size: int) -> DataFrame:
 
     Two classes of ``size`` lines, from the run's first line and up to its last, stand for it.
     """
-    runs = level.where((F.col("length") >= size) & (F.col("length") < 2 * size))
+    lengths = F.sequence(F.greatest("length", F.lit(size)), F.least("longest", F.lit(2 * size - 1)))
+    runs = level.where((F.col("longest") >= size) & (F.col("length") < 2 * size))
+    runs = runs.withColumn("length", F.explode(lengths)).withColumn("end", F.get("ends", F.col("length") - 1)).drop("ends", "longest")
     tail = level.select(F.col(DOC[0]).alias("_d"), F.col(DOC[1]).alias("_m"), F.col("seq").alias("at"), F.col("name").alias("tail"))
     same = (F.col(DOC[1]) == F.col("_m")) & F.col(DOC[0]).eqNullSafe(F.col("_d")) & (F.col("seq") + F.col("length") - size == F.col("at"))
     runs = runs.join(tail, same).select(*DOC, "seq", "pos", "end", "length", F.col("name").alias("head"), "tail")

@@ -6,7 +6,7 @@ token counts their models, scores zstandard: tests hold these against brute forc
 
 from __future__ import annotations
 
-# A window of lines is the shortest run from a line on that has five words
+# All runs of five words or more that an earlier place has too; a longer run is made of such of up to five lines
 OP3 = r"""
 WITH lines AS (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos
@@ -20,10 +20,8 @@ WITH lines AS (
     FROM worded a JOIN worded b ON b.doc_id = a.doc_id AND b.seq BETWEEN a.seq AND a.seq + 4
     JOIN worded c ON c.doc_id = a.doc_id AND c.seq BETWEEN a.seq AND b.seq
     GROUP BY ALL HAVING sum(c.words) >= 5
-), windows AS (
-    SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id, seq ORDER BY last) = 1
 ), copies AS (
-    SELECT * FROM windows
+    SELECT * FROM runs
     QUALIFY row_number() OVER (PARTITION BY content ORDER BY doc_id, seq) > 1
 ), removed AS (
     SELECT DISTINCT l.doc_id, l.pos FROM lines l JOIN copies c ON l.doc_id = c.doc_id AND l.pos BETWEEN c.start_pos AND c.end_pos

@@ -129,11 +129,16 @@ def repeated_spans(texts: DataFrame, width: int = WIDTH, shard_bytes: int = SHAR
     found = stage(map_batches(keyed, lambda: _found(width, seed), schema), "segments")
     # Hashes that occur twice. Their shard is named by the least of their texts, so that hashes of the
     # same texts share a shard, and neighbours travel as one segment
-    shared = found.groupBy("key").agg(F.sum("weight").alias("n"), F.min("mark").alias("shard")).where("n > 1").drop("n")
+    shared = found.groupBy("key").agg(F.sum("weight").alias("n"), F.min("mark").alias("shard")).where("n > 1")
     shared = stage(shared, "shared")
-    wanted = found.join(shared, "key").groupBy("id", "mark")
+    # One text may share something with a third of all: hashes of such a shard are dealt out one by one
+    runs_of_shard = max(1, 2 * shard_bytes // (width - seed + 1))
+    hot = shared.groupBy(F.col("shard").alias("hot")).agg(F.sum("n").alias("runs")).where(F.col("runs") > runs_of_shard)
+    parted = shared.join(hot, F.col("shard") == F.col("hot"), "left")
+    dealt = stage(parted.select("key", F.when(F.col("hot").isNull(), F.col("shard")).otherwise(F.col("key")).alias("shard")), "dealt")
+    wanted = found.join(dealt, "key").groupBy("id", "mark")
     wanted = stage(wanted.agg(F.sort_array(F.collect_set(F.struct("start", "count", "shard", "key"))).alias("at")), "wanted")
-    discard(found, shared)
+    discard(found, shared, dealt)
     cut = keyed.join(wanted.withColumnsRenamed({"id": "i", "mark": "m"}), (F.col("mark") == F.col("m")) & F.col("id").eqNullSafe(F.col("i")))
     schema = texts.select("id", "mark").withColumns({c: F.lit(0).cast("bigint") for c in ("shard", "a", "b", "start", "n_bytes")}).withColumn("content", F.lit(None).cast("binary")).schema
     cut = stage(map_batches(cut.select("text", "at", "id", "mark"), lambda: _cut(width), schema), "cut")
