@@ -1,5 +1,6 @@
 """Operators on small tables: nulls, empty and long texts, ties, repeats, empty tables, clashing names."""
 
+import math
 import random
 
 import numpy as np
@@ -278,6 +279,51 @@ def test_targets(spark):
     assert out["b"] / out["c"] == pytest.approx(2) and out[None] / out["c"] == pytest.approx(2)
 
 
+def test_rates_solve_the_dual(spark):
+    """Against bisection; sources that are full or have no target aren't tilted."""
+    groups = {
+        "less": ([(s, 1 + s % 3) for s in range(1, 60)], 0.4), "more": ([(s, 1) for s in range(0, 400, 7)], 1.7),
+        "nearly": ([(1, 50), (5000, 1)], 1.999), "same": ([(9, 4)], 1.3), None: ([(3, 2), (11, 5)], 0.01),
+        "full": ([(5, 5)], 2.0), "none": ([(7, 7)], 0.0),
+    }
+    rows = [(g, s, n) for g, (sizes, _) in groups.items() for s, n in sizes]
+    goals = []
+    for g, (sizes, share) in groups.items():
+        size = sum(s * n for s, n in sizes)
+        goals.append((g, size, share * size))
+    classes = spark.createDataFrame(rows, "source string, size bigint, n bigint")
+    got = mixing.rates(classes, spark.createDataFrame(goals, "source string, source_size bigint, target double"), near=1e-9).collect()
+    assert len(got) == len(groups)
+    for r in got:
+        sizes = groups[r.source][0]
+        if r.source in ("full", "none"):
+            assert r.x is None
+            continue
+
+        def words(x):
+            return sum(n * s * (2 if x * s > math.log(2) else math.exp(x * s)) for s, n in sizes)
+
+        low, high = -50.0, 50.0
+        for _ in range(200):
+            middle = (low + high) / 2
+            low, high = (middle, high) if words(middle) < r.target else (low, middle)
+        assert abs(words(r.x / r.typical) - r.target) <= 0.5 + 1e-9 * r.target
+        assert (r.x > 0) == (low > 0)
+        if r.source == "less":
+            assert r.x / r.typical == pytest.approx(low, rel=1e-2)
+
+
+def test_rates_differ_by_document(spark):
+    rows = [(i, noise(i, 1 + i % 97), "a" if i % 4 else "b") for i in range(1200)]
+    got = mixing.mix(docs(spark, rows), mixing.word_count(F.col("text"))).collect()
+    for source, more in (("a", True), ("b", True)):
+        found = [r for r in got if r.source == source and r.target < 2 * r.source_size]
+        twice, once = ([r["size"] for r in found if r.copies == c] for c in (2, 1))
+        if twice and once:
+            assert (sum(twice) / len(twice) > sum(once) / len(once)) == more
+    assert any(r.target < 2 * r.source_size for r in got)
+
+
 def test_mix_odd_rows(spark):
     rows = ODD + [(100 + i, noise(i, 1 + i % 60), "d") for i in range(400)] + [(900, "same text", "e")] * 60
     df = docs(spark, rows).withColumn("Copies", F.lit("x"))
