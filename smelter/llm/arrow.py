@@ -26,13 +26,16 @@ def map_batches(df: DataFrame, build: Callable[[], Callable], schema: StructType
     that what a function makes of one stays small; those without rows are passed over.
     """
 
+    names = df.columns
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = build()
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(pa.RecordBatch.from_arrays(batch.columns, names=names)):
                 yield function(part)
 
-    return df.mapInArrow(run, schema)
+    # Spark's call can't take names with dots or backticks
+    return df.toDF(*[f"_column_{i}" for i in range(len(names))]).mapInArrow(run, schema)
 
 
 def texts_of(column: pa.Array) -> Iterator[str]:

@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from smelter.llm.columns import Aside, quoted
 from smelter.scratch import stage
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -34,8 +35,9 @@ def deduplicate_lines(docs: DataFrame, min_words: int = 5, text: str = "text", k
     """
     if min_words < 1:
         raise ValueError("min_words must be at least 1")
-    names = [c for c in docs.columns if c.lower() not in ("n_lines", "removed_lines")]
-    marked = docs.select(*names, F.col(key).alias(DOC[0]), F.xxhash64(*names).alias(DOC[1]))
+    aside = Aside(docs, "n_lines", "removed_lines")
+    marked = docs.select(*aside.away, *[c.alias(DOC[0]) for c in quoted([key])], F.xxhash64(*quoted(aside.names)).alias(DOC[1]))
+    text = aside[text]
     runs = copied_runs(marked.select(*DOC, F.col(text).alias("text")), min_words)
     spans = runs.groupBy(*DOC).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_spans"))
     spans = spans.select(F.col(DOC[0]).alias("_d"), F.col(DOC[1]).alias("_m"), "_spans")
@@ -52,9 +54,12 @@ def deduplicate_lines(docs: DataFrame, min_words: int = 5, text: str = "text", k
     kept = F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), count), between)), "\n")
     removed = F.aggregate("_spans", F.lit(0), lambda n, s: n + s["end"] - s["start"])
     joined = joined.withColumn("_lines", lines)
-    return joined.select(
-        *[F.when(F.col("_spans").isNull(), F.col(text)).otherwise(kept).alias(text) if c == text else F.col(c) for c in names],
-        F.when(F.col(text).isNull(), 0).otherwise(F.size("_lines")).alias("n_lines"),
+    n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.size("_lines"))
+    left = F.when(F.col("_spans").isNull(), F.col(text)).otherwise(kept)
+    counted = joined.select("*", n_lines.alias("n_lines"), left.alias("_left")).drop(text).withColumnRenamed("_left", text)
+    return counted.select(
+        *aside.back,
+        "n_lines",
         F.coalesce(removed, F.lit(0)).alias("removed_lines"),
     )
 

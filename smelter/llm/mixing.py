@@ -15,6 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from smelter.llm.columns import Aside, quoted
 from smelter.scratch import discard, stage
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -123,14 +124,14 @@ def mix(docs: DataFrame, size: Column, source: str = "source", key: str = "doc_i
     taken once, ``most`` times where their source gives all it can, and not at all without a target.
     Columns of the new names are replaced. No rows: no rows.
     """
-    new = ("size", "source_size", "target", "copies")
-    names = [c for c in docs.columns if c.lower() not in new]
-    sized = docs.select(*names, size.alias("size"))
+    aside = Aside(docs, "size", "source_size", "target", "copies")
+    source, key = aside[source], aside[key]
+    sized = docs.select(*aside.away, size.alias("size"))
     plain = sized.select(F.col(source).alias("source"), "size")
     classes = stage(plain.groupBy("source", "size").agg(F.count("*").alias("n")), "classes")
     goals = targets(classes.select("source", (F.col("size") * F.col("n")).alias("size")), weights, share, most)
     taken = stage(_class_copies(classes, rates(classes, goals, most), most), "copies")
-    return _dealt(sized, taken, source, key, names)
+    return _dealt(sized, taken, source, key).select(*aside.back, "size", "source_size", "target", "copies")
 
 
 def _class_copies(classes: DataFrame, goals: DataFrame, most: int) -> DataFrame:
@@ -188,7 +189,7 @@ def _swapped(rows: DataFrame, most: int) -> DataFrame:
     return joined.withColumn("total", F.col("total") + change).drop("gap", "best")
 
 
-def _dealt(sized: DataFrame, taken: DataFrame, source: str, key: str, names: list[str]) -> DataFrame:
+def _dealt(sized: DataFrame, taken: DataFrame, source: str, key: str) -> DataFrame:
     """Each class's copies dealt to its documents: all get as many, those first by hash one more."""
     parts = F.ceil(F.col("n") / BUCKET).cast("int")
     taken = taken.select(
@@ -208,9 +209,9 @@ def _dealt(sized: DataFrame, taken: DataFrame, source: str, key: str, names: lis
     order = Window.partitionBy("_s", "size", "_part").orderBy("_hash", key)
     nth = F.coalesce("_ahead", F.lit(0)) + F.row_number().over(order) - 1
     copies = F.col("_each") + F.when(nth < F.col("_more"), 1).otherwise(0)
-    return rows.select(*names, "size", "source_size", "target", copies.cast("int").alias("copies"))
+    return rows.withColumn("copies", copies.cast("int"))
 
 
 def copied(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """Each document as often as the mix takes it; those it doesn't take are gone."""
-    return mixed.where("copies > 0").select(*columns, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_nth")).drop("_nth")
+    return mixed.where("copies > 0").withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*quoted(columns))

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smelter.llm.arrow import Memo, map_batches, texts_of
+from smelter.llm.columns import quoted
 
 SPACE = "▁"
 # Known words and pairs of a worker, the longest word that is kept, characters taken at once
@@ -226,7 +227,7 @@ def encoded(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", ch
     new = [ids] if checked is None else [ids, checked]
     keep = [c for c in docs.columns if c.lower() not in [n.lower() for n in new]]
     kinds = {ids: F.array().cast("array<int>")} | ({checked: F.lit(True)} if checked else {})
-    schema = docs.select(keep).withColumns(kinds).schema
+    schema = docs.select(*quoted(keep)).withColumns(kinds).schema
 
     def build():
         model = pieces(path)
@@ -246,7 +247,7 @@ def encoded(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", ch
 
         return add
 
-    return map_batches(docs.select(keep), build, schema)
+    return map_batches(docs.select(*quoted(keep)), build, schema)
 
 
 def decoded(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -256,7 +257,7 @@ def decoded(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
     same name is replaced.
     """
     keep = [c for c in rows.columns if c.lower() != text.lower()]
-    schema = rows.select(keep).withColumn(text, F.lit("").cast("string")).schema
+    schema = rows.select(*quoted(keep)).withColumn(text, F.lit("").cast("string")).schema
 
     def build():
         decode = pieces(path).decode
@@ -270,4 +271,4 @@ def decoded(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
 
         return add
 
-    return map_batches(rows.select(keep), build, schema)
+    return map_batches(rows.select(*quoted(keep)), build, schema)

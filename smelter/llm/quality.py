@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smelter.llm.arrow import map_batches, text_bytes
+from smelter.llm.columns import quoted
 from smelter.scratch import stage
 
 # Labelled rows used at most of each class, half for the dictionary and half for calibration;
@@ -143,7 +144,7 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     new names are replaced.
     """
     keep = [c for c in docs.columns if c.lower() not in ("score", "predicted")]
-    schema = docs.select(keep).withColumns({"score": F.lit(0.0), "predicted": F.lit(1)}).schema
+    schema = docs.select(*quoted(keep)).withColumns({"score": F.lit(0.0), "predicted": F.lit(1)}).schema
 
     def build():
         measure = Measure(model.good, model.bad) if model.low else None
@@ -161,4 +162,4 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
         return add
 
-    return map_batches(docs.select(keep), build, schema)
+    return map_batches(docs.select(*quoted(keep)), build, schema)

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from smelter.llm.columns import Aside
 from smelter.scratch import stage
 
 LEAST, MOST = -(1 << 63), (1 << 63) - 1
@@ -64,9 +65,9 @@ def shard_rows(
     NULL groups and keys are values like any other. Columns of the same names are replaced.
     No rows: no rows. With fewer rows than shards, some shards are empty.
     """
-    names = [c for c in df.columns if c.lower() not in ("shard", "slot")]
+    aside = Aside(df, "shard", "slot")
     rows = df.select(
-        *names, size.cast("bigint").alias("_size"), F.xxhash64(group).alias(LEVELS[0]), F.xxhash64(group, key).alias(LEVELS[1])
+        *aside.away, size.cast("bigint").alias("_size"), F.xxhash64(group).alias(LEVELS[0]), F.xxhash64(group, key).alias(LEVELS[1])
     )
     # Written once: the number of a row must not change if a task runs again
     rows = stage(rows.withColumn(LEVELS[2], F.monotonically_increasing_id()), "sized")
@@ -83,7 +84,7 @@ def shard_rows(
     offsets = sums.withColumn("shard", shard).select("_part", "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_offset"))
     within = F.row_number().over(Window.partitionBy("_part").orderBy(*LEVELS)) - 1
     out = placed.withColumn("_within", within).join(F.broadcast(offsets), "_part")
-    return out.select(*names, "shard", (F.col("_offset") + F.col("_within")).alias("slot"))
+    return out.select(*aside.back, "shard", (F.col("_offset") + F.col("_within")).alias("slot"))
 
 
 def splitters(rows: DataFrame, targets: list[int], tolerance: float, probes: int) -> list[tuple[int, int, int]]:

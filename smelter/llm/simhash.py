@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from smelter.llm.arrow import map_batches, text_bytes
+from smelter.llm.columns import quoted
 from smelter.llm.components import components
 from smelter.scratch import stage
 
@@ -77,7 +78,7 @@ def with_fingerprint(df: DataFrame, text: str = "text", column: str = "fp", widt
 
         return add
 
-    return map_batches(df.select(text, *keep), build, schema)
+    return map_batches(df.select(*quoted([text, *keep])), build, schema)
 
 
 def ring(distance: int) -> list[int]:
@@ -208,11 +209,10 @@ def one_of_each(docs: DataFrame, distance: int = 3, width: int = 3) -> DataFrame
 
 def first_of_each(docs: DataFrame, grouped: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """As ``one_of_each``; ``grouped`` gives rows (text, doc_id) their component_id."""
-    mark = F.xxhash64(*docs.columns)
+    mark = F.xxhash64(*quoted(docs.columns))
     groups = grouped(docs.select("text", F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", mark.alias("mark")).alias("doc_id")))
     kept = groups.where("doc_id = component_id").select(F.col("doc_id.doc_id").alias("kept_id"), F.col("doc_id.mark").alias("kept_mark")).distinct()
-    names = docs.columns
-    marked = docs.select(F.struct(*names).alias("row"), F.col("doc_id").alias("id"), mark.alias("mark"))
+    marked = docs.select(F.struct(*quoted(docs.columns)).alias("row"), F.col("doc_id").alias("id"), mark.alias("mark"))
     found = marked.join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("mark") == F.col("kept_mark")), "left_semi")
     first = Window.partitionBy("id", "mark").orderBy("mark")
     return found.withColumn("nth", F.row_number().over(first)).where("nth = 1").select("row.*")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from smelter.llm.columns import Aside
 from smelter.scratch import stage
 
 BLANK = r"[\x20\x09-\x0D]+"
@@ -85,13 +86,15 @@ def with_next(docs: DataFrame, columns: list[str], key: str = "doc_id", parts: i
     Rows are dealt out by ranges of the key, and the first row of each range is handed to the
     range before it, so that no task has all rows.
     """
-    spark = docs.sparkSession
+    spark, aside = docs.sparkSession, Aside(docs, "next")
+    key, inner = aside[key], [aside[c] for c in columns]
+    docs = docs.select(*aside.away)
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = [i / parts for i in range(1, parts)]
     bounds = docs.agg(F.percentile_approx(key, cuts, 10000)).first()[0] if cuts else []
     bounds = F.array(*[F.lit(b) for b in sorted(set(bounds or []))]).cast("array<bigint>")
     count = F.when(F.col(key).isNull(), parts).otherwise(F.size(F.filter(bounds, lambda b: b <= F.col(key))))
-    placed = docs.withColumn("_range", count).withColumn("_order", F.struct(F.col(key).isNull().alias("last"), F.col(key).alias("key"), F.xxhash64(*columns).alias("h")))
+    placed = docs.withColumn("_range", count).withColumn("_order", F.struct(F.col(key).isNull().alias("last"), F.col(key).alias("key"), F.xxhash64(*inner).alias("h")))
     heads = placed.groupBy("_range").agg(F.min("_order").alias("head"))
     # One row for each range
     order = Window.orderBy("_range")
@@ -104,8 +107,8 @@ def with_next(docs: DataFrame, columns: list[str], key: str = "doc_id", parts: i
     lent = F.array(F.struct(F.col("_before").alias("range"), F.lit(True).alias("lent")))
     twice = joined.withColumn("_at", F.explode(F.when(F.col("_before").isNull(), places).otherwise(F.concat(places, lent))))
     follow = Window.partitionBy("_at.range").orderBy("_at.lent", "_order")
-    out = twice.withColumn("next", F.lead(F.struct(*columns)).over(follow)).where(~F.col("_at.lent"))
-    return out.select(*docs.columns, "next")
+    out = twice.withColumn("next", F.lead(F.struct(*[F.col(i).alias(c) for c, i in zip(columns, inner)])).over(follow)).where(~F.col("_at.lent"))
+    return out.select(*aside.back, "next")
 
 
 def half_replaced(text: Column, other: Column) -> Column:

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smelter.llm.arrow import texts_of
+from smelter.llm.columns import Aside, quoted
 from smelter.scratch import discard, stage
 
 # Elements of the HTML standard by what they do
@@ -295,10 +296,11 @@ def extracted(pages: DataFrame, share: float = 0.5, least: int = 5) -> DataFrame
     the new names are replaced.
     """
     keep = [c for c in pages.columns if c != "html" and c.lower() not in ("text", "n_chars")]
-    schema = pages.select(keep).withColumns({"text": F.lit(""), "n_chars": F.lit(0).cast("bigint")}).schema
+    schema = pages.select(*quoted(keep)).withColumns({"text": F.lit(""), "n_chars": F.lit(0).cast("bigint")}).schema
     fixed = stage(templates(pages, share, least), "templates").withColumnRenamed("host", "_host")
-    named = pages.select("html", *keep, _host_of(F.col("url")).alias("_name"))
-    joined = named.join(fixed, F.col("_name") == F.col("_host"), "left").select("html", "texts", *keep)
+    aside = Aside(pages.select(*quoted(keep)))
+    named = pages.select("html", *aside.away, _host_of(F.col("url")).alias("_name"))
+    joined = named.join(fixed, F.col("_name") == F.col("_host"), "left").select("html", "texts", *[aside[c] for c in keep])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

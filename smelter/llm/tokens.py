@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smelter.llm.arrow import map_batches, text_bytes
+from smelter.llm.columns import quoted
 
 # Bytes of text that are split, and bytes of pieces that are encoded, at once
 BLOCK_BYTES = 1 << 20
@@ -100,7 +101,7 @@ def token_counts(docs: DataFrame, path: str, text: str = "text", limit: int = 20
         raise ValueError("the tokenizer's tokens reach over blanks")
     new = ("n_bytes", "n_tokens", "over_limit")
     keep = [c for c in docs.columns if c != text and c.lower() not in new]
-    schema = docs.select(keep).withColumns({"n_bytes": F.lit(0).cast("bigint"), "n_tokens": F.lit(0).cast("bigint"), "over_limit": F.lit(True)}).schema
+    schema = docs.select(*quoted(keep)).withColumns({"n_bytes": F.lit(0).cast("bigint"), "n_tokens": F.lit(0).cast("bigint"), "over_limit": F.lit(True)}).schema
 
     def build():
         count = counter(path).count
@@ -133,7 +134,7 @@ def token_counts(docs: DataFrame, path: str, text: str = "text", limit: int = 20
 
         return add
 
-    return map_batches(docs.select(text, *keep), build, schema)
+    return map_batches(docs.select(*quoted([text, *keep])), build, schema)
 
 
 def blank_safe(path: str) -> bool:
