@@ -69,7 +69,7 @@ def _bit_counts(hashes: list[int]) -> np.ndarray:
 def with_fingerprint(df: DataFrame, text: str = "text", column: str = "fp", width: int = 3) -> DataFrame:
     """All columns but the text, and the fingerprint as a bigint. NULL counts as the empty text."""
     keep = [c for c in df.columns if c != text]
-    schema = df.select(keep).withColumn(column, F.lit(0).cast("bigint")).schema
+    schema = df.select(*quoted(keep)).withColumn(column, F.lit(0).cast("bigint")).schema
 
     def build():
         def add(batch: pa.RecordBatch) -> pa.RecordBatch:
