@@ -266,3 +266,25 @@ def test_whole_numbers_by_type(spark):
     assert [r.s for r in found] == [7, 8, 9, None, None]
     assert [r.l for r in found] == [7, 8, 9, None, None]
     assert [r.d for r in found] == [r.m for r in found] == [7, None, 9, None, None]
+
+
+def longest_method(df):
+    """Bytes of the longest method that Spark generates for a plan; the JVM compiles none beyond 8000."""
+    debug = getattr(df.sparkSession._jvm, "org.apache.spark.sql.execution.debug.package$")
+    stages = getattr(debug, "MODULE$").codegenStringSeq(df._jdf.queryExecution().sparkPlan())
+    planned = getattr(debug, "MODULE$").codegenStringSeq(df._jdf.queryExecution().executedPlan())
+    return max(seq.apply(i)._3().maxMethodCodeSize() for seq in (stages, planned) for i in range(seq.size()))
+
+
+def test_many_numbers_from_text_stay_in_short_methods(spark):
+    texts = spark.range(5).select(*[(F.col("id") + i).cast("string").alias(f"t{i}") for i in range(24)])
+    read = texts.select(*[whole(c, "long").alias(c) for c in texts.columns])
+    assert longest_method(read) < 8000
+    assert [tuple(r) for r in read.orderBy("t0").collect()] == [tuple(range(k, k + 24)) for k in range(5)]
+
+
+def test_whole_numbers_of_text_with_letters(spark):
+    texts = {"C12": None, "none": None, "12": 12, "1e3": 1000, " 1E2 ": 100, "7.0": 7, "7.5": None, "1f": None, "": None, "-3.": -3, None: None}
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n int, t string")
+    found = rows.select("n", whole("t", "long").alias("t")).orderBy("n").collect()
+    assert [r.t for r in found] == [*texts.values()]
