@@ -1,11 +1,13 @@
 """The filter by bits of keys: nothing lost, little let through, and merges that use it."""
 
+import time
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from smelter.operators.likely import bits_if_worth, key_bits, likely, upsert_likely
+from smelter.operators.likely import WORDS, _words, bits_if_worth, key_bits, likely, upsert_likely
 from smelter.operators.merge import merge_upsert
 from smelter.scratch import stage
 from smelter.sinks.tables import create_or_merge
@@ -96,3 +98,16 @@ def test_only_likely_rows_are_shuffled(spark, conf):  # noqa: F811
     assert text.index("BroadcastHashJoin") > exchange and "BroadcastHashJoin" not in text[:exchange]
     matched = batch.count()
     assert matched <= likely(target, bits, ["k"]).count() <= matched + 0.02 * target.count()
+
+
+def test_words_of_a_block(spark):
+    block = bytes(i * 37 % 256 for i in range(8 * WORDS))
+    rows = spark.range(0, 3000, 1, 8).select(F.lit(bytearray(block)).alias("bits"), "id")
+    # A block that differs by row, so that none is computed ahead
+    rows = rows.select(F.concat(F.substring("bits", 1, 8 * WORDS - 8), F.unhex(F.lpad(F.hex("id"), 16, "0"))).alias("bits"), "id")
+    begin = time.time()
+    found = rows.select("id", _words("bits").alias("w")).where("w[511] = id").agg(F.count("*"), F.min("w"), F.max("w")).first()
+    # 20 ms for each block when the whole block was made text for each word
+    assert time.time() - begin < 6
+    expected = [int.from_bytes(block[i * 8 : i * 8 + 8], "big", signed=True) for i in range(WORDS - 1)]
+    assert found[0] == 3000 and found[1] == [*expected, 0] and found[2] == [*expected, 2999]
