@@ -133,3 +133,13 @@ def test_orders_are_parsed_once(spark, conf):
         assert text.count("as timestamp)") == 1
     counted = reconcile(ORDERS.standardized(stored), order_rules())
     assert counted._jdf.queryExecution().optimizedPlan().toString().count("IN (COMPLETED") == 1
+
+
+def test_orders_are_read_once_for_an_order(spark):
+    """Text of an order's customer and time is made below the join with its lines."""
+    text = adapters.orders_src(spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    lines = text.splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    joins = [depth(line) for line in lines if "Join Inner" in line]
+    made = [depth(line) for line in lines if re.search(r"AS _order_timestamp#", line)]
+    assert len(joins) == 2 and made and min(made) > max(joins)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from smelter.operators.merge import untouched
+from smelter.sinks import tables
 from smelter.scratch import shared_folder, stage
 from smelter.sinks.tables import (
     create_or_merge,
@@ -296,3 +297,16 @@ def test_export(spark, tmp_path):
     export_parquet(frame(spark, [(2, "b", "y"), (3, "c", "y")]), folder, ["d"])
     read = spark.read.parquet(folder)
     assert rows(read.filter("d = 'c'").select("k")) == [(3,)]
+
+
+def test_a_new_table_is_written_once(spark, database, monkeypatch):
+    """The check of its keys reads the table's own files; a table that fails it isn't made."""
+    monkeypatch.setattr(tables, "stage", lambda *_: pytest.fail("written twice"))
+    name = f"{database}.fresh"
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
+    with pytest.raises(ValueError, match="more than once"):
+        create_or_merge(twice, name, ["k"])
+    assert not table_exists(spark, name)
+    once = spark.createDataFrame([(1, "a"), (None, "n"), (None, "n")], "k int, v string")
+    create_or_merge(once, name, ["k"])
+    assert sorted(map(str, spark.table(name).collect())) == sorted(map(str, once.collect()))
