@@ -4,7 +4,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from smelter import scratch
-from smelter.operators.merge import changes, load_audit, merge_insert, merge_upsert
+from smelter.operators.merge import changes, load_audit, merge_insert, merge_upsert, with_match
 from smelter.sinks.tables import create_or_merge, expire_versions
 
 DDL = "k int, v string"
@@ -240,3 +240,10 @@ def test_changes_by_columns_that_count(spark):
     after = frame(spark, [(1, "a"), (2, "b")]).withColumn("t", F.lit(2)).withColumn("w", F.lit("new"))
     assert listed(changes(before, after, ["k"], ["t", "w"])) == [(2, "insert", None, ("b", 2, "new"))]
     assert listed(changes(before, after, ["k"], ["t"]))[0][1] == "update"
+
+
+def test_rows_flagged_by_a_match(spark):
+    left = frame(spark, [(1, "a"), (1, "b"), (2, "c"), (None, "n")])
+    right = frame(spark, [(1, "x"), (1, "y"), (3, "z"), (None, "m")])
+    flagged = with_match(left, right, "k", "held").select("k", "v", "held")
+    assert rows(flagged) == [(1, "a", True), (1, "b", True), (2, "c", False), (None, "n", False)]
