@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smelter.scratch import stage
+from smelter.scratch import by_rows, stage
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -23,7 +23,7 @@ def components(links: DataFrame) -> DataFrame:
     links = stage(links.distinct(), "links")
     seen = _digest(links)
     while True:
-        links = stage(_small_star(_large_star(links)), "links")
+        links = stage(_small_star(_large_star(links, seen[0])), "links")
         now = _digest(links)
         if now == seen:
             break
@@ -34,10 +34,10 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame, number: int) -> DataFrame:
     ways = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = ways.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    moved = ways.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    moved = by_rows(ways.where("b > a"), number).join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.where("a != b").distinct()
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from smelter.llm.arrow import map_batches, text_bytes
 from smelter.llm.columns import quoted
 from smelter.llm.components import components
-from smelter.scratch import stage
+from smelter.scratch import by_rows, stage
 
 SEED = 42
 SPACE = b" \t\n\x0b\f\r"
@@ -98,7 +98,8 @@ def links(prints: DataFrame, distance: int = 3) -> DataFrame:
     keys = prints.select("fp").mapInArrow(_chain_keys(distance), "seg int, key bigint, fp bigint, own boolean")
     shared = keys.groupBy("seg", "key").agg(F.count("*").alias("n"), F.max("own").alias("met")).where("n > 1 and met")
     blocks = F.ceil(F.col("n") / TILE).cast("int")
-    met = keys.join(shared.drop("met"), ["seg", "key"]).select(
+    # Spark takes the keys to be as few as the fingerprints, of which each has dozens, and would broadcast them
+    met = keys.hint("merge").join(shared.drop("met"), ["seg", "key"]).select(
         "seg", "key", "fp", "own", F.pmod(F.xxhash64("fp"), blocks).cast("int").alias("block"), blocks.alias("blocks")
     )
     # A key with many rows is cut into blocks; each pair of blocks is one small group
@@ -192,10 +193,10 @@ def near_duplicates(docs: DataFrame, distance: int = 3, width: int = 3, text: st
     rows = stage(with_fingerprint(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), width=width), "prints")
     prints = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
     roots = stage(components(links(prints, distance)), "roots")
-    placed = prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    placed = prints.join(by_rows(roots.withColumnRenamed("node", "fp")), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = placed.join(smallest, "root").select("fp", "component_id")
-    return rows.join(classes, "fp", "left").select(F.col("doc_id").alias(key), "fp", "component_id")
+    return by_rows(rows).join(classes, "fp", "left").select(F.col("doc_id").alias(key), "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame, distance: int = 3, width: int = 3) -> DataFrame:

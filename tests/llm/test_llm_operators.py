@@ -12,6 +12,7 @@ from test_llm_queries import brute_components, brute_fingerprint
 
 from smelter.llm import components, knn, lines, mixing, pieces, quality, sharding, simhash, sketches, templates, tokens
 from smelter.llm.queries import MODEL, TOKENIZER, tokenizer_path
+from smelter.scratch import stage
 
 DOCS = "doc_id bigint, text string, source string"
 
@@ -103,6 +104,13 @@ def test_links_keep_components(spark, distance, monkeypatch):
     assert classes(links) == classes(near)
 
 
+def test_keys_of_fingerprints_are_not_broadcast(spark):
+    """Spark takes them for as few as the fingerprints."""
+    prints = stage(spark.range(20_000).select(F.xxhash64("id").alias("fp")))
+    text = simhash.links(prints)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in text and "SortMergeJoin" in text and "Broadcast" not in text
+
+
 def test_one_of_each(spark):
     rows = [*ODD, (11, noise(5, 400), "a"), (12, noise(5, 400), "b"), (None, None, "z")]
     kept = simhash.one_of_each(docs(spark, rows)).collect()

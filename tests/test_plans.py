@@ -12,6 +12,7 @@ from smelter.operators.merge import untouched
 from smelter.plans.clicks import daily_engagement, silver_clicks
 from smelter.plans.orders import ORDERS, order_rules
 from smelter.operators.quality import null_profile, reconcile
+from smelter.scratch import by_rows, stage
 from workload import adapters
 
 SF_DIR = f"{TESTDATA}/sf0.01"
@@ -143,3 +144,13 @@ def test_orders_are_read_once_for_an_order(spark):
     joins = [depth(line) for line in lines if "Join Inner" in line]
     made = [depth(line) for line in lines if re.search(r"AS _order_timestamp#", line)]
     assert len(joins) == 2 and made and min(made) > max(joins)
+
+
+def test_rows_are_weighed_not_files(spark):
+    """A million rows in a small file are too many to broadcast, and a thousand are not."""
+    many, few = (stage(spark.range(n).select((F.col("id") % 10).alias("k"), F.lit(1).alias("v"))) for n in (1_000_000, 1000))
+    left = spark.range(10).withColumnRenamed("id", "k")
+    assert "SortMergeJoin" in plan(left.join(by_rows(many), "k", "left"))
+    assert "BroadcastHashJoin" in plan(left.join(by_rows(few), "k", "left"))
+    assert "SortMergeJoin" in plan(left.join(by_rows(few, rows=1_000_000), "k", "left"))
+    assert left.join(by_rows(many), "k", "left").count() == 1_000_000
