@@ -9,16 +9,17 @@ has one member are dropped from later rounds, so that these work on what repeats
 A run counts from ``min_words`` words on, and goes whole, to the last line that its copy has too; runs
 that overlap or touch make a longer one. A long run is that of its parts: those from each line on of
 the fewest lines with enough words, and with each line more until those behind the first have enough
-of their own. So no part is longer than ``min_words`` lines, and doubling ends there.
+of their own, or up to the next line where lines without words stand between. So no part is longer than
+``min_words`` lines, or two, and doubling ends there.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from smelter.llm.columns import Aside, quoted
-from smelter.scratch import stage
+from smelter.scratch import by_rows, stage
 
 WORD = r"[^\x20\x09-\x0D]+"
 DOC = ["_doc", "_mark"]
@@ -79,24 +80,30 @@ def copied_runs(texts: DataFrame, min_words: int) -> DataFrame:
     # This line, and those that end before as many words have followed it
     islands = islands.withColumn("until", F.col("ahead") + F.col("words"))
     few = Window.partitionBy(*DOC, "island").orderBy("until").rangeBetween(0, min_words - 1)
-    following = Window.partitionBy(*DOC, "island").orderBy("seq").rowsBetween(0, min_words - 1)
+    in_order = Window.partitionBy(*DOC, "island").orderBy("seq")
+    following = in_order.rowsBetween(0, max(min_words, 2) - 1)
+    # Lines without words that stand before the next line go with a run of the two
+    apart = F.coalesce(F.lead("pos").over(in_order) > F.col("pos") + 1, F.lit(False))
     level = islands.select(
         *DOC, "seq", "name", "pos",
         F.count("*").over(reach).cast("int").alias("length"),
         F.sum("words").over(reach).alias("reached"),
         F.count("*").over(few).cast("int").alias("longest"),
         F.collect_list(F.col("pos") + 1).over(following).alias("ends"),
+        apart.alias("apart"),
     )
     level = level.withColumn("length", F.when(F.col("reached") >= min_words, F.col("length"))).drop("reached")
     level = level.withColumn("longest", F.when(F.col("length").isNotNull(), F.greatest("length", "longest")))
+    level = level.withColumn("least", F.when(F.col("apart") & (F.col("length") == 1), 2).otherwise(1)).drop("apart")
     found, size = [], 1
     while True:
         level = stage(level, "classes")
-        found.append(_copies(level, size))
+        most, number = level.agg(F.max(F.greatest("longest", "least")), F.count("*")).first()
+        found.append(_copies(level, size, number))
         size *= 2
-        if (level.agg(F.max("longest")).first()[0] or 0) < size:
+        if (most or 0) < size:
             break
-        level = _doubled(level, size // 2)
+        level = _doubled(level, size // 2, number)
     spans = found[0]
     for more in found[1:]:
         spans = spans.unionByName(more)
@@ -117,34 +124,37 @@ def _repeated_lines(texts: DataFrame) -> DataFrame:
         # Together 128 bits
         F.xxhash64("at.line").alias("a"), F.xxhash64(F.lit("line"), "at.line").alias("b"),
     )
-    return _named(rows, ["a", "b"]).drop("a", "b")
+    # Spark takes lines for as few as their texts, and would broadcast them
+    return _named(rows.hint("merge"), ["a", "b"]).drop("a", "b")
 
 
-def _named(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose keys occur at two places or more, with the first as ``name``."""
+def _named(rows: DataFrame, keys: list[str], *also: Column) -> DataFrame:
+    """Rows whose keys occur at two places or more, with the first as ``name`` and what ``also`` sums up of them."""
     place = F.struct(*DOC, "seq")
-    first = rows.groupBy(*keys).agg(F.min(place).alias("name"), F.max(place).alias("last"))
+    first = rows.groupBy(*keys).agg(F.min(place).alias("name"), F.max(place).alias("last"), *also)
     return rows.join(first.where("name != last").drop("last"), keys)
 
 
-def _doubled(level: DataFrame, step: int) -> DataFrame:
-    """Classes of twice the lines, for the positions that still have need of them."""
+def _doubled(level: DataFrame, step: int, number: int) -> DataFrame:
+    """Classes of twice the lines, for the positions that still have need of them; ``number``: rows of ``level``."""
     ahead = Window.partitionBy(*DOC).orderBy("seq").rangeBetween(step, step)
     pairs = level.withColumn("next", F.first("name").over(ahead)).where(F.col("next").isNotNull())
-    pairs = pairs.withColumnsRenamed({"name": "here"})
-    return _named(pairs, ["here", "next"]).drop("here", "next")
+    pairs = pairs.withColumnsRenamed({"name": "here", "least": "alone"})
+    # Lines that stand apart at one place are taken together at all, as the first copy may be any
+    named = _named(by_rows(pairs, number), ["here", "next"], F.max("alone").alias("least"))
+    return named.withColumn("longest", F.greatest("longest", "least")).drop("here", "next", "alone")
 
 
-def _copies(level: DataFrame, size: int) -> DataFrame:
+def _copies(level: DataFrame, size: int, number: int) -> DataFrame:
     """Spans (start, end) of the runs of ``size`` to 2 * ``size`` - 1 lines that an earlier place has too.
 
-    Two classes of ``size`` lines, from the run's first line and up to its last, stand for it.
+    Two classes of ``size`` lines, from the run's first line and up to its last, stand for it. ``number``: rows of ``level``.
     """
     lengths = F.sequence(F.greatest("length", F.lit(size)), F.least("longest", F.lit(2 * size - 1)))
     runs = level.where((F.col("longest") >= size) & (F.col("length") < 2 * size))
     runs = runs.withColumn("length", F.explode(lengths)).withColumn("end", F.get("ends", F.col("length") - 1)).drop("ends", "longest")
     tail = level.select(F.col(DOC[0]).alias("_d"), F.col(DOC[1]).alias("_m"), F.col("seq").alias("at"), F.col("name").alias("tail"))
     same = (F.col(DOC[1]) == F.col("_m")) & F.col(DOC[0]).eqNullSafe(F.col("_d")) & (F.col("seq") + F.col("length") - size == F.col("at"))
-    runs = runs.join(tail, same).select(*DOC, "seq", "pos", "end", "length", F.col("name").alias("head"), "tail")
+    runs = by_rows(runs, number).join(tail, same).select(*DOC, "seq", "pos", "end", "length", F.col("name").alias("head"), "tail")
     named = _named(runs, ["length", "head", "tail"])
     return named.where(F.col("name") < F.struct(*DOC, "seq")).select(*DOC, F.col("pos").alias("start"), "end")

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from smelter.llm.columns import Aside, quoted
-from smelter.scratch import discard, stage
+from smelter.scratch import by_rows, discard, stage
 
 WORD = r"[^\x20\x09-\x0D]+"
 # Documents of one source and size that are put in order by one task
@@ -198,7 +198,7 @@ def _dealt(sized: DataFrame, taken: DataFrame, source: str, key: str) -> DataFra
     )
     same = F.col(source).eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z"))
     part = F.pmod(F.col("_hash"), F.col("_parts")).cast("int")
-    rows = sized.join(taken, same).drop("_z").withColumn("_hash", F.xxhash64(F.col(key))).withColumn("_part", part)
+    rows = sized.join(by_rows(taken), same).drop("_z").withColumn("_hash", F.xxhash64(F.col(key))).withColumn("_part", part)
     # Only a class of more than a bucket of documents has parts whose counts must be known
     large = sized.select(F.col(source).alias("_s"), F.col("size").alias("_z"), F.xxhash64(F.col(key)).alias("_hash"))
     large = large.join(taken.where("_parts > 1").select(F.col("_s").alias("_t"), F.col("_z").alias("_y"), "_parts"), F.col("_s").eqNullSafe(F.col("_t")) & (F.col("_z") == F.col("_y")))

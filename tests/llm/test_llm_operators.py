@@ -205,6 +205,25 @@ def test_lines_that_repeat_within_a_text(spark):
     assert set(text.split("\n")) == {"one two"} and count > 40
 
 
+def test_lines_take_the_blank_ones_between(spark):
+    """Two lines that have enough words each, at a place that has a blank line between them."""
+    rows = [(1, "a b c d e\nf g h i j\nk", "s"), (2, "a b c d e\n\n \nf g h i j\nm", "s"), (3, "f g h i j\n\na b c d e", "s")]
+    assert removed(spark, rows) == {1: (rows[0][1], 0), 2: ("m", 4), 3: ("", 2)}
+    assert removed(spark, [(0, "a b\na b\n\na b", "s")], min_words=1) == {0: ("a b", 3)}
+
+
+def test_lines_are_not_broadcast(spark):
+    """Spark takes them for as few as their texts."""
+    texts = stage(spark.range(2000).select(F.col("id").alias("_doc"), F.col("id").alias("_mark"), F.repeat(F.lit("a b c d e\n"), F.lit(1000)).alias("text")))
+    text = lines._repeated_lines(texts)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in text and "Broadcast" not in text
+    level = stage(spark.range(300_000).select(
+        F.lit(1).alias("_doc"), F.lit(1).alias("_mark"), F.col("id").alias("seq"), F.struct(F.lit(1).alias("a")).alias("name"), F.lit(1).alias("pos"),
+        F.lit(1).alias("length"), F.lit(2).alias("longest"), F.array(F.lit(1)).alias("ends"),
+    ))
+    assert "Broadcast" not in lines._copies(level, 1, 300_000)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_lines_odd_rows(spark):
     out = lines.deduplicate_lines(docs(spark, ODD).withColumn("N_Lines", F.lit("x")))
     rows = out.collect()
