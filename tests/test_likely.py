@@ -7,8 +7,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from smelter import operators
 from smelter.operators.likely import WORDS, _words, bits_if_worth, key_bits, likely, upsert_likely
-from smelter.operators.merge import merge_upsert
+from smelter.operators.merge import merge_upsert, untouched
 from smelter.scratch import stage
 from smelter.sinks.tables import create_or_merge
 from test_plans import conf, plan  # noqa: F401
@@ -100,6 +101,38 @@ def test_only_likely_rows_are_shuffled(spark, conf):  # noqa: F811
     assert matched <= likely(target, bits, ["k"]).count() <= matched + 0.02 * target.count()
 
 
+def test_bits_that_the_driver_can_take(spark, conf, monkeypatch):  # noqa: F811
+    """Blocks take a part of the driver's memory at most; without them a merge shuffles, with the same rows."""
+    batch = stage(spark.range(500_000).withColumnRenamed("id", "k"))
+    conf(autoBroadcastJoinThreshold="-1")
+    assert bits_if_worth(batch, ["k"], rows=500_001).number * 4096 > 1_000_000
+    # A target as small as the batch has nothing to spare
+    assert bits_if_worth(batch, ["k"], rows=500_000) is None
+    monkeypatch.setattr(operators.likely, "driver_memory", lambda spark: 15_000_000)
+    assert bits_if_worth(batch, ["k"], rows=500_001) is None
+    assert bits_if_worth(batch, ["k"], largest=2_000_000) is not None
+
+
+def test_keys_are_broadcast_by_their_number(spark, database, conf, monkeypatch):  # noqa: F811
+    """Keys in a small file that are too many for the driver get bits, and are not broadcast in a merge."""
+    batch = stage(spark.range(0, 500_000, 2).select(F.col("id").alias("k"), F.lit("new").alias("v")))
+    target = stage(spark.range(600_000).select(F.col("id").alias("k"), F.lit("old").alias("v")))
+    number = batch.count()
+    assert bits_if_worth(batch, ["k"]) is None
+    assert "BroadcastHashJoin" in plan(untouched(target, batch, ["k"], number=number))
+    for module in (operators.likely, operators.merge):
+        monkeypatch.setattr(module, "most_broadcast", lambda spark: 1_000_000)
+    assert bits_if_worth(batch, ["k"]) is not None
+    for null_keys in ("insert", "match"):
+        text = plan(untouched(target, batch, ["k"], null_keys, number))
+        assert "SortMergeJoin" in text and "Broadcast" not in text
+    name = f"{database}.t"
+    create_or_merge(target, name, ["k"])
+    create_or_merge(batch, name, ["k"], check_unique=False)
+    rows = spark.table(name).groupBy("v").agg(F.count("*").alias("n"), F.count_distinct("k").alias("keys")).collect()
+    assert {(r.v, r.n, r["keys"]) for r in rows} == {("old", 350_000, 350_000), ("new", 250_000, 250_000)}
+
+
 def test_words_of_a_block(spark):
     block = bytes(i * 37 % 256 for i in range(8 * WORDS))
     rows = spark.range(0, 3000, 1, 8).select(F.lit(bytearray(block)).alias("bits"), "id")
